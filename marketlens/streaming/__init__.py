@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The modelled system is batch only — it has no stream source, watermark,
+windowed state or late-data handling — so there is nothing to express with
+Structured Streaming here. Every job in this package is a batch DataFrame job.
+"""
