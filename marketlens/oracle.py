@@ -341,3 +341,33 @@ WHERE o.year = {year} AND o.month IN ({months})
 GROUP BY c.customer_state
 ORDER BY order_count DESC, state ASC NULLS LAST
 LIMIT {k}""")
+
+
+# ---- converted tables, sources and catalog round trips -------------------------
+def table(name: str, where: str = "TRUE", cols: str = "*") -> str:
+    return with_model(f"SELECT {cols} FROM {name} WHERE {where}")
+
+
+def payments_per_order() -> str:
+    return with_model("SELECT * FROM pay_agg")
+
+
+def overview() -> str:
+    return with_model("""
+SELECT * FROM per_table
+UNION ALL SELECT 'total', CAST(sum(row_count) AS BIGINT), '' FROM per_table
+ORDER BY table_name""", {"per_table": """
+        SELECT 'orders' AS table_name, count(*) AS row_count, 'year, month' AS partitioned_by
+          FROM m_orders
+        UNION ALL SELECT 'products', count(*), '--' FROM m_products_flat
+        UNION ALL SELECT 'customers', count(*), '--' FROM m_customers
+        UNION ALL SELECT 'reviews', count(*), 'review_score' FROM m_reviews
+        UNION ALL SELECT 'sellers', count(*), '--' FROM m_sellers"""})
+
+
+def event_spans() -> str:
+    return """
+SELECT user_id, min(ts) AS first_ts, max(ts) AS last_ts,
+       date_sub('day', min(ts), max(ts)) AS span_days,
+       date_sub('day', max(ts), min(ts)) AS span_days_reversed
+FROM events GROUP BY user_id"""

@@ -13,7 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from marketlens import oracle
+from marketlens.operators.etl import payments_per_order
 from marketlens.plans import reports as R
+from marketlens.plans import roundtrip as RT
+from marketlens.sources.testdata import raw_inputs, read_table
 from marketlens.sources.warehouse import tables_for
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +42,14 @@ def _adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.run_sql(spark, tables_for(spark, sf_dir), R.SAMPLE_SQL)
 
 
+def _with(fn) -> Query:
+    """Register ``fn(spark, tables)`` as a query over the converted tables."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(spark, tables_for(spark, sf_dir))
+    run.__doc__ = fn.__doc__
+    return run
+
+
 QUERIES: dict[str, Query] = {
     "q1_revenue_trend": _on_tables(R.revenue_trend, years=Q1_YEARS),
     "q2_top_categories": _on_tables(R.top_categories, max_weight=5000, limit=15),
@@ -60,6 +71,28 @@ QUERIES: dict[str, Query] = {
     "n8_states_quarter": _on_tables(R.states_by_orders_in_quarter, year=QUARTER[0],
                                     quarter=QUARTER[1], k=5),
     "adhoc_sql": _adhoc,
+    # converted tables (ETL1-ETL5, VW1) and the per-order payment aggregate
+    "etl_orders_wide": _with(lambda s, t: t.orders),
+    "etl_products_flat": _with(lambda s, t: t.products_flat),
+    "etl_customers": _with(lambda s, t: t.customers),
+    "etl_reviews": _with(lambda s, t: t.reviews),
+    "etl_sellers": _with(lambda s, t: t.sellers),
+    "etl_payments_per_order": lambda s, d: payments_per_order(raw_inputs(s, d).payments),
+    # sources and sinks
+    "src_csv_roundtrip": _with(lambda s, t: RT.csv_roundtrip(s, t.reviews)),
+    "src_csv_projected": _with(lambda s, t: RT.csv_projected(s, t.orders)),
+    "src_csv_prefix_filter": _with(lambda s, t: RT.csv_prefix_filter(
+        s, t.orders, "order_purchase_timestamp", f"{ONE_YEAR}-10")),
+    "src_json_roundtrip": _with(lambda s, t: RT.json_roundtrip(s, t.orders)),
+    "src_parquet_partition_filter": _with(lambda s, t: RT.parquet_partition_filter(t, ONE_YEAR, 10)),
+    "src_parquet_projected": _with(lambda s, t: RT.parquet_projected(t)),
+    # catalog tables
+    "tbl_external": _with(lambda s, t: s.table(RT.external_tables(s, t)["orders"])),
+    "tbl_managed": _with(lambda s, t: RT.managed_table(s, t.reviews, "reviews")),
+    "tbl_append_idempotent": _with(lambda s, t: RT.idempotent_reload(s, t)),
+    "cat_overview": _with(lambda s, t: R.overview(t)),
+    # whole-day spans on sub-day timestamps
+    "days_between_events": lambda s, d: RT.event_spans(read_table(s, d, "events")),
 }
 
 ORACLE: dict[str, str] = {
@@ -81,4 +114,22 @@ ORACLE: dict[str, str] = {
     "n7_top_categories_year": oracle.n7(ONE_YEAR, 5),
     "n8_states_quarter": oracle.n8(QUARTER[0], QUARTER[1], 5),
     "adhoc_sql": oracle.q7(5),
+    "etl_orders_wide": oracle.table("m_orders"),
+    "etl_products_flat": oracle.table("m_products_flat"),
+    "etl_customers": oracle.table("m_customers"),
+    "etl_reviews": oracle.table("m_reviews"),
+    "etl_sellers": oracle.table("m_sellers"),
+    "etl_payments_per_order": oracle.payments_per_order(),
+    "src_csv_roundtrip": oracle.table("m_reviews"),
+    "src_csv_projected": oracle.table("m_orders", cols="order_id, order_status"),
+    "src_csv_prefix_filter": oracle.table(
+        "m_orders", f"CAST(order_purchase_timestamp AS VARCHAR) LIKE '{ONE_YEAR}-10%'"),
+    "src_json_roundtrip": oracle.table("m_orders"),
+    "src_parquet_partition_filter": oracle.table("m_orders", f"year = {ONE_YEAR} AND month = 10"),
+    "src_parquet_projected": oracle.table("m_orders", cols="order_id, order_status"),
+    "tbl_external": oracle.table("m_orders"),
+    "tbl_managed": oracle.table("m_reviews"),
+    "tbl_append_idempotent": oracle.table("m_orders"),
+    "cat_overview": oracle.overview(),
+    "days_between_events": oracle.event_spans(),
 }

@@ -40,8 +40,16 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """CSV with a header row; quotes and embedded newlines are escaped."""
+# NULL marker of the CSV files we write ourselves: an empty string is written
+# as "" and NULL as \N, so the two stay distinct after a round trip.
+CSV_NULL = "\\N"
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_value: str = CSV_NULL) -> str:
+    """CSV with a header row; quotes and embedded newlines are escaped,
+    surrounding whitespace is kept."""
     (df.write.mode(mode).option("header", True).option("escape", '"')
+     .option("nullValue", null_value).option("emptyValue", '""')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path))
     return path
