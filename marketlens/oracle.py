@@ -371,3 +371,111 @@ SELECT user_id, min(ts) AS first_ts, max(ts) AS last_ts,
        date_sub('day', min(ts), max(ts)) AS span_days,
        date_sub('day', max(ts), min(ts)) AS span_days_reversed
 FROM events GROUP BY user_id"""
+
+
+# ---- product similarity ---------------------------------------------------------
+SIM_FEATURES = [
+    "weight_g", "length_cm", "height_cm", "width_cm",
+    "avg_price", "order_count", "avg_review", "review_count",
+    "product_name_length", "product_description_length", "product_photos_qty",
+]
+
+
+def _sim_ctes() -> dict[str, str]:
+    feats = ",\n".join(f"CAST(coalesce({f}, 0) AS DOUBLE) AS {f}" for f in SIM_FEATURES)
+    bounds = ",\n".join([f"min({f}) AS {f}_min, max({f}) AS {f}_max" for f in SIM_FEATURES])
+    scaled = ",\n".join(
+        f"({f} - {f}_min) / (CASE WHEN {f}_max - {f}_min = 0 THEN CAST(1 AS DOUBLE) "
+        f"ELSE {f}_max - {f}_min END) AS s_{f}" for f in SIM_FEATURES)
+    return {
+        "sim_stats": f"""
+            SELECT product_id,
+                   CASE WHEN count(price) > 0 THEN
+                     CAST({msum('price')} * 100 AS DOUBLE) / CAST(count(price) * 100 AS DOUBLE)
+                   END AS avg_price,
+                   count(DISTINCT order_id) AS order_count
+            FROM m_orders WHERE product_id IS NOT NULL GROUP BY product_id""",
+        "sim_reviews": """
+            SELECT op.product_id, avg(TRY_CAST(r.review_score AS DOUBLE)) AS avg_review,
+                   count(DISTINCT r.review_id) AS review_count
+            FROM m_reviews r
+            JOIN (SELECT DISTINCT order_id, product_id FROM m_orders
+                  WHERE product_id IS NOT NULL) op ON r.order_id = op.order_id
+            GROUP BY op.product_id""",
+        "sim_features": f"""
+            SELECT p.product_id, p.category_english, {feats}
+            FROM m_products_flat p
+            LEFT JOIN sim_stats s ON p.product_id = s.product_id
+            LEFT JOIN sim_reviews v ON p.product_id = v.product_id""",
+        "sim_bounds": f"SELECT {bounds} FROM sim_features",
+        "sim_scaled": f"""
+            SELECT product_id, category_english, avg_price, avg_review, order_count, {scaled}
+            FROM sim_features, sim_bounds""",
+    }
+
+
+def _label(col: str) -> str:
+    return f"substr(coalesce(nullif({col}, ''), 'unknown'), 1, 29)"
+
+
+def _cos_cols(a: list[str], b: list[str]) -> str:
+    dot = " + ".join(["CAST(0 AS DOUBLE)"] + [f"{x} * {y}" for x, y in zip(a, b)])
+    na = "sqrt(" + " + ".join(["CAST(0 AS DOUBLE)"] + [f"{x} * {x}" for x in a]) + ")"
+    nb = "sqrt(" + " + ".join(["CAST(0 AS DOUBLE)"] + [f"{y} * {y}" for y in b]) + ")"
+    return f"(CASE WHEN {na} * {nb} > 0 THEN ({dot}) / ({na} * {nb}) ELSE CAST(0 AS DOUBLE) END)"
+
+
+def sim_features() -> str:
+    return with_model("SELECT * FROM sim_features", _sim_ctes())
+
+
+def sim_scaled() -> str:
+    return with_model("SELECT * FROM sim_scaled", _sim_ctes())
+
+
+def sim_popular(n: int = 10) -> str:
+    return with_model(f"""
+SELECT product_id, {_label('category_english')} AS category,
+       CAST(order_count AS BIGINT) AS order_count
+FROM sim_features ORDER BY order_count DESC, product_id ASC LIMIT {n}""", _sim_ctes())
+
+
+def sim_top_n(top_n: int = 10, digits: int = 6) -> str:
+    s_cols = [f"s.s_{f}" for f in SIM_FEATURES]
+    t_cols = [f"t.s_{f}" for f in SIM_FEATURES]
+    extra = {**_sim_ctes(), "sim_target": """
+        SELECT * FROM sim_scaled WHERE product_id =
+          (SELECT product_id FROM sim_features ORDER BY order_count DESC, product_id ASC LIMIT 1)"""}
+    return with_model(f"""
+SELECT s.product_id, {_label('s.category_english')} AS category, s.avg_price, s.avg_review,
+       round({_cos_cols(s_cols, t_cols)}, {digits}) AS similarity
+FROM sim_scaled s, sim_target t
+WHERE s.product_id <> t.product_id
+ORDER BY similarity DESC NULLS LAST, s.product_id ASC
+LIMIT {top_n}""", extra)
+
+
+def sim_unknown_id(product_id: int = -1, n_samples: int = 5) -> str:
+    return with_model(f"""
+SELECT 'sample' AS kind, product_id, {_label('category_english')} AS category,
+       avg_price, avg_review, CAST(NULL AS DOUBLE) AS similarity
+FROM sim_scaled
+WHERE NOT EXISTS (SELECT 1 FROM sim_scaled WHERE product_id = {product_id})
+ORDER BY product_id LIMIT {n_samples}""", _sim_ctes())
+
+
+def sim_embeddings(top_n: int = 10, digits: int = 6) -> str:
+    fold = "lambda p, q: p + q"
+    dot = f"list_reduce(list_transform(range(1, len(e.v) + 1), lambda i: e.v[i] * t.v[i]), {fold})"
+    na = f"sqrt(list_reduce(list_transform(e.v, lambda x: x * x), {fold}))"
+    nb = f"sqrt(list_reduce(list_transform(t.v, lambda x: x * x), {fold}))"
+    return f"""
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+t AS (SELECT v FROM e WHERE vec_id = (SELECT min(vec_id) FROM e))
+SELECT e.vec_id, e.label,
+       round(CASE WHEN {na} * {nb} > 0 THEN {dot} / ({na} * {nb}) ELSE CAST(0 AS DOUBLE) END,
+             {digits}) AS similarity
+FROM e, t
+WHERE e.vec_id <> (SELECT min(vec_id) FROM e)
+ORDER BY similarity DESC NULLS LAST, e.vec_id ASC
+LIMIT {top_n}"""

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from marketlens import oracle
+from marketlens.operators import similarity as SIM
 from marketlens.operators.etl import payments_per_order
 from marketlens.plans import reports as R
 from marketlens.plans import roundtrip as RT
@@ -27,6 +28,8 @@ Q6_MIN_ORDERS = 3
 ONE_YEAR = 1997
 QUARTER = (1997, 4)
 CITY = "HOUSEHOLD"
+SIM_TOP_N = 10          # the similarity command line asks for 10
+UNKNOWN_ID = -1         # no product has a negative id
 
 
 def _on_tables(report, **params) -> Query:
@@ -42,6 +45,17 @@ def _adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.run_sql(spark, tables_for(spark, sf_dir), R.SAMPLE_SQL)
 
 
+def _features(t):
+    """The feature table, materialised once (it is re-read by subqueries)."""
+    return SIM.materialize(SIM.product_features(t))
+
+
+def _top_n(t):
+    """Products most similar to the most ordered product (SIM4 with SIM5's pick)."""
+    feats = _features(t)
+    return SIM.similar_products(SIM.scale_features(feats), SIM.most_popular_id(feats), SIM_TOP_N)
+
+
 def _with(fn) -> Query:
     """Register ``fn(spark, tables)`` as a query over the converted tables."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +107,14 @@ QUERIES: dict[str, Query] = {
     "cat_overview": _with(lambda s, t: R.overview(t)),
     # whole-day spans on sub-day timestamps
     "days_between_events": lambda s, d: RT.event_spans(read_table(s, d, "events")),
+    # product similarity
+    "sim_features": _with(lambda s, t: SIM.product_features(t)),
+    "sim_scaled": _with(lambda s, t: SIM.scale_features(_features(t))),
+    "sim_popular": _with(lambda s, t: SIM.popular_products(SIM.product_features(t), 10)),
+    "sim_top_n": _with(lambda s, t: _top_n(t)),
+    "sim_unknown_id": _with(lambda s, t: SIM.find_similar(
+        SIM.scale_features(_features(t)), UNKNOWN_ID, SIM_TOP_N)),
+    "sim_embeddings": lambda s, d: SIM.similar_embeddings(read_table(s, d, "embeddings"), SIM_TOP_N),
 }
 
 ORACLE: dict[str, str] = {
@@ -132,4 +154,10 @@ ORACLE: dict[str, str] = {
     "tbl_append_idempotent": oracle.table("m_orders"),
     "cat_overview": oracle.overview(),
     "days_between_events": oracle.event_spans(),
+    "sim_features": oracle.sim_features(),
+    "sim_scaled": oracle.sim_scaled(),
+    "sim_popular": oracle.sim_popular(10),
+    "sim_top_n": oracle.sim_top_n(SIM_TOP_N),
+    "sim_unknown_id": oracle.sim_unknown_id(UNKNOWN_ID),
+    "sim_embeddings": oracle.sim_embeddings(SIM_TOP_N),
 }
