@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marketlens import oracle
 from marketlens.operators import similarity as SIM
 from marketlens.operators.etl import payments_per_order
+from marketlens.plans import measure as M
 from marketlens.plans import reports as R
 from marketlens.plans import roundtrip as RT
 from marketlens.sources.testdata import raw_inputs, read_table
@@ -115,6 +116,13 @@ QUERIES: dict[str, Query] = {
     "sim_unknown_id": _with(lambda s, t: SIM.find_similar(
         SIM.scale_features(_features(t)), UNKNOWN_ID, SIM_TOP_N)),
     "sim_embeddings": lambda s, d: SIM.similar_embeddings(read_table(s, d, "embeddings"), SIM_TOP_N),
+    # measurement and data quality (sizes and times: no SQL twin)
+    "msr_storage": _with(lambda s, t: M.measure_storage(s, t)),
+    "msr_pruning": _with(lambda s, t: M.pruning_evidence(
+        RT.parquet_partition_filter(t, ONE_YEAR, 10),
+        M.list_files(s, f"{t.root}/orders", "*.parquet"), ["year", "month"])),
+    "msr_formats": _with(lambda s, t: M.format_read_times(s, t, ONE_YEAR, 10, iterations=1)),
+    "dq_checks": _with(lambda s, t: M.dataset_checks(s, t, review_partitions=4)),
 }
 
 ORACLE: dict[str, str] = {
