@@ -107,7 +107,9 @@ def between_months(ts_col: str, start: _dt.date, end: _dt.date,
     """
     pairs = []
     y, m = start.year, start.month
-    while (y, m) <= (end.year, end.month):
+    last = (end.year, end.month) if end.day > 1 else (
+        (end.year, end.month - 1) if end.month > 1 else (end.year - 1, 12))
+    while (y, m) <= last:
         pairs.append((y, m))
         m += 1
         if m > 12:
