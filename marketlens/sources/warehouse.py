@@ -69,24 +69,42 @@ def derived_tables(raw: RawInputs) -> Tables:
     return Tables(**convert_all(raw))
 
 
-def build_warehouse(raw: RawInputs, root: str) -> str:
-    """Run the five conversions and write them with their layout (full refresh)."""
-    for name, df in convert_all(raw).items():
+def build_warehouse(raw: RawInputs, root: str, parallel: int = 5) -> str:
+    """Run the five conversions and write them with their layout (full refresh).
+
+    The five writes are independent Spark jobs; they are submitted from
+    ``parallel`` threads so that the small tables run while the large one
+    occupies the cluster. A failure in any write is raised.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    def write(item):
+        name, df = item
         lay = LAYOUT[name]
         write_table(df, dataset_path(root, name), lay["partition_by"], lay["codec"])
+
+    jobs = list(convert_all(raw).items())
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        for f in [pool.submit(write, j) for j in jobs]:
+            f.result()
     return root
 
 
-_BUILT: dict[tuple[str, str], str] = {}
+_BUILT: dict[tuple[str, str], Tables] = {}
 _LOCK = threading.Lock()
 
 
 def tables_for(spark: SparkSession, sf_dir: str) -> Tables:
-    """Dataset-backed tables for a driver data folder (converted once per session)."""
+    """Dataset-backed tables for a driver data folder (converted once per session).
+
+    The converted folder is written once and never changed, so the opened
+    DataFrames (and their file listings) are reused by later queries.
+    """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _LOCK:
-        root = _BUILT.get(key)
-        if root is None:
+        tables = _BUILT.get(key)
+        if tables is None:
             root = build_warehouse(raw_inputs(spark, sf_dir), scratch_path(spark, "warehouse"))
-            _BUILT[key] = root
-    return open_tables(spark, root)
+            tables = open_tables(spark, root)
+            _BUILT[key] = tables
+    return tables
