@@ -116,12 +116,13 @@ def similar_products(scaled: DataFrame, product_id, top_n: int = 5) -> DataFrame
     """
     pid = product_id if not isinstance(product_id, (int, str)) else F.lit(product_id)
     v = with_vector(scaled)
-    target = v.where(F.col("product_id") == pid).agg(F.min("vector")).scalar()
-    # The target vector becomes a column first: subqueries may not appear
-    # inside the array lambdas of the cosine.
-    v = v.where(F.col("product_id") != pid).select("*", target.alias("_target"))
-    sim = F.round(cosine(F.col("vector"), F.col("_target")), SIM_DIGITS)
-    return (v.where(F.col("_target").isNotNull())
+    # One scalar subquery carries the target's id and vector. It becomes a
+    # column first: subqueries may not appear inside the cosine's lambdas.
+    target = (v.where(F.col("product_id") == pid)
+              .agg(F.min(F.struct("product_id", "vector")).alias("t")).scalar())
+    v = v.select("*", target.alias("_t"))
+    sim = F.round(cosine(F.col("vector"), F.col("_t.vector")), SIM_DIGITS)
+    return (v.where(F.col("_t").isNotNull() & (F.col("product_id") != F.col("_t.product_id")))
             .select("product_id", label_or_unknown("category_english").alias("category"),
                     "avg_price", "avg_review", sim.alias("similarity"))
             .orderBy(F.col("similarity").desc_nulls_last(), F.col("product_id").asc())
@@ -153,10 +154,12 @@ def similar_embeddings(embeddings: DataFrame, top_n: int = 10, vec_id=None) -> D
     """Cosine top-N over stored embedding vectors (target: ``vec_id`` or the
     smallest id), excluding the target itself."""
     e = embeddings.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
-    tid = F.lit(vec_id) if vec_id is not None else e.agg(F.min("vec_id")).scalar()
-    target = e.where(F.col("vec_id") == tid).agg(F.min("v")).scalar()
-    e = e.where(F.col("vec_id") != tid).select("*", target.alias("_target"))
-    sim = F.round(cosine(F.col("v"), F.col("_target")), SIM_DIGITS)
+    pick = e if vec_id is None else e.where(F.col("vec_id") == vec_id)
+    # Target row (smallest id by default) as one top-1 scalar subquery.
+    target = (pick.orderBy(F.col("vec_id").asc()).limit(1)
+              .select(F.struct("vec_id", "v").alias("t")).scalar())
+    e = e.select("*", target.alias("_t")).where(F.col("vec_id") != F.col("_t.vec_id"))
+    sim = F.round(cosine(F.col("v"), F.col("_t.v")), SIM_DIGITS)
     return (e.select("vec_id", "label", sim.alias("similarity"))
             .orderBy(F.col("similarity").desc_nulls_last(), F.col("vec_id").asc())
             .limit(top_n))
