@@ -51,8 +51,13 @@ def main() -> None:
 
     from marketlens.plans import measure as M
     from marketlens.registry import ONE_YEAR, QUERIES
+    from marketlens.session import apply_scale_conf
     from marketlens.sources import warehouse as W
 
+    # Size splits / shuffle partitions from the input (listing only lengths).
+    input_bytes = M.list_files(spark, sf_dir, "*.parquet").agg({"length": "sum"}).first()[0]
+    conf = apply_scale_conf(spark, int(input_bytes), cpus)
+
     # Warm the JVM (class loading, code generation) with a job unrelated to
     # the workload, so the first timed step does not carry start-up cost.
     spark.range(1_000_000).selectExpr("sum(id) AS s", "count(DISTINCT id % 1000) AS d").collect()
@@ -92,6 +97,8 @@ def main() -> None:
         "sf": _sf(sf_dir),
         "cpus": cpus,
         "runs": runs,
+        "input_bytes": int(input_bytes),
+        "conf": conf,
         "formats": formats,
         "storage": storage,
     }

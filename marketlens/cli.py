@@ -95,6 +95,11 @@ def main(argv: list[str] | None = None) -> int:
         else:
             from marketlens.sources.testdata import raw_inputs
             raw = raw_inputs(spark, a.sf_dir)
+        from marketlens.session import apply_scale_conf
+
+        src = a.raw_dir if a.cmd == "convert" else a.sf_dir
+        size = M.list_files(spark, src).agg({"length": "sum"}).first()[0] or 0
+        apply_scale_conf(spark, int(size))
         t0 = time.perf_counter()
         W.build_warehouse(raw, a.out_dir)
         print(f"converted in {time.perf_counter() - t0:.1f}s -> {a.out_dir}")

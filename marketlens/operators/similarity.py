@@ -75,6 +75,24 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_FEATURES: dict[tuple[str, str], DataFrame] = {}
+
+
+def feature_table(t: Tables) -> DataFrame:
+    """The feature table of a converted snapshot, materialised once.
+
+    Keyed by the snapshot's folder: a snapshot is written once and never
+    changed, so its features stay valid; lazily derived tables (no folder)
+    are materialised on every call.
+    """
+    if t.root is None:
+        return materialize(product_features(t))
+    key = (t.orders.sparkSession.sparkContext.applicationId, t.root)
+    if key not in _FEATURES:
+        _FEATURES[key] = materialize(product_features(t))
+    return _FEATURES[key]
+
+
 def scale_features(features: DataFrame) -> DataFrame:
     """Min-max scale each feature to [0, 1]; a zero range is treated as 1."""
     bounds = features.agg(F.struct(

@@ -47,8 +47,8 @@ def _adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _features(t):
-    """The feature table, materialised once (it is re-read by subqueries)."""
-    return SIM.materialize(SIM.product_features(t))
+    """The feature table, materialised once per snapshot (re-read by subqueries)."""
+    return SIM.feature_table(t)
 
 
 def _top_n(t):

@@ -49,6 +49,40 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+MB = 1024 * 1024
+
+
+def scale_conf(input_bytes: int, cores: int, target_partition_mb: int = 256) -> dict[str, str]:
+    """Sizing for a job reading ``input_bytes`` on ``cores`` task slots.
+
+    * file splits of ``target_partition_mb`` (never more than the input spread
+      over the cores, so small inputs still use every core);
+    * shuffle partitions: enough for ~``target_partition_mb`` per partition
+      before adaptive coalescing, at least 2 per core, at most 100 000;
+    * advisory partition size (coalescing target, skew split size, and file
+      size of rebalanced writes) equal to the split size;
+    * skew threshold at 4x the advisory size.
+    """
+    per_core = max(1, input_bytes // max(1, cores))
+    split = max(8 * MB, min(target_partition_mb * MB, per_core))
+    parts = max(2 * cores, min(100_000, -(-input_bytes // (target_partition_mb * MB))))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(split),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * split),
+    }
+
+
+def apply_scale_conf(spark: SparkSession, input_bytes: int, cores: int | None = None) -> dict[str, str]:
+    """Apply ``scale_conf`` to a running session (SQL settings only)."""
+    cores = cores or spark.sparkContext.defaultParallelism
+    conf = scale_conf(input_bytes, cores)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
