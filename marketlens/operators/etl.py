@@ -19,9 +19,12 @@ Semantics kept from the modelled system:
 Scale notes. Every aggregation here is algebraic (min/max/sum/count), so
 Spark's partial aggregation collapses a hot key map-side before the shuffle.
 The item join is written as ``items ⋈ orders`` (inner) plus ``orders ▷ items``
-(anti, against the distinct item keys) instead of one left join: an inner join
-lets adaptive execution split a hot order across tasks, which it cannot do for
-the outer side of a left join.
+(anti, against the item keys) instead of one left join, and the inner part
+splits hot orders explicitly (``split_hot_join``): an order with more than
+``HOT_ROWS`` items never lands in one task. Adaptive skew handling cannot do
+this here, because the order side is itself a join / aggregate output on the
+same key (its skew rule needs two plain shuffles), and it never splits the
+outer side of a left join.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.expr import first_non_null_by, money, nan_to_null
+from marketlens.operators.joins import HOT_ROWS, split_hot_join
 from marketlens.schemas import (
     CUSTOMERS_COLUMNS,
     ORDERS_COLUMNS,
@@ -44,7 +48,6 @@ ITEM_COLUMNS = ["order_item_id", "product_id", "seller_id", "shipping_limit_date
 
 PAYMENT_ORDER = ["payment_sequential", "payment_type", "payment_installments", "payment_value"]
 
-
 def payments_per_order(payments: DataFrame) -> DataFrame:
     """One row per order: first payment type, max installments, value sum."""
     return (payments.where(F.col("order_id").isNotNull())
@@ -55,12 +58,17 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
                  .cast("double").alias("payment_value")))
 
 
-def convert_orders(orders: DataFrame, items: DataFrame, payments: DataFrame) -> DataFrame:
+def convert_orders(orders: DataFrame, items: DataFrame, payments: DataFrame,
+                   hot_rows: int = HOT_ROWS) -> DataFrame:
     """Denormalised order-item table, partitioned later by year and month."""
     head = orders.join(payments_per_order(payments), "order_id", "left")
-    with_items = items.select("order_id", *ITEM_COLUMNS).join(head, "order_id", "inner")
-    item_keys = items.select("order_id").where(F.col("order_id").isNotNull()).distinct()
-    without_items = head.join(item_keys, "order_id", "left_anti")
+    # Items per order: the hot-key test of the item join and, as key set,
+    # the anti join that keeps orders without items.
+    item_counts = (items.where(F.col("order_id").isNotNull())
+                   .groupBy("order_id").agg(F.count(F.lit(1)).alias("n")))
+    with_items = split_hot_join(items.select("order_id", *ITEM_COLUMNS), head, "order_id",
+                                "inner", hot_rows, item_counts)
+    without_items = head.join(item_counts.select("order_id"), "order_id", "left_anti")
     for c in ITEM_COLUMNS:
         without_items = without_items.withColumn(c, F.lit(None).cast(items.schema[c].dataType))
     wide = with_items.unionByName(without_items)
@@ -108,11 +116,13 @@ def geo_per_zip(geolocation: DataFrame) -> DataFrame:
                  F.avg("geolocation_lng").alias("geolocation_lng")))
 
 
-def _with_geo(df: DataFrame, zip_col: str, geolocation: DataFrame) -> DataFrame:
-    geo = geo_per_zip(geolocation)
+def _with_geo(df: DataFrame, zip_col: str, geolocation: DataFrame,
+              hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Left join of the per-ZIP means; a hot ZIP prefix is split (the means
+    side is an aggregate output, which adaptive skew handling cannot split)."""
+    geo = geo_per_zip(geolocation).withColumnRenamed("geolocation_zip_code_prefix", zip_col)
     left = df.withColumn(zip_col, F.col(zip_col).cast("string"))
-    return (left.join(geo, left[zip_col] == geo["geolocation_zip_code_prefix"], "left")
-            .drop(geo["geolocation_zip_code_prefix"]))
+    return split_hot_join(left, geo, zip_col, "left", hot_rows)
 
 
 def convert_customers(customers: DataFrame, geolocation: DataFrame) -> DataFrame:

@@ -1,0 +1,50 @@
+"""Joins that stay balanced when one key holds a large share of the rows.
+
+Adaptive execution splits a skewed partition of a sort-merge join only when
+both inputs are plain shuffles and the join is inner (or the skewed side is
+the preserved side of an outer join). A join whose other input is an
+aggregate or a join on the same key gets no help, and neither does the outer
+side of a left join. ``split_hot_join`` handles those cases explicitly.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A key with more rows than this on the "many" side of a join is hot. The
+# number of hot keys is at most (rows / HOT_ROWS), which bounds what is
+# broadcast for them.
+HOT_ROWS = 1_000_000
+
+
+def split_hot_join(many: DataFrame, one: DataFrame, key: str, how: str = "inner",
+                   hot_rows: int = HOT_ROWS, key_counts: DataFrame | None = None) -> DataFrame:
+    """``many ⋈ one`` on ``key`` where ``one`` has (at most) one row per key.
+
+    Cold keys join by the usual shuffle. Rows of hot keys (more than
+    ``hot_rows`` on the many side) stay where they are and probe a broadcast
+    of the matching rows of ``one`` — at most one per hot key, and at most
+    ``rows(many) / hot_rows`` hot keys — so a key holding a third of all rows
+    is spread over every task that reads it. ``key_counts`` (key, n) may be
+    passed when the caller already has it.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("split_hot_join supports inner and left joins")
+    keyed = many.where(F.col(key).isNotNull())
+    counts = key_counts if key_counts is not None else (
+        keyed.groupBy(key).agg(F.count(F.lit(1)).alias("n")))
+    hot = F.broadcast(counts.where(F.col("n") > hot_rows).select(key))
+    cold_part = keyed.join(hot, key, "left_anti").join(one, key, how)
+    one_hot = F.broadcast(one.join(hot, key, "left_semi"))
+    hot_part = keyed.join(hot, key, "left_semi").join(one_hot, key, how)
+    out = cold_part.unionByName(hot_part)
+    if how == "left":
+        # NULL keys match nothing: they skip the join (and its shuffle, where
+        # they would all meet in one task) and get NULL columns from `one`.
+        nulls = many.where(F.col(key).isNull())
+        for f in one.schema.fields:
+            if f.name != key:
+                nulls = nulls.withColumn(f.name, F.lit(None).cast(f.dataType))
+        out = out.unionByName(nulls)
+    return out

@@ -55,22 +55,24 @@ MB = 1024 * 1024
 def scale_conf(input_bytes: int, cores: int, target_partition_mb: int = 256) -> dict[str, str]:
     """Sizing for a job reading ``input_bytes`` on ``cores`` task slots.
 
-    * file splits of ``target_partition_mb`` (never more than the input spread
-      over the cores, so small inputs still use every core);
+    * file splits of at most ``target_partition_mb``; Spark itself lowers the
+      split to the input spread over the cores (counting a per-file open
+      cost), so small inputs still use every core without tiny tasks;
     * shuffle partitions: enough for ~``target_partition_mb`` per partition
       before adaptive coalescing, at least 2 per core, at most 100 000;
-    * advisory partition size (coalescing target, skew split size, and file
-      size of rebalanced writes) equal to the split size;
+    * advisory partition size (skew split size and file size of rebalanced
+      writes): the input per core, between 8 MB and ``target_partition_mb``;
     * skew threshold at 4x the advisory size.
     """
+    target = target_partition_mb * MB
     per_core = max(1, input_bytes // max(1, cores))
-    split = max(8 * MB, min(target_partition_mb * MB, per_core))
-    parts = max(2 * cores, min(100_000, -(-input_bytes // (target_partition_mb * MB))))
+    advisory = max(8 * MB, min(target, per_core))
+    parts = max(2 * cores, min(100_000, -(-input_bytes // target)))
     return {
-        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.files.maxPartitionBytes": str(target),
         "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(split),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * split),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * advisory),
     }
 
 
