@@ -77,12 +77,13 @@ def main() -> None:
             samples.append(time.perf_counter() - s0)
         times[name] = round(statistics.median(samples), 3)
 
-    fmt = M.format_read_times(spark, t, ONE_YEAR, 10, iterations=runs).collect()
+    copies = M.format_copies(spark, t.orders)
+    fmt = M.format_read_times(spark, t, ONE_YEAR, 10, iterations=runs, copies=copies).collect()
     formats = {f"{r.read_kind}_{r.format}": r.seconds for r in fmt}
     formats.update({f"parquet_speedup_{r.read_kind}": r.speedup_vs_csv
                     for r in fmt if r.format == "parquet"})
     # like for like: the same table (orders) in the three formats
-    footprint = M.measure_storage(spark, t)
+    footprint = M.measure_storage(spark, t, copies)
     storage_rows = M.storage_summary(footprint.where(footprint.table_name == "orders")).collect()
     storage = {r.format: r.bytes for r in storage_rows}
     pct = [r[3] for r in storage_rows if r.format == "parquet"]

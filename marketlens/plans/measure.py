@@ -127,11 +127,13 @@ def format_copies(spark: SparkSession, df: DataFrame) -> dict[str, str]:
 
 
 def format_read_times(spark: SparkSession, t: Tables, year: int, month: int,
-                      iterations: int = 3, project=("order_id", "order_status")) -> DataFrame:
-    """Full / projected / filtered reads of ``orders`` in three formats."""
+                      iterations: int = 3, project=("order_id", "order_status"),
+                      copies: dict[str, str] | None = None) -> DataFrame:
+    """Full / projected / filtered reads of ``orders`` in three formats
+    (``copies``: CSV / JSON paths from ``format_copies``, written if absent)."""
     orders = t.orders
     schema: StructType = orders.schema
-    copies = format_copies(spark, orders)
+    copies = copies or format_copies(spark, orders)
     parquet_path = f"{t.root.rstrip('/')}/orders"
     readers = {
         "csv": lambda: read_csv(spark, copies["csv"], schema, null_value=CSV_NULL),
@@ -203,9 +205,9 @@ def _counts(t: Tables) -> DataFrame:
     return overview(t).where(F.col("table_name") != "total")
 
 
-def measure_storage(spark: SparkSession, t: Tables) -> DataFrame:
+def measure_storage(spark: SparkSession, t: Tables, copies: dict[str, str] | None = None) -> DataFrame:
     """Footprint of the five Parquet datasets plus CSV / JSON copies of orders."""
-    copies = format_copies(spark, t.orders)
+    copies = copies or format_copies(spark, t.orders)
     datasets = {("parquet", name): (f"{t.root.rstrip('/')}/{name}", "*.parquet") for name in LAYOUT}
     datasets[("csv", "orders")] = (copies["csv"], "*.csv")
     datasets[("json", "orders")] = (copies["json"], "*.json")

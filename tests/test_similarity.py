@@ -4,7 +4,6 @@ feature constant across all products (FIXTURES.md §3)."""
 from __future__ import annotations
 
 import pytest
-from pyspark.sql import functions as F
 
 from marketlens.operators import similarity as S
 
@@ -71,4 +70,3 @@ def test_embeddings_self_excluded(spark):
                                "vec_id long, label int, embedding array<float>")
     out = S.similar_embeddings(df, top_n=5).collect()
     assert [(r.vec_id, r.similarity) for r in out] == [(2, 1.0), (3, 0.0)]
-    assert F  # noqa
