@@ -9,6 +9,7 @@
     python -m marketlens formats OUT_DIR YEAR MONTH     # CSV / JSON / Parquet reads
     python -m marketlens check OUT_DIR                  # dataset checks
     python -m marketlens explain NAME OUT_DIR           # plan + partitions read
+    python -m marketlens schema OUT_DIR                 # tables, columns, struct fields
 
 Results are shown with ``DataFrame.show`` (bounded output); nothing else is
 brought to the driver.
@@ -74,6 +75,8 @@ def main(argv: list[str] | None = None) -> int:
     f.add_argument("--iterations", type=int, default=3)
     k = sub.add_parser("check")
     k.add_argument("out_dir")
+    sc = sub.add_parser("schema")
+    sc.add_argument("out_dir")
     e = sub.add_parser("explain")
     e.add_argument("name", choices=sorted(REPORTS))
     e.add_argument("out_dir")
@@ -141,6 +144,9 @@ def main(argv: list[str] | None = None) -> int:
     if a.cmd == "formats":
         M.format_read_times(spark, t, a.year, a.month, a.iterations).show(truncate=False)
         return 0
+    if a.cmd == "schema":
+        C.schema_catalogue(spark, t.as_dict()).show(200, truncate=False)
+        return 0
     if a.cmd == "check":
         out = M.dataset_checks(spark, t)
         out.show(50, truncate=False)

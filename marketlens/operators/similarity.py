@@ -87,7 +87,9 @@ def feature_table(t: Tables) -> DataFrame:
     """
     if t.root is None:
         return materialize(product_features(t))
-    key = (t.orders.sparkSession.sparkContext.applicationId, t.root)
+    from marketlens.session import session_key
+
+    key = (session_key(t.orders.sparkSession), t.root)
     if key not in _FEATURES:
         _FEATURES[key] = materialize(product_features(t))
     return _FEATURES[key]

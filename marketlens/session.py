@@ -45,7 +45,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     return spark
 
 
@@ -78,7 +80,8 @@ def scale_conf(input_bytes: int, cores: int, target_partition_mb: int = 256) ->
 
 def apply_scale_conf(spark: SparkSession, input_bytes: int, cores: int | None = None) -> dict[str, str]:
     """Apply ``scale_conf`` to a running session (SQL settings only)."""
-    cores = cores or spark.sparkContext.defaultParallelism
+    sc = _context(spark)
+    cores = cores or (sc.defaultParallelism if sc is not None else 8)
     conf = scale_conf(input_bytes, cores)
     for k, v in conf.items():
         spark.conf.set(k, v)
@@ -92,17 +95,30 @@ def shared_dir(spark: SparkSession) -> str:
     happens in local tests; a cluster always provides it.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="marketlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a remote (Connect) one."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        return None
+
+
+def session_key(spark: SparkSession) -> str:
+    """Identifies the running application (cache key for per-session state)."""
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A new, unique path under the shared folder (never reused, never wiped)."""
     base = shared_dir(spark)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketlens.operators.etl import convert_all, products_flat
 from marketlens.schemas import LAYOUT, TABLES
-from marketlens.session import scratch_path
+from marketlens.session import scratch_path, session_key
 from marketlens.sinks.parquet import write_table
 from marketlens.sources.testdata import RawInputs, raw_inputs
 
@@ -100,7 +100,7 @@ def tables_for(spark: SparkSession, sf_dir: str) -> Tables:
     The converted folder is written once and never changed, so the opened
     DataFrames (and their file listings) are reused by later queries.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (session_key(spark), sf_dir.rstrip("/"))
     with _LOCK:
         tables = _BUILT.get(key)
         if tables is None:

@@ -17,5 +17,7 @@ def test_cli_round(spark, tmp_path, capsys):
     assert "sample" in capsys.readouterr().out
     assert main(["explain", "q2n", out]) == 0
     assert "PushedFilters" in capsys.readouterr().out
+    assert main(["schema", out]) == 0
+    assert "dimensions.weight_g" in capsys.readouterr().out
     main(["check", out])
     assert "orders files use snappy" in capsys.readouterr().out
