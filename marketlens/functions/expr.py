@@ -43,6 +43,8 @@ def round_ratio(num, den, digits: int, num_scale: int = 0) -> Column:
     decimal such as a money sum); ``den`` a non-negative integer. NULL when
     ``den`` is 0 or either side is NULL. Returned as double.
     """
+    if isinstance(num, str) and isinstance(den, str):
+        return F.expr(round_ratio_sql(num, den, digits, num_scale))
     n = _c(num)
     d = _c(den).cast("decimal(38,0)")
     big_n = (n * F.lit(10 ** num_scale)).cast("decimal(38,0)")
@@ -54,6 +56,19 @@ def round_ratio(num, den, digits: int, num_scale: int = 0) -> Column:
     return F.when(n.isNull() | d.isNull() | (d == 0), F.lit(None).cast("double")).otherwise(value)
 
 
+def round_ratio_sql(num: str, den: str, digits: int, num_scale: int = 0) -> str:
+    """``round_ratio`` as one Spark SQL expression over SQL expressions
+    ``num`` / ``den`` (column names or arithmetic on them)."""
+    n, d = f"({num})", f"({den})"
+    big_n = f"CAST({n} * {10 ** num_scale} AS DECIMAL(38,0))"
+    big_d = f"CAST(CAST({d} AS DECIMAL(38,0)) * {10 ** num_scale} AS DECIMAL(38,0))"
+    twice = f"CAST(2 * abs({big_n}) * {10 ** digits} + {big_d} AS DECIMAL(38,0))"
+    q = f"({twice} div CAST(2 * {big_d} AS DECIMAL(38,0)))"
+    return (f"CASE WHEN {n} IS NULL OR {d} IS NULL OR {d} = 0 THEN CAST(NULL AS DOUBLE) "
+            f"ELSE CAST((CASE WHEN {n} < 0 THEN -1 ELSE 1 END) * {q} AS DOUBLE) "
+            f"/ {float(10 ** digits)}D END")
+
+
 def _int_div(a: Column, b: Column) -> Column:
     """Exact integral division (SQL ``a div b``); a decimal ``/`` would round
     at its result scale first."""
@@ -118,8 +133,10 @@ def between_months(ts_col: str, start: _dt.date, end: _dt.date,
     for y, m in pairs:
         part = part | ((F.col(year_col) == y) & (F.col(month_col) == m))
     ts = F.col(ts_col)
-    return part & (ts >= F.lit(_dt.datetime(start.year, start.month, start.day)).cast("timestamp_ntz")) & (
-        ts < F.lit(_dt.datetime(end.year, end.month, end.day)).cast("timestamp_ntz"))
+    # bounds from ISO text: a string -> timestamp_ntz cast involves no time zone
+    lo = F.lit(f"{start.isoformat()} 00:00:00").cast("timestamp_ntz")
+    hi = F.lit(f"{end.isoformat()} 00:00:00").cast("timestamp_ntz")
+    return part & (ts >= lo) & (ts < hi)
 
 
 def cosine(a, b) -> Column:
