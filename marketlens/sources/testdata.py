@@ -96,13 +96,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def status_name(code_col: str):
-    expr = F.col(code_col)
-    out = None
-    for code, name in STATUS_NAMES.items():
-        out = (F.when(expr == code, F.lit(name)) if out is None
-               else out.when(expr == code, F.lit(name)))
-    return out.otherwise(expr)
+def status_name_sql(code_col: str) -> str:
+    whens = " ".join(f"WHEN '{code}' THEN '{name}'" for code, name in STATUS_NAMES.items())
+    return f"CASE {code_col} {whens} ELSE {code_col} END"
 
 
 def raw_inputs(spark: SparkSession, sf_dir: str) -> RawInputs:
@@ -114,84 +110,77 @@ def raw_inputs(spark: SparkSession, sf_dir: str) -> RawInputs:
     # Per-order shipping dates: partial aggregation keeps hot orders cheap.
     ship = (lineitem.groupBy("l_orderkey")
             .agg(F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship")))
-    raw_orders = (orders.join(ship, orders.o_orderkey == ship.l_orderkey, "left")
-                  .select(
-                      F.col("o_orderkey").alias("order_id"),
-                      F.col("o_custkey").alias("customer_id"),
-                      status_name("o_orderstatus").alias("order_status"),
-                      F.col("o_orderdate").alias("order_purchase_timestamp"),
-                      F.col("o_orderdate").alias("order_approved_at"),
-                      F.col("first_ship").alias("order_delivered_carrier_date"),
-                      F.when(F.col("o_orderstatus") == "F", F.col("last_ship"))
-                       .alias("order_delivered_customer_date"),
-                      (F.col("o_orderdate") + F.expr(f"INTERVAL {ESTIMATE_DAYS} DAYS"))
-                      .alias("order_estimated_delivery_date")))
-
-    items = lineitem.select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("order_item_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_suppkey").alias("seller_id"),
-        F.col("l_shipdate").alias("shipping_limit_date"),
-        F.col("l_extendedprice").alias("price"),
-        F.round(F.col("l_extendedprice").cast(MONEY) * F.col("l_tax").cast(MONEY), 2)
-         .cast("double").alias("freight_value"))
-
-    payments = lineitem.select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("payment_sequential"),
-        F.col("l_returnflag").alias("payment_type"),
-        F.col("l_quantity").cast("int").alias("payment_installments"),
-        F.col("l_extendedprice").alias("payment_value"))
-
-    reviews = (labels.join(documents, "doc_id")
-               .select(
-                   F.col("doc_id").alias("review_id"),
-                   F.col("doc_id").alias("order_id"),
-                   (F.lit(1) + F.lit(2) * F.col("quality") + (F.lit(1) - F.col("toxic")))
-                   .cast("int").alias("review_score"),
-                   F.lit(None).cast("string").alias("review_comment_title"),
-                   F.col("text").alias("review_comment_message"),
-                   F.lit(None).cast("timestamp_ntz").alias("review_creation_date"),
-                   F.lit(None).cast("timestamp_ntz").alias("review_answer_timestamp")))
-
-    products = part.select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_type").alias("product_category_name"),
-        F.length("p_name").cast("double").alias("product_name_lenght"),
-        F.length(F.concat_ws(" ", "p_name", "p_brand")).cast("double").alias("product_description_lenght"),
-        F.lit(1.0).alias("product_photos_qty"),
-        (F.col("p_size") * F.lit(100.0)).alias("product_weight_g"),
-        F.col("p_size").cast("double").alias("product_length_cm"),
-        F.length("p_name").cast("double").alias("product_height_cm"),
-        F.length("p_type").cast("double").alias("product_width_cm"))
-
-    categories = (part.select(F.col("p_type").alias("product_category_name")).distinct()
-                  .select("product_category_name",
-                          F.lower("product_category_name").alias("product_category_name_english")))
+    raw_orders = orders.join(ship, orders.o_orderkey == ship.l_orderkey, "left").selectExpr(
+        "o_orderkey AS order_id",
+        "o_custkey AS customer_id",
+        f"{status_name_sql('o_orderstatus')} AS order_status",
+        "o_orderdate AS order_purchase_timestamp",
+        "o_orderdate AS order_approved_at",
+        "first_ship AS order_delivered_carrier_date",
+        "CASE WHEN o_orderstatus = 'F' THEN last_ship END AS order_delivered_customer_date",
+        f"o_orderdate + INTERVAL {ESTIMATE_DAYS} DAYS AS order_estimated_delivery_date")
+
+    items = lineitem.selectExpr(
+        "l_orderkey AS order_id",
+        "l_linenumber AS order_item_id",
+        "l_partkey AS product_id",
+        "l_suppkey AS seller_id",
+        "l_shipdate AS shipping_limit_date",
+        "l_extendedprice AS price",
+        f"CAST(round(CAST(l_extendedprice AS {MONEY}) * CAST(l_tax AS {MONEY}), 2) AS DOUBLE)"
+        " AS freight_value")
+
+    payments = lineitem.selectExpr(
+        "l_orderkey AS order_id",
+        "l_linenumber AS payment_sequential",
+        "l_returnflag AS payment_type",
+        "CAST(l_quantity AS INT) AS payment_installments",
+        "l_extendedprice AS payment_value")
+
+    reviews = labels.join(documents, "doc_id").selectExpr(
+        "doc_id AS review_id",
+        "doc_id AS order_id",
+        "CAST(1 + 2 * quality + (1 - toxic) AS INT) AS review_score",
+        "CAST(NULL AS STRING) AS review_comment_title",
+        "text AS review_comment_message",
+        "CAST(NULL AS TIMESTAMP_NTZ) AS review_creation_date",
+        "CAST(NULL AS TIMESTAMP_NTZ) AS review_answer_timestamp")
+
+    products = part.selectExpr(
+        "p_partkey AS product_id",
+        "p_type AS product_category_name",
+        "CAST(length(p_name) AS DOUBLE) AS product_name_lenght",
+        "CAST(length(concat_ws(' ', p_name, p_brand)) AS DOUBLE) AS product_description_lenght",
+        "1.0D AS product_photos_qty",
+        "p_size * 100.0D AS product_weight_g",
+        "CAST(p_size AS DOUBLE) AS product_length_cm",
+        "CAST(length(p_name) AS DOUBLE) AS product_height_cm",
+        "CAST(length(p_type) AS DOUBLE) AS product_width_cm")
+
+    categories = (part.selectExpr("p_type AS product_category_name").distinct()
+                  .selectExpr("product_category_name",
+                              "lower(product_category_name) AS product_category_name_english"))
 
     nat = nation.select("n_nationkey", "n_name")
-    customers = (customer.join(nat, customer.c_nationkey == nat.n_nationkey, "left")
-                 .select(
-                     F.col("c_custkey").alias("customer_id"),
-                     F.col("c_name").alias("customer_unique_id"),
-                     F.col("c_nationkey").alias("customer_zip_code_prefix"),
-                     F.col("c_mktsegment").alias("customer_city"),
-                     F.col("n_name").alias("customer_state")))
-
-    sellers = (supplier.join(nat, supplier.s_nationkey == nat.n_nationkey, "left")
-               .select(
-                   F.col("s_suppkey").alias("seller_id"),
-                   F.col("s_nationkey").alias("seller_zip_code_prefix"),
-                   F.col("s_name").alias("seller_city"),
-                   F.col("n_name").alias("seller_state")))
-
-    geolocation = customer.select(
-        F.col("c_nationkey").alias("geolocation_zip_code_prefix"),
-        F.floor(F.col("c_acctbal") / 100).cast("double").alias("geolocation_lat"),
-        (-F.floor(F.col("c_acctbal") / 10)).cast("double").alias("geolocation_lng"),
-        F.col("c_mktsegment").alias("geolocation_city"),
-        F.lit(None).cast("string").alias("geolocation_state"))
+    customers = customer.join(nat, customer.c_nationkey == nat.n_nationkey, "left").selectExpr(
+        "c_custkey AS customer_id",
+        "c_name AS customer_unique_id",
+        "c_nationkey AS customer_zip_code_prefix",
+        "c_mktsegment AS customer_city",
+        "n_name AS customer_state")
+
+    sellers = supplier.join(nat, supplier.s_nationkey == nat.n_nationkey, "left").selectExpr(
+        "s_suppkey AS seller_id",
+        "s_nationkey AS seller_zip_code_prefix",
+        "s_name AS seller_city",
+        "n_name AS seller_state")
+
+    geolocation = customer.selectExpr(
+        "c_nationkey AS geolocation_zip_code_prefix",
+        "CAST(floor(c_acctbal / 100) AS DOUBLE) AS geolocation_lat",
+        "CAST(-floor(c_acctbal / 10) AS DOUBLE) AS geolocation_lng",
+        "c_mktsegment AS geolocation_city",
+        "CAST(NULL AS STRING) AS geolocation_state")
 
     return RawInputs(raw_orders, items, payments, reviews, products, categories,
                      customers, sellers, geolocation)
