@@ -63,10 +63,21 @@ def main() -> None:
     spark.range(1_000_000).selectExpr("sum(id) AS s", "count(DISTINCT id % 1000) AS d").collect()
 
     times: dict[str, float] = {}
-    t0 = time.perf_counter()
-    W.tables_for(spark, sf_dir)  # convert once: the load step
-    times["etl_convert"] = round(time.perf_counter() - t0, 3)
-    t = W.tables_for(spark, sf_dir)
+    # The load step: convert the driver tables into the five datasets. The
+    # first run (cold code generation) is reported apart; like the reports,
+    # the timed value is the median of `runs` full conversions, each into a
+    # fresh folder. The last one is queried.
+    from marketlens.session import scratch_path
+    from marketlens.sources.testdata import raw_inputs
+
+    etl_samples = []
+    for _ in range(runs):
+        t0 = time.perf_counter()
+        root = W.build_warehouse(raw_inputs(spark, sf_dir), scratch_path(spark, "warehouse"))
+        etl_samples.append(time.perf_counter() - t0)
+    times["etl_convert"] = round(statistics.median(etl_samples), 3)
+    t = W.open_tables(spark, root)
+    W.register_built(spark, sf_dir, t)
 
     for name in HEADLINE:
         samples = []
@@ -98,6 +109,7 @@ def main() -> None:
         "sf": _sf(sf_dir),
         "cpus": cpus,
         "runs": runs,
+        "etl_convert_first_run": round(etl_samples[0], 3),
         "input_bytes": int(input_bytes),
         "conf": conf,
         "formats": formats,

@@ -18,8 +18,13 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 
 
+# Number of salt values a hot key is spread over by ``strategy="salt"``.
+SALTS = 64
+
+
 def split_hot_join(many: DataFrame, one: DataFrame, key: str, how: str = "inner",
-                   hot_rows: int = HOT_ROWS, key_counts: DataFrame | None = None) -> DataFrame:
+                   hot_rows: int = HOT_ROWS, key_counts: DataFrame | None = None,
+                   strategy: str = "broadcast", salts: int = SALTS) -> DataFrame:
     """``many ⋈ one`` on ``key`` where ``one`` has (at most) one row per key.
 
     Cold keys join by the usual shuffle. Rows of hot keys (more than
@@ -28,6 +33,14 @@ def split_hot_join(many: DataFrame, one: DataFrame, key: str, how: str = "inner"
     ``rows(many) / hot_rows`` hot keys — so a key holding a third of all rows
     is spread over every task that reads it. ``key_counts`` (key, n) may be
     passed when the caller already has it.
+
+    ``strategy="salt"`` is for a ``one`` side that may hold several rows per
+    key (so no size bound for a broadcast): rows of hot keys get a salt in
+    ``[0, salts)`` from a hash of the row, the hot keys' rows of ``one`` are
+    replicated once per salt, and the two join on (key, salt) through a
+    normal shuffle — each hot key is spread over ``salts`` tasks. The many side
+    must not hold identical rows in bulk (e.g. it is a ``distinct()`` output),
+    since identical rows get the same salt.
     """
     if how not in ("inner", "left"):
         raise ValueError("split_hot_join supports inner and left joins")
@@ -36,8 +49,19 @@ def split_hot_join(many: DataFrame, one: DataFrame, key: str, how: str = "inner"
         keyed.groupBy(key).agg(F.count(F.lit(1)).alias("n")))
     hot = F.broadcast(counts.where(F.col("n") > hot_rows).select(key))
     cold_part = keyed.join(hot, key, "left_anti").join(one, key, how)
-    one_hot = F.broadcast(one.join(hot, key, "left_semi"))
-    hot_part = keyed.join(hot, key, "left_semi").join(one_hot, key, how)
+    many_hot = keyed.join(hot, key, "left_semi")
+    if strategy == "broadcast":
+        one_hot = F.broadcast(one.join(hot, key, "left_semi"))
+        hot_part = many_hot.join(one_hot, key, how)
+    elif strategy == "salt":
+        salted = many_hot.withColumn(
+            "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in many_hot.columns]), F.lit(salts)))
+        one_hot = (one.join(hot, key, "left_semi")
+                   .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                             F.lit(salts - 1).cast("long")))))
+        hot_part = salted.join(one_hot, [key, "_salt"], how).drop("_salt")
+    else:
+        raise ValueError(f"unknown strategy {strategy!r}")
     out = cold_part.unionByName(hot_part)
     if how == "left":
         # NULL keys match nothing: they skip the join (and its shuffle, where

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.expr import cosine, label_or_unknown, money
+from marketlens.operators.joins import split_hot_join
 from marketlens.sources.warehouse import Tables
 
 # The eleven features, in vector order.
@@ -50,7 +51,10 @@ def product_features(t: Tables) -> DataFrame:
     reviews = t.reviews.select(
         "review_id", "order_id",
         F.expr("try_cast(review_score AS double)").alias("review_score"))
-    per_product_reviews = (reviews.join(order_products, "order_id")
+    # (order, product) pairs are distinct, reviews may be several per order:
+    # an order with a huge number of products is salted over many tasks.
+    per_product_reviews = (split_hot_join(order_products, reviews, "order_id", "inner",
+                                          strategy="salt")
                            .groupBy("product_id")
                            .agg(F.avg("review_score").alias("avg_review"),
                                 F.countDistinct("review_id").alias("review_count")))

@@ -108,3 +108,9 @@ def tables_for(spark: SparkSession, sf_dir: str) -> Tables:
             tables = open_tables(spark, root)
             _BUILT[key] = tables
     return tables
+
+
+def register_built(spark: SparkSession, sf_dir: str, tables: Tables) -> None:
+    """Record converted tables for ``sf_dir`` (so ``tables_for`` reuses them)."""
+    with _LOCK:
+        _BUILT[(session_key(spark), sf_dir.rstrip("/"))] = tables

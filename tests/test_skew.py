@@ -112,3 +112,17 @@ def test_null_keys_skip_the_join(spark, skew_conf):
                                             (2, 4, "b"), (2, 5, "b")])
     inner = sorted(tuple(r) for r in split_hot_join(many, one, "k", "inner", hot_rows=1).collect())
     assert inner == [(1, 3, "a"), (2, 4, "b"), (2, 5, "b")]
+
+
+def test_salted_join_spreads_hot_key_with_many_rows_on_both_sides(spark, skew_conf):
+    from marketlens.operators.joins import split_hot_join
+
+    many = spark.range(6000).select((F.col("id") % 3 == 0).cast("int").alias("k"), F.col("id").alias("p"))
+    many = many.unionByName(spark.range(3000).select(F.lit(7).alias("k"), (F.col("id") + 10**6).alias("p")))
+    one = spark.createDataFrame([(7, "r1"), (7, "r2"), (0, "r3"), (1, "r4")], "k int, r string")
+    df = split_hot_join(many, one, "k", "inner", hot_rows=2500, strategy="salt", salts=8)
+    plain = many.join(one, "k", "inner")
+    assert df.count() == plain.count() == 3000 * 2 + 4000 + 2000
+    assert df.exceptAll(plain).count() == 0 and plain.exceptAll(df).count() == 0
+    per_task = df.select(F.spark_partition_id().alias("t")).groupBy("t").count().collect()
+    assert max(r["count"] for r in per_task) < 6000
