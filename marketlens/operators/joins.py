@@ -12,26 +12,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key with more rows than this on the "many" side of a join is hot. The
-# number of hot keys is at most (rows / HOT_ROWS), which bounds what is
-# broadcast for them.
+# A key is hot when it has more than HOT_ROWS rows on the "many" side of a
+# join AND more than 1 / MAX_HOT_KEYS of all its rows. The second condition
+# caps the hot set at MAX_HOT_KEYS keys whatever the data size (the counts sum
+# to the total), which bounds what is broadcast for them.
 HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 100_000
 
 
 # Number of salt values a hot key is spread over by ``strategy="salt"``.
 SALTS = 64
 
 
+def hot_keys(counts: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys of ``counts`` (key, n) above ``hot_rows`` and above 1/MAX_HOT_KEYS
+    of the total: fewer than MAX_HOT_KEYS rows by construction."""
+    total = counts.agg(F.sum("n")).scalar()
+    floor = F.greatest(F.lit(hot_rows).cast("double"), total / F.lit(float(MAX_HOT_KEYS)))
+    return counts.where(F.col("n") > floor).select(key)
+
+
 def split_hot_join(many: DataFrame, one: DataFrame, key: str, how: str = "inner",
                    hot_rows: int = HOT_ROWS, key_counts: DataFrame | None = None,
                    strategy: str = "broadcast", salts: int = SALTS) -> DataFrame:
     """``many ⋈ one`` on ``key`` where ``one`` has (at most) one row per key.
 
     Cold keys join by the usual shuffle. Rows of hot keys (more than
-    ``hot_rows`` on the many side) stay where they are and probe a broadcast
-    of the matching rows of ``one`` — at most one per hot key, and at most
-    ``rows(many) / hot_rows`` hot keys — so a key holding a third of all rows
-    is spread over every task that reads it. ``key_counts`` (key, n) may be
+    ``hot_rows`` and more than 1/``MAX_HOT_KEYS`` of all rows on the many
+    side) stay where they are and probe a broadcast of the matching rows of
+    ``one`` — at most one per hot key, and fewer than ``MAX_HOT_KEYS`` hot
+    keys — so a key holding a third of all rows is spread over every task
+    that reads it. ``key_counts`` (key, n) may be
     passed when the caller already has it.
 
     ``strategy="salt"`` is for a ``one`` side that may hold several rows per
@@ -47,7 +58,7 @@ def split_hot_join(many: DataFrame, one: DataFrame, key: str, how: str = "inner"
     keyed = many.where(F.col(key).isNotNull())
     counts = key_counts if key_counts is not None else (
         keyed.groupBy(key).agg(F.count(F.lit(1)).alias("n")))
-    hot = F.broadcast(counts.where(F.col("n") > hot_rows).select(key))
+    hot = F.broadcast(hot_keys(counts, key, hot_rows))
     cold_part = keyed.join(hot, key, "left_anti").join(one, key, how)
     many_hot = keyed.join(hot, key, "left_semi")
     if strategy == "broadcast":

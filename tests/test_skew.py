@@ -126,3 +126,24 @@ def test_salted_join_spreads_hot_key_with_many_rows_on_both_sides(spark, skew_co
     assert df.exceptAll(plain).count() == 0 and plain.exceptAll(df).count() == 0
     per_task = df.select(F.spark_partition_id().alias("t")).groupBy("t").count().collect()
     assert max(r["count"] for r in per_task) < 6000
+
+
+def test_hot_set_is_capped(spark, skew_conf, monkeypatch):
+    """With every key above the absolute floor, only keys above 1/MAX_HOT_KEYS
+    of all rows are hot, so the broadcast set never exceeds MAX_HOT_KEYS."""
+    from marketlens.operators import joins
+
+    monkeypatch.setattr(joins, "MAX_HOT_KEYS", 4)
+    many = spark.range(1000).select((F.col("id") % 10).alias("k"), F.col("id").alias("v"))
+    many = many.unionByName(spark.range(1000).select(F.lit(3).cast("long").alias("k"),
+                                                     (F.col("id") + 5000).alias("v")))
+    one = spark.range(10).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    df = joins.split_hot_join(many, one, "k", "inner", hot_rows=0)
+    assert df.count() == 2000
+    plan = plan_text(df, "simple")
+    assert "BroadcastHashJoin" in plan
+    counts = many.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    # key 3 holds 1100 of 2000 rows; every other key 100 (< 2000 / 4)
+    assert [r.k for r in joins.hot_keys(counts, "k", hot_rows=0).collect()] == [3]
+    monkeypatch.setattr(joins, "MAX_HOT_KEYS", 100)
+    assert joins.hot_keys(counts, "k", hot_rows=0).count() == 10
