@@ -133,13 +133,12 @@ def main(argv: list[str] | None = None) -> int:
     if a.cmd == "similar":
         from marketlens.operators import similarity as S
 
-        feats = S.materialize(S.product_features(t))
         if a.product_id is None:
             print("Popular products (pick one):")
-            S.popular_products(feats, 10).show(truncate=False)
+            S.popular_products(S.feature_table(t), 10).show(truncate=False)
             return 0
         pid = _params([f"id={a.product_id}"])["id"]
-        S.find_similar(S.scale_features(feats), pid, a.top).show(a.top + 5, truncate=False)
+        S.find_similar(S.scaled_table(t), pid, a.top).show(a.top + 5, truncate=False)
         return 0
     if a.cmd == "formats":
         M.format_read_times(spark, t, a.year, a.month, a.iterations).show(truncate=False)

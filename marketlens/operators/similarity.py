@@ -115,9 +115,28 @@ def scale_features(features: DataFrame) -> DataFrame:
 
 
 def with_vector(scaled: DataFrame) -> DataFrame:
+    if "vector" in scaled.columns:
+        return scaled
     return scaled.withColumn("vector", F.array(*[F.col(f"s_{f}") for f in FEATURES]))
 
 
+_SCALED: dict[tuple[str, str], DataFrame] = {}
+
+
+def scaled_table(t: Tables) -> DataFrame:
+    """Scaled feature vectors of a converted snapshot, materialised once (the
+    bounds subquery and the vector assembly then run once per snapshot, not
+    once per lookup)."""
+    if t.root is None:
+        return materialize(with_vector(scale_features(feature_table(t))))
+    from marketlens.session import session_key
+
+    key = (session_key(t.orders.sparkSession), t.root)
+    if key not in _SCALED:
+        _SCALED[key] = materialize(with_vector(scale_features(feature_table(t))))
+    return _SCALED[key]
+
+
 def popular_products(features: DataFrame, n: int = 10) -> DataFrame:
     """The n products with the most orders (ties: smaller product id first)."""
     return (features.select("product_id", label_or_unknown("category_english").alias("category"),

@@ -54,7 +54,7 @@ def _features(t):
 def _top_n(t):
     """Products most similar to the most ordered product (SIM4 with SIM5's pick)."""
     feats = _features(t)
-    return SIM.similar_products(SIM.scale_features(feats), SIM.most_popular_id(feats), SIM_TOP_N)
+    return SIM.similar_products(SIM.scaled_table(t), SIM.most_popular_id(feats), SIM_TOP_N)
 
 
 def _with(fn) -> Query:
@@ -113,8 +113,7 @@ QUERIES: dict[str, Query] = {
     "sim_scaled": _with(lambda s, t: SIM.scale_features(_features(t))),
     "sim_popular": _with(lambda s, t: SIM.popular_products(SIM.product_features(t), 10)),
     "sim_top_n": _with(lambda s, t: _top_n(t)),
-    "sim_unknown_id": _with(lambda s, t: SIM.find_similar(
-        SIM.scale_features(_features(t)), UNKNOWN_ID, SIM_TOP_N)),
+    "sim_unknown_id": _with(lambda s, t: SIM.find_similar(SIM.scaled_table(t), UNKNOWN_ID, SIM_TOP_N)),
     "sim_embeddings": lambda s, d: SIM.similar_embeddings(read_table(s, d, "embeddings"), SIM_TOP_N),
     # measurement and data quality (sizes and times: no SQL twin)
     "msr_storage": _with(lambda s, t: M.measure_storage(s, t)),
