@@ -15,6 +15,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,9 @@ from marketlens.schemas import LAYOUT
 from marketlens.session import scratch_path
 
 
+_OVERWRITE_LOCK = threading.Lock()
+
+
 def new_namespace(spark: SparkSession, prefix: str = "marketlens") -> str:
     """A fresh database under the shared folder (unique name per call)."""
     name = f"{prefix}_{uuid.uuid4().hex[:10]}"
@@ -72,12 +76,16 @@ def insert_idempotent(spark: SparkSession, df: DataFrame, fq_table: str) -> None
     the target table is used (``insertInto`` is positional).
     """
     target_cols = spark.table(fq_table).columns
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.select(*target_cols).write.insertInto(fq_table, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    # insertInto ignores a per-write partitionOverwriteMode option (the
+    # session setting decides), so the setting is switched for this write
+    # only; the lock keeps our own concurrent loads from interleaving.
+    with _OVERWRITE_LOCK:
+        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        try:
+            df.select(*target_cols).write.insertInto(fq_table, overwrite=True)
+        finally:
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
 def insert_append(df: DataFrame, fq_table: str) -> None:
