@@ -137,7 +137,10 @@ def main(argv: list[str] | None = None) -> int:
             print("Popular products (pick one):")
             S.popular_products(S.feature_table(t), 10).show(truncate=False)
             return 0
-        pid = _params([f"id={a.product_id}"])["id"]
+        # the id's type follows the table (hex strings in the raw data, longs
+        # in the test data); never guess it from the text
+        id_type = t.products.schema["product_id"].dataType.simpleString()
+        pid = a.product_id if id_type == "string" else int(a.product_id)
         S.find_similar(S.scaled_table(t), pid, a.top).show(a.top + 5, truncate=False)
         return 0
     if a.cmd == "formats":
