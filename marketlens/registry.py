@@ -82,6 +82,8 @@ QUERIES: dict[str, Query] = {
     "n5_one_star_categories": _on_tables(R.one_star_categories, k=5),
     "n6_top_categories_quarter_city": _on_tables(R.top_categories_in_quarter, year=QUARTER[0],
                                                  quarter=QUARTER[1], city=CITY, k=5),
+    "n6_top_categories_quarter": _on_tables(R.top_categories_in_quarter, year=QUARTER[0],
+                                            quarter=QUARTER[1], city=None, k=5),
     "n7_top_categories_year": _on_tables(R.top_categories_in_year, year=ONE_YEAR, k=5),
     "n8_states_quarter": _on_tables(R.states_by_orders_in_quarter, year=QUARTER[0],
                                     quarter=QUARTER[1], k=5),
@@ -140,6 +142,7 @@ ORACLE: dict[str, str] = {
     "n4_worst_review_states": oracle.n4(5),
     "n5_one_star_categories": oracle.n5(5),
     "n6_top_categories_quarter_city": oracle.n6(QUARTER[0], QUARTER[1], CITY, 5),
+    "n6_top_categories_quarter": oracle.n6(QUARTER[0], QUARTER[1], None, 5),
     "n7_top_categories_year": oracle.n7(ONE_YEAR, 5),
     "n8_states_quarter": oracle.n8(QUARTER[0], QUARTER[1], 5),
     "adhoc_sql": oracle.q7(5),
