@@ -64,7 +64,10 @@ def scale_conf(input_bytes: int, cores: int, target_partition_mb: int = 256) ->
       before adaptive coalescing, at least 2 per core, at most 100 000;
     * advisory partition size (skew split size and file size of rebalanced
       writes): the input per core, between 8 MB and ``target_partition_mb``;
-    * skew threshold at 4x the advisory size.
+    * skew threshold at 4x the advisory size;
+    * size estimates of Parquet inputs scaled by 4 (its usual compression
+      ratio), so the static broadcast decision sees in-memory sizes rather
+      than compressed file sizes.
     """
     target = target_partition_mb * MB
     per_core = max(1, input_bytes // max(1, cores))
@@ -75,6 +78,7 @@ def scale_conf(input_bytes: int, cores: int, target_partition_mb: int = 256) ->
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * advisory),
+        "spark.sql.sources.fileCompressionFactor": "4.0",
     }
 
 
