@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import sys
+
 from marketlens.cli import main
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
 
 def test_cli_round(spark, tmp_path, capsys):
     out = str(tmp_path / "wh")
@@ -21,3 +26,20 @@ def test_cli_round(spark, tmp_path, capsys):
     assert "dimensions.weight_g" in capsys.readouterr().out
     main(["check", out])
     assert "orders files use snappy" in capsys.readouterr().out
+
+
+def test_cli_convert_raw_csv(spark, tmp_path, capsys):
+    from marketlens.schemas import RAW_FILES
+    from test_etl_fixtures import CSV
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    for key, text in CSV.items():
+        (raw / RAW_FILES[key]).write_text(text)
+    out = str(tmp_path / "lake")
+    assert main(["convert", str(raw), out]) == 0
+    text = capsys.readouterr().out
+    assert "orders" in text and "year, month" in text
+    assert main(["similar", out, "p1", "--top", "2"]) == 0
+    assert "similar" in capsys.readouterr().out
+    assert main(["check", out]) == 0
