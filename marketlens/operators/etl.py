@@ -20,8 +20,10 @@ Scale notes. Every aggregation here is algebraic (min/max/sum/count), so
 Spark's partial aggregation collapses a hot key map-side before the shuffle.
 The item join is written as ``items ⋈ orders`` (inner) plus ``orders ▷ items``
 (anti, against the item keys) instead of one left join, and the inner part
-splits hot orders explicitly (``split_hot_join``): an order with more than
-``HOT_ROWS`` items never lands in one task. Adaptive skew handling cannot do
+splits hot orders explicitly (``split_hot_join``): the rows of an order with
+more than ``HOT_ROWS`` items (and more than 1/``MAX_HOT_KEYS`` of all items)
+are joined where they are read, never gathered into one task; every other
+order holds at most that many rows. Adaptive skew handling cannot do
 this here, because the order side is itself a join / aggregate output on the
 same key (its skew rule needs two plain shuffles), and it never splits the
 outer side of a left join.
@@ -48,6 +50,7 @@ ITEM_COLUMNS = ["order_item_id", "product_id", "seller_id", "shipping_limit_date
 
 PAYMENT_ORDER = ["payment_sequential", "payment_type", "payment_installments", "payment_value"]
 
+
 def payments_per_order(payments: DataFrame) -> DataFrame:
     """One row per order: first payment type, max installments, value sum."""
     return (payments.where(F.col("order_id").isNotNull())

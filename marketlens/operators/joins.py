@@ -4,7 +4,9 @@ Adaptive execution splits a skewed partition of a sort-merge join only when
 both inputs are plain shuffles and the join is inner (or the skewed side is
 the preserved side of an outer join). A join whose other input is an
 aggregate or a join on the same key gets no help, and neither does the outer
-side of a left join. ``split_hot_join`` handles those cases explicitly.
+side of a left join. ``split_hot_join`` handles those cases explicitly: a
+cold key holds at most max(HOT_ROWS, rows / MAX_HOT_KEYS) rows, which one
+task handles (spilling if needed); hot keys never gather in one task.
 """
 
 from __future__ import annotations
@@ -19,7 +21,6 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 100_000
 
-
 # Number of salt values a hot key is spread over by ``strategy="salt"``.
 SALTS = 64
 
