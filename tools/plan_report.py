@@ -67,7 +67,7 @@ def main(argv):
     lines = [
         "# Physical plans of the registered queries",
         "",
-        f"Generated by `tools/plan_report.py` on `{sf_dir}` (local[8], adaptive execution on;",
+        f"Generated by `tools/plan_report.py` on `{sf_dir}` (local[8], adaptive execution on).",
         "`initial` counts come from the plan before execution; `after run` from the final",
         "adaptive plan (queries with small results only). Joins are broadcast at this size",
         "because the dimension tables are small; at scale the same plans use sort-merge",
