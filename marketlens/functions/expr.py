@@ -140,7 +140,16 @@ def between_months(ts_col: str, start: _dt.date, end: _dt.date,
 
 
 def cosine(a, b) -> Column:
-    """Cosine of two equal-length double arrays; 0.0 when a norm is 0."""
+    """Cosine of two equal-length double arrays; 0.0 when a norm is 0.
+
+    Sums run left to right from 0.0 (the same order as the SQL twin).
+    """
+    if isinstance(a, str) and isinstance(b, str):
+        fold = "0D, (s, x) -> s + x"
+        dot = f"aggregate(zip_with({a}, {b}, (x, y) -> x * y), {fold})"
+        na = f"sqrt(aggregate(transform({a}, x -> x * x), {fold}))"
+        nb = f"sqrt(aggregate(transform({b}, x -> x * x), {fold}))"
+        return F.expr(f"CASE WHEN {na} * {nb} > 0 THEN {dot} / ({na} * {nb}) ELSE 0D END")
     dot = F.aggregate(F.zip_with(_c(a), _c(b), lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     na = F.sqrt(F.aggregate(F.transform(_c(a), lambda x: x * x), F.lit(0.0), lambda s, x: s + x))
     nb = F.sqrt(F.aggregate(F.transform(_c(b), lambda x: x * x), F.lit(0.0), lambda s, x: s + x))

@@ -164,7 +164,7 @@ def similar_products(scaled: DataFrame, product_id, top_n: int = 5) -> DataFrame
     target = (v.where(F.col("product_id") == pid)
               .agg(F.min(F.struct("product_id", "vector")).alias("t")).scalar())
     v = v.select("*", target.alias("_t"))
-    sim = F.round(cosine(F.col("vector"), F.col("_t.vector")), SIM_DIGITS)
+    sim = F.round(cosine("vector", "_t.vector"), SIM_DIGITS)
     return (v.where(F.col("_t").isNotNull() & (F.col("product_id") != F.col("_t.product_id")))
             .select("product_id", label_or_unknown("category_english").alias("category"),
                     "avg_price", "avg_review", sim.alias("similarity"))
@@ -202,7 +202,7 @@ def similar_embeddings(embeddings: DataFrame, top_n: int = 10, vec_id=None) -> D
     target = (pick.orderBy(F.col("vec_id").asc()).limit(1)
               .select(F.struct("vec_id", "v").alias("t")).scalar())
     e = e.select("*", target.alias("_t")).where(F.col("vec_id") != F.col("_t.vec_id"))
-    sim = F.round(cosine(F.col("v"), F.col("_t.v")), SIM_DIGITS)
+    sim = F.round(cosine("v", "_t.v"), SIM_DIGITS)
     return (e.select("vec_id", "label", sim.alias("similarity"))
             .orderBy(F.col("similarity").desc_nulls_last(), F.col("vec_id").asc())
             .limit(top_n))

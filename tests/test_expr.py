@@ -99,3 +99,30 @@ def test_between_months_prunes_partitions(spark, tables):
     full = tables.orders.where((F.col("order_purchase_timestamp") >= dt.datetime(1997, 10, 1))
                                & (F.col("order_purchase_timestamp") < dt.datetime(1998, 1, 1)))
     assert df.count() == full.count()
+
+
+def test_cosine_sql_and_column_forms_agree(spark):
+    df = spark.createDataFrame([([0.1, 0.7, 0.3], [0.9, 0.2, 0.4]), ([0.0, 0.0, 0.0], [1.0, 1.0, 1.0])],
+                               "a array<double>, b array<double>")
+    rows = df.select(cosine("a", "b").alias("s"), cosine(F.col("a"), F.col("b")).alias("c")).collect()
+    assert all(r.s == r.c for r in rows) and rows[1].s == 0.0
+
+
+def test_scale_conf_bounds():
+    from marketlens.session import MB, scale_conf
+
+    small = scale_conf(40 * MB, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert int(small["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) == 8 * MB
+    huge = scale_conf(100 * 1024 ** 4, 8000)
+    assert int(huge["spark.sql.shuffle.partitions"]) == 100_000
+    assert int(huge["spark.sql.files.maxPartitionBytes"]) == 256 * MB
+    assert int(huge["spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"]) == 4 * 256 * MB
+
+
+def test_csv_round_trip_keeps_empty_strings_and_nulls(spark, tmp_path):
+    from marketlens.plans.roundtrip import csv_roundtrip
+
+    df = spark.createDataFrame([(1, "", None), (2, ' a,"b"\nc ', "x")], "id int, s string, t string")
+    back = {r.id: (r.s, r.t) for r in csv_roundtrip(spark, df).collect()}
+    assert back == {1: ("", None), 2: (' a,"b"\nc ', "x")}
