@@ -4,7 +4,8 @@ Usage: python tools/oracle_check.py [sf_dir] [name ...]
 
 Compares row count, column names / types and an order-insensitive hash of
 the values (exact, no float tolerance). Prints one line per query and a
-summary; exit code 1 on any mismatch.
+summary; exit code 1 on any mismatch. With ``ORACLE_JSON=path`` set, the
+per-query results are also written there as JSON.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import hashlib
+import json
 import os
 import sys
 import time
@@ -68,6 +70,7 @@ def main(argv):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
     qs, sqls = entry.queries(), entry.oracle_sql()
     bad = 0
+    report = {}
     for name, fn in qs.items():
         if only and name not in only:
             continue
@@ -84,6 +87,7 @@ def main(argv):
         ts = time.time() - t0
         if name not in sqls:
             print(f"rows-only {name}: {len(srows)} rows ({ts:.1f}s)")
+            report[name] = {"check": "rows-only", "rows": len(srows), "seconds": round(ts, 2)}
             continue
         try:
             cur = con.execute(sqls[name])
@@ -102,6 +106,8 @@ def main(argv):
                 if TYPE_MAP.get(a, a) != b}
         tnote = f" TYPES {tmis}" if tmis else ""
         print(f"{status} {name}: rows {len(srows)}/{len(drows)} hash {sh}/{dh} ({ts:.1f}s){tnote}")
+        report[name] = {"check": "oracle", "match": ok, "types_match": not tmis,
+                        "rows": [len(srows), len(drows)], "hash": [sh, dh], "seconds": round(ts, 2)}
         if not ok:
             bad += 1
             if sorted(scols) != sorted(dcols):
@@ -111,6 +117,9 @@ def main(argv):
             dd = [x for x in dl if x not in set(sl)][:3]
             print("   spark-only", sd, "\n   duck-only ", dd)
     print(f"mismatches: {bad}")
+    if os.environ.get("ORACLE_JSON"):
+        with open(os.environ["ORACLE_JSON"], "w") as fh:
+            json.dump({"sf_dir": sf_dir, "mismatches": bad, "queries": report}, fh, indent=1)
     return 1 if bad else 0
 
 
