@@ -101,6 +101,14 @@ def main() -> None:
     if pct:
         storage["parquet_orders_vs_csv_pct_smaller"] = pct[0]
 
+    # Pruning evidence: what a one-month order filter and the low-review
+    # filter actually read (partitions, files, bytes) against the whole table.
+    pruning = {}
+    for label, name in (("orders_one_month", "msr_pruning"), ("reviews_score_le_2", "msr_pruning_reviews")):
+        r = QUERIES[name](spark, sf_dir).first()
+        pruning[label] = {"partitions_read": r.partitions_read, "files_read": r.files_read,
+                          "files_total": r.files_total, "pct_bytes_read": r.pct_bytes_read}
+
     out = {
         "metric": "workload_seconds",
         "value": round(sum(times.values()), 3),
@@ -114,6 +122,7 @@ def main() -> None:
         "conf": conf,
         "formats": formats,
         "storage": storage,
+        "pruning": pruning,
     }
     line = json.dumps(out)
     # Keep a copy of the run's metrics as JSON lines next to the other scratch output.

@@ -122,6 +122,9 @@ QUERIES: dict[str, Query] = {
     "msr_pruning": _with(lambda s, t: M.pruning_evidence(
         RT.parquet_partition_filter(t, ONE_YEAR, 10),
         M.list_files(s, f"{t.root}/orders", "*.parquet"), ["year", "month"])),
+    "msr_pruning_reviews": _with(lambda s, t: M.pruning_evidence(
+        t.reviews.where("review_score <= 2"),
+        M.list_files(s, f"{t.root}/reviews", "*.parquet"), ["review_score"])),
     "msr_formats": _with(lambda s, t: M.format_read_times(s, t, ONE_YEAR, 10, iterations=1)),
     "dq_checks": _with(lambda s, t: M.dataset_checks(s, t, review_partitions=4)),
 }
