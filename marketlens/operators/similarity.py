@@ -172,11 +172,6 @@ def similar_products(scaled: DataFrame, product_id, top_n: int = 5) -> DataFrame
             .limit(top_n))
 
 
-def sample_ids(scaled: DataFrame, n: int = 5) -> DataFrame:
-    """First n products by id (what to suggest when an id is unknown)."""
-    return scaled.select("product_id").orderBy("product_id").limit(n)
-
-
 def find_similar(scaled: DataFrame, product_id, top_n: int = 5, n_samples: int = 5) -> DataFrame:
     """Similar products, or — when the id is unknown — sample ids to pick from.
 

@@ -9,7 +9,6 @@ only when the setting is missing (local tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -127,21 +126,3 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A new, unique path under the shared folder (never reused, never wiped)."""
     base = shared_dir(spark)
     return "/".join([base, "marketlens", *parts, uuid.uuid4().hex])
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    """Strip a ``file:`` scheme for os-level helpers used in tests."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def ensure_local_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_fs_path(path), exist_ok=True)
