@@ -7,7 +7,7 @@
     python -m marketlens sql OUT_DIR "SELECT ..."       # ad-hoc SQL over the views
     python -m marketlens similar OUT_DIR [PRODUCT_ID] [--top N]
     python -m marketlens formats OUT_DIR YEAR MONTH     # CSV / JSON / Parquet reads
-    python -m marketlens check OUT_DIR                  # dataset checks
+    python -m marketlens check OUT_DIR [--min-rows orders=90000 ...] [--review-partitions 5]
     python -m marketlens explain NAME OUT_DIR           # plan + partitions read
     python -m marketlens schema OUT_DIR                 # tables, columns, struct fields
 
@@ -75,6 +75,10 @@ def main(argv: list[str] | None = None) -> int:
     f.add_argument("--iterations", type=int, default=3)
     k = sub.add_parser("check")
     k.add_argument("out_dir")
+    k.add_argument("--min-rows", nargs="*", default=[],
+                   help="table=n minimums, e.g. orders=90000 products=30000")
+    k.add_argument("--review-partitions", type=int, default=None,
+                   help="expected number of review_score partitions (5 for scores 1-5)")
     sc = sub.add_parser("schema")
     sc.add_argument("out_dir")
     e = sub.add_parser("explain")
@@ -150,7 +154,8 @@ def main(argv: list[str] | None = None) -> int:
         C.schema_catalogue(spark, t.as_dict()).show(200, truncate=False)
         return 0
     if a.cmd == "check":
-        out = M.dataset_checks(spark, t)
+        mins = {k: int(v) for k, v in _params(a.min_rows).items()}
+        out = M.dataset_checks(spark, t, min_rows=mins, review_partitions=a.review_partitions)
         out.show(50, truncate=False)
         return 0 if all(r.ok for r in out.collect()) else 1
     return 2

@@ -42,4 +42,5 @@ def test_cli_convert_raw_csv(spark, tmp_path, capsys):
     assert "orders" in text and "year, month" in text
     assert main(["similar", out, "p1", "--top", "2"]) == 0
     assert "similar" in capsys.readouterr().out
-    assert main(["check", out]) == 0
+    assert main(["check", out, "--min-rows", "orders=4", "--review-partitions", "5"]) == 0
+    assert main(["check", out, "--min-rows", "orders=1000"]) == 1
