@@ -73,6 +73,7 @@ def main(argv: list[str] | None = None) -> int:
     f.add_argument("year", type=int)
     f.add_argument("month", type=int)
     f.add_argument("--iterations", type=int, default=3)
+    f.add_argument("--out", default=None, help="also write the timings as JSON lines here")
     k = sub.add_parser("check")
     k.add_argument("out_dir")
     k.add_argument("--min-rows", nargs="*", default=[],
@@ -148,7 +149,11 @@ def main(argv: list[str] | None = None) -> int:
         S.find_similar(S.scaled_table(t), pid, a.top).show(a.top + 5, truncate=False)
         return 0
     if a.cmd == "formats":
-        M.format_read_times(spark, t, a.year, a.month, a.iterations).show(truncate=False)
+        times = M.format_read_times(spark, t, a.year, a.month, a.iterations)
+        times.show(truncate=False)
+        if a.out:
+            from marketlens.sinks.parquet import write_json
+            write_json(times.coalesce(1), a.out)  # a handful of metric rows
         return 0
     if a.cmd == "schema":
         C.schema_catalogue(spark, t.as_dict()).show(200, truncate=False)

@@ -22,6 +22,9 @@ def test_cli_round(spark, tmp_path, capsys):
     assert "sample" in capsys.readouterr().out
     assert main(["explain", "q2n", out]) == 0
     assert "PushedFilters" in capsys.readouterr().out
+    metrics = str(tmp_path / "formats.json")
+    assert main(["formats", out, "1997", "10", "--iterations", "1", "--out", metrics]) == 0
+    assert spark.read.json(metrics).count() == 9
     assert main(["schema", out]) == 0
     assert "dimensions.weight_g" in capsys.readouterr().out
     main(["check", out])
