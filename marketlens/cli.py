@@ -12,7 +12,8 @@
     python -m marketlens schema OUT_DIR                 # tables, columns, struct fields
 
 Results are shown with ``DataFrame.show`` (bounded output); nothing else is
-brought to the driver.
+brought to the driver. ``tables`` registers into the session's catalog, which
+outlives the process only when Spark runs with a persistent (Hive) metastore.
 """
 
 from __future__ import annotations
