@@ -116,6 +116,8 @@ def main() -> None:
         "queries": times,
         "sf": _sf(sf_dir),
         "cpus": cpus,
+        "spark_version": spark.version,
+        "python_version": sys.version.split()[0],
         "runs": runs,
         "etl_convert_first_run": round(etl_samples[0], 3),
         "input_bytes": int(input_bytes),
