@@ -7,7 +7,8 @@ dropped except in the smallest document id that holds it; the other lines are
 put together again by position.
 
 Scale: only 16-byte hashes are shuffled by key, folded on the map side first, so
-a hot line is one row per map task. Finding the dropped lines is an inner join
+a hot line is one row per map task. The repeated keys are written to the shared
+folder. Finding the dropped lines is an inner join
 that adaptive execution can split at a hot key. The texts are shuffled once, by
 document. Only documents that lose a line are cut up again.
 
@@ -23,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.llm.common import keep
+
 WHITE = "\x20\x09\x0a\x0b\x0c\x0d"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -56,6 +59,8 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         repeated = (keys.select("key", "id").distinct().groupBy("key")
                     .agg(F.min("id").alias("keeper"), F.count("*").alias("n"))
                     .where(F.col("n") >= min_docs).select("key", "keeper"))
+    # written first: the join then has two shuffles of its own and a hot key can be split
+    repeated = keep(repeated, "repeated_lines")
     gone = keys.join(repeated, "key").where("id > keeper").select("id", "pos")
     return gone.groupBy("id").agg(F.sort_array(F.collect_set("pos")).alias("positions"))
 
