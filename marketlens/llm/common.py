@@ -64,17 +64,30 @@ def ship_code(spark: SparkSession) -> None:
 
 def held_out(doc_id: str = "doc_id", folds: int = 5):
     """True for rows that are never learnt from: crc32(doc_id as text) mod folds = 0."""
-    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == 0
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == 0, F.lit(True))
+
+
+def bounded_sample(df: DataFrame, group: str, rows: int, by: str = "doc_id") -> DataFrame:
+    """About ``rows`` rows at most, an equal share for each value of ``group``.
+
+    A row is taken by the hash of ``by``, so the sample does not depend on the
+    partitioning; a group smaller than its share is taken whole.
+    """
+    sizes = df.groupBy(group).agg(F.count("*").alias("_n"))
+    share = sizes.crossJoin(sizes.agg(F.count("*").alias("_groups")))  # one row on the right
+    share = share.select(F.col(group).alias("_group"), (F.lit(float(rows)) / F.col("_groups") / F.col("_n")).alias("_rate"))
+    draw = (F.xxhash64(F.col(by), F.lit(7)).bitwiseAND(F.lit((1 << 30) - 1))) / float(1 << 30)
+    return df.join(share, df[group].eqNullSafe(F.col("_group"))).where(draw < F.col("_rate")).drop("_group", "_rate")
 
 
 # -- texts as byte buffers -------------------------------------------------------
 
-def buffers(col: pa.Array | pa.ChunkedArray, limit: int = BLOCK_BYTES
+def buffers(col: pa.Array | pa.ChunkedArray, limit: int = BLOCK_BYTES, max_rows: int = 1 << 30
             ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Blocks of consecutive texts: (first row, end row, bytes, offsets).
 
     ``offsets`` has one entry more than the block has rows; null texts are
-    empty. A block holds at most ``limit`` bytes or one text.
+    empty. A block holds at most ``limit`` bytes or one text, and ``max_rows`` rows.
     """
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
@@ -91,7 +104,7 @@ def buffers(col: pa.Array | pa.ChunkedArray, limit: int = BLOCK_BYTES
     a = 0
     while a < len(col):
         b = int(np.searchsorted(off, off[a] + limit, "right")) - 1
-        b = min(max(b, a + 1), len(col))
+        b = min(max(b, a + 1), a + max_rows, len(col))
         yield a, b, data[off[a]:off[b]], off[a:b + 1] - off[a]
         a = b
 
