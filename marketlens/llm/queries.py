@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import langid, line_dedup, simhash, toxicity, urlfilter
+from marketlens.llm import decontaminate, langid, line_dedup, packing, simhash, toxicity, urlfilter
 from marketlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,16 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digest(table(spark, sf_dir, "documents"))
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every document, placed in sequences of 2048 tokens."""
+    return packing.packing_digest(table(spark, sf_dir, "documents"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark, with item, score and span."""
+    return decontaminate.leak_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     return langid.langid_digest(table(spark, sf_dir, "documents"))
@@ -42,6 +52,8 @@ QUERIES: dict[str, Query] = {
     "op3_toxicity": op3_toxicity,
     "op4_url_filter": op4_url_filter,
     "op6_line_dedup": op6_line_dedup,
+    "op7_best_fit_packing": op7_best_fit_packing,
+    "op9_decontamination": op9_decontamination,
     "op10_language_id": op10_language_id,
 }
 
