@@ -3,6 +3,9 @@
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and
 returns a DataFrame that is written as Parquet and read again as the next
 stage's documents. All stages but the last return the columns of ``documents``.
+
+A row without an id passes the filters it cannot be matched in: it is judged by
+quality like any other, keeps its lines, is never a near copy and never a leak.
 """
 
 from __future__ import annotations
@@ -10,30 +13,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import line_dedup, simhash
+from marketlens.llm import decontaminate, line_dedup, packing, quality, simhash
 from marketlens.llm.common import keep, table
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+def keep_good_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose perplexity is above their language's threshold go."""
+    judged = quality.judge(docs, table(spark, sf_dir, "labels"))
+    gone = judged.where("NOT keep").select(F.col("id").alias("_gone")).distinct()
+    return docs.join(gone, docs.doc_id == F.col("_gone"), "left_anti")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of an earlier document go; ``n_chars`` follows the text."""
     out = line_dedup.dedup_lines(docs)
-    return out.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    return out.withColumn("n_chars", F.char_length("text").cast("long")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each near-duplicate class the document with the smallest id stays."""
-    first = simhash.near_duplicates(docs).where("id = component").select(F.col("id").alias("kept_id")).distinct()
-    return docs.join(first, docs.doc_id == first.kept_id, "left_semi")
+    copies = simhash.near_duplicates(docs).where("id > component").select(F.col("id").alias("_gone")).distinct()
+    return docs.join(copies, docs.doc_id == F.col("_gone"), "left_anti")
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
+    return docs.join(found.select(F.col("id").alias("_gone")).distinct(), docs.doc_id == F.col("_gone"), "left_anti")
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece: its document, place in it, sequence and offset."""
+    return packing.packing_digest(docs)
 
 
 STAGES = [
+    ("quality classifier", keep_good_text),
     ("line dedup", drop_repeated_lines),
     ("simhash near-dedup", keep_one_of_near_copies),
+    ("benchmark decontamination", drop_leaks),
+    ("best-fit packing", pack_sequences),
 ]
 
-# Models and fingerprints cannot be written in SQL.
+# Models, fingerprints and tokenisers cannot be written in SQL.
 ORACLE_SQL = None
 
 

@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import decontaminate, langid, line_dedup, packing, simhash, toxicity, urlfilter
+from marketlens.llm import decontaminate, langid, line_dedup, packing, quality, simhash, toxicity, urlfilter
 from marketlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document, its language's threshold, and whether it is kept."""
+    return quality.quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate class of every document."""
     return simhash.simhash_digest(table(spark, sf_dir, "documents"))
@@ -48,6 +53,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_url_filter": op4_url_filter,
