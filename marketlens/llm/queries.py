@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import decontaminate, langid, line_dedup, packing, quality, simhash, toxicity, urlfilter
+from marketlens.llm import decontaminate, fingerprint, langid, line_dedup, packing, quality, simhash, toxicity, urlfilter
 from marketlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,11 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.url_digest(table(spark, sf_dir, "pages"))
 
 
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, with their likeness."""
+    return fingerprint.fingerprint_digest(table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that an earlier document holds."""
     return line_dedup.line_digest(table(spark, sf_dir, "documents"))
@@ -57,6 +62,7 @@ QUERIES: dict[str, Query] = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_url_filter": op4_url_filter,
+    "op5_document_fingerprints": op5_document_fingerprints,
     "op6_line_dedup": op6_line_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op9_decontamination": op9_decontamination,
