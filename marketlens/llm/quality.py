@@ -35,17 +35,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import U64, buffers, keep, mix, ship_code
+from marketlens.llm.blocks import block_of, dealt, opened, text_bytes
+from marketlens.llm.common import U64, keep, mix
 
 ORDER = 5
 BEGIN, END = 0xFF, 0xFE  # bytes that no UTF-8 text has
 SYMBOLS = 257
 BLOCK = 6_000_000
-CHUNK = 16_000_000
 SHARD_BYTES = 32_000_000
 FOLDS = 5
 FENCE = 5.0
@@ -96,52 +95,7 @@ def shard_of(values: np.ndarray, shards: int) -> np.ndarray:
     return (mix(values.copy()) % U64(shards)).astype(np.int64)
 
 
-# -- chunks and blocks -------------------------------------------------------------------
-
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (block, id, lang, text) into one compressed row for each block, a few MB at a time."""
-    held: dict[int, list] = {}
-    size = 0
-    packer = zstandard.ZstdCompressor(level=3)
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        for block, rows in held.items():
-            texts = [t for _, _, t in rows]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int64()), pa.array([[r[0] for r in rows]], pa.list_(kind)),
-                 pa.array([[r[1] for r in rows]], pa.list_(pa.string())),
-                 pa.array([np.array([len(t) for t in texts], "<i8").tobytes()], pa.binary()),
-                 pa.array([packer.compress(b"".join(texts))], pa.binary())],
-                ["block", "ids", "langs", "sizes", "texts"])
-        held.clear()
-
-    for batch in batches:
-        kind = batch.column(1).type
-        block, ids, langs = (batch.column(c).to_pylist() for c in range(3))
-        for a, _, data, off in buffers(batch.column(3), CHUNK):
-            raw = data.tobytes()
-            for i in range(len(off) - 1):
-                text = raw[off[i]:off[i + 1]]
-                held.setdefault(block[a + i], []).append((ids[a + i], langs[a + i], text))
-                size += len(text) + 100
-            if size >= CHUNK:
-                yield from flush()
-                size = 0
-    yield from flush()
-
-
-def _opened(chunks: pa.Table) -> tuple[list, list, list[bytes]]:
-    """Ids, languages and texts of a block in a fixed order."""
-    reader = zstandard.ZstdDecompressor()
-    rows = []
-    for r in chunks.to_pylist():
-        sizes = np.frombuffer(r["sizes"], "<i8")
-        raw = reader.decompress(r["texts"], max_output_size=max(1, int(sizes.sum())))
-        ends = np.cumsum(sizes)
-        rows += [(i, v, raw[e - s:e]) for i, v, s, e in zip(r["ids"], r["langs"], sizes, ends)]
-    rows.sort(key=lambda r: (r[0] is None, r[0] or 0, r[2], r[1] or ""))
-    return [r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows]
-
+# -- blocks ---------------------------------------------------------------------------
 
 def _parts(texts: list[bytes]) -> Iterator[list[int]]:
     """Numbers of the texts that are handled at once."""
@@ -178,7 +132,7 @@ def _ask(shards: int):
     def run(chunks: pa.Table, labels: pa.Table) -> pa.Table:
         rows = []
         if chunks.num_rows:
-            ids, _, texts = _opened(chunks)
+            ids, _, texts = opened(chunks)
             value, count = block_counts(ids, texts, set(labels.column("label_id").to_pylist()))
             own = shard_of(value, shards)
             block = chunks.column("block")[0].as_py()
@@ -211,7 +165,7 @@ def _answer(asks: pa.Table, known: pa.Table) -> pa.Table:
 
 def _total(shards: int):
     def run(chunks: pa.Table, answers: pa.Table) -> pa.Table:
-        ids, langs, texts = _opened(chunks)
+        ids, langs, texts = opened(chunks)
         told = {r["shard"]: np.frombuffer(r["logs"], "<f4") for r in answers.to_pylist()}
         # the block's n-grams once more, as it asked for them
         mine = np.unique(np.concatenate([grams(padded([texts[i] for i in part]))[0] for part in _parts(texts)]))
@@ -271,17 +225,12 @@ def probabilities(counted: DataFrame) -> DataFrame:
 def perplexities(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  lang_col: str = "lang") -> DataFrame:
     """(id, lang, nll, n): negative log-likelihood and scored bytes of each row."""
-    spark = docs.sparkSession
-    ship_code(spark)
-    total = docs.agg(F.sum(F.octet_length(text_col) + 1)).first()[0] or 0
+    total = text_bytes(docs, text_col)
     blocks, shards = max(1, -(-total // BLOCK)), max(4, -(-total // SHARD_BYTES))
-    deal = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).alias("block")
-    plain = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    kind = plain.schema["id"].dataType.simpleString()
-    chunks = plain.select(deal(F.col("id")), "id", "lang", "text").mapInArrow(
-        _chunks, f"block long, ids array<{kind}>, langs array<string>, sizes binary, texts binary")
-    trusted = labels.where("quality = 1 AND doc_id IS NOT NULL").select(
-        deal(F.col("doc_id").cast(kind)), F.col("doc_id").cast(kind).alias("label_id")).distinct()
+    chunks = dealt(docs, blocks, id_col, text_col, lang_col)
+    kind = docs.schema[id_col].dataType.simpleString()
+    trusted = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast(kind).alias("label_id"))
+    trusted = trusted.distinct().select(block_of("label_id", blocks), "label_id")
     asks = chunks.groupBy("block").cogroup(trusted.groupBy("block")).applyInArrow(
         _ask(shards), "shard long, block long, grams binary, counts binary")
     counted = keep(asks.groupBy("shard").applyInArrow(_merge, "shard long, gram long, n long"), "kn")

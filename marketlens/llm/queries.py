@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import decontaminate, fingerprint, langid, line_dedup, packing, quality, simhash, toxicity, urlfilter
+from marketlens.llm import decontaminate, fingerprint, langid, line_dedup, packing, quality, repeats, simhash, toxicity, urlfilter
 from marketlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,11 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_digest(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes that repeat a smaller document."""
+    return repeats.repeats_digest(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of the benchmark, with item, score and span."""
     return decontaminate.leak_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -65,10 +70,12 @@ QUERIES: dict[str, Query] = {
     "op5_document_fingerprints": op5_document_fingerprints,
     "op6_line_dedup": op6_line_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_language_id": op10_language_id,
 }
 
 ORACLE: dict[str, str] = {
     "op6_line_dedup": line_dedup.ORACLE_SQL,
+    "op8_suffix_array_dedup": repeats.ORACLE_SQL,
 }
