@@ -6,7 +6,8 @@ of the benchmark. For a block:
 
 1. the documents that hold each of the block's n-grams are counted over all
    documents (one row per n-gram and task, then a grouped sum);
-2. an item's seeds are its rarer n-grams: the rarer half, ``MIN_SEEDS`` at least.
+2. an item's seeds are its rarer n-grams among those that occur: the rarer half,
+   ``MIN_SEEDS`` at least.
    Rarity is within the item, so an item copied into a third of all documents
    still has seeds;
 3. every document is searched whole for seeds; where a seed occurs, the passage
@@ -86,11 +87,12 @@ class Items:
     def seeds(self, counts: np.ndarray) -> np.ndarray:
         """Which n-gram occurrences are seeds, from the documents that hold each n-gram."""
         seen = counts[self.key_of]
-        order = np.lexsort((self.word_of, seen, self.item_of))
+        held = np.flatnonzero(seen)  # an n-gram that no document holds can be no seed
+        order = held[np.lexsort((self.word_of[held], seen[held], self.item_of[held]))]
         begin = np.searchsorted(self.item_of[order], np.arange(len(self.ids)))
-        rank = np.empty(len(order), np.int64)
+        rank = np.full(len(seen), len(seen))
         rank[order] = np.arange(len(order)) - begin[self.item_of[order]]
-        total = np.bincount(self.item_of, minlength=len(self.ids))[self.item_of]
+        total = np.bincount(self.item_of[held], minlength=len(self.ids))[self.item_of]
         return rank < np.maximum((total + 1) // 2, MIN_SEEDS)
 
 

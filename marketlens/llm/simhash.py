@@ -226,12 +226,14 @@ def links(fps: DataFrame, max_bits: int = 2, node_rows: int = NODE_ROWS) -> Data
         sizes = entries.groupBy(*key).agg(F.count("*").alias("n"), F.max("side").alias("top"), F.min("side").alias("low"))
         sizes = sizes.where("n > 1 AND (top = 0 OR top > low)")  # a lone entry or an empty side pairs with nothing
         rows = keep(entries.join(sizes.select(*key, "n"), key), "trie")
-        small = rows.where(F.col("n") <= node_rows).groupBy(*key).agg(
+        # at the last level a node is one fingerprint
+        large = (F.col("n") > node_rows) & (F.col("depth") < 64)
+        small = rows.where(~large).groupBy(*key).agg(
             F.collect_list(F.when(F.col("side") < 2, F.col("x"))).alias("left"),
             F.collect_list(F.when(F.col("side") == 2, F.col("x"))).alias("right"))
         pieces.append(small.select("part", "turn", "depth", "err", "left", "right")
                       .mapInArrow(_walk(max_bits), "a long, b long"))
-        big = rows.where(F.col("n") > node_rows)
+        big = rows.where(large)
         if big.isEmpty():
             break
         entries = _descend(big, max_bits)
