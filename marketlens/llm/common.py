@@ -74,8 +74,9 @@ def bounded_sample(df: DataFrame, group: str, rows: int, by: str = "doc_id") ->
     partitioning; a group smaller than its share is taken whole.
     """
     sizes = df.groupBy(group).agg(F.count("*").alias("_n"))
-    share = sizes.crossJoin(sizes.agg(F.count("*").alias("_groups")))  # one row on the right
-    share = share.select(F.col(group).alias("_group"), (F.lit(float(rows)) / F.col("_groups") / F.col("_n")).alias("_rate"))
+    groups = sizes.agg(F.count("*")).scalar()
+    share = sizes.select(F.col(group).alias("_group"), "_n", groups.alias("_groups")).select(
+        "_group", (F.lit(float(rows)) / F.col("_groups") / F.col("_n")).alias("_rate"))
     draw = (F.xxhash64(F.col(by), F.lit(7)).bitwiseAND(F.lit((1 << 30) - 1))) / float(1 << 30)
     return df.join(share, df[group].eqNullSafe(F.col("_group"))).where(draw < F.col("_rate")).drop("_group", "_rate")
 
