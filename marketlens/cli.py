@@ -45,6 +45,35 @@ def _params(items: list[str]) -> dict:
     return out
 
 
+#: Rows printed unless --limit says otherwise; --out always writes all.
+PRINT_ROWS = 1000
+#: Width of a category in printed similarity lists.
+CATEGORY_WIDTH = 29
+
+
+def _deliver(df, out: str | None, limit: int | None) -> None:
+    """Write the whole result with Spark, or print up to ``limit`` rows."""
+    if out:
+        from marketlens.sinks.parquet import write_json
+
+        write_json(df, out)
+        print(f"written to {out}")
+        return
+    limit = PRINT_ROWS if limit is None else limit
+    rows = df.limit(limit + 1).collect()  # one more than printed, to know if there are more
+    shown = df.sparkSession.createDataFrame(rows[:limit], df.schema)
+    shown.show(max(1, limit), truncate=False)
+    if len(rows) > limit:
+        print(f"only {limit} rows are shown; use --limit N or --out PATH for more")
+
+
+def _short(df):
+    """The category cut to the width of a printed list."""
+    from pyspark.sql import functions as F
+
+    return df.withColumn("category", F.substring("category", 1, CATEGORY_WIDTH))
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="marketlens")
     ap.add_argument("--master", default=None, help="Spark master (default: from the environment)")
@@ -65,6 +94,10 @@ def main(argv: list[str] | None = None) -> int:
     q = sub.add_parser("sql")
     q.add_argument("out_dir")
     q.add_argument("query")
+    for p in (r, q):
+        p.add_argument("--out", default=None, help="write the whole result as JSON lines to this folder")
+        p.add_argument("--limit", type=int, default=PRINT_ROWS,
+                       help="rows to print (default %(default)s); a note tells if there are more")
     s = sub.add_parser("similar")
     s.add_argument("out_dir")
     s.add_argument("product_id", nargs="?")
@@ -130,24 +163,26 @@ def main(argv: list[str] | None = None) -> int:
             print(M.plan_text(df))
             return 0
         t0 = time.perf_counter()
-        df.show(50, truncate=False)
+        _deliver(df, a.out, a.limit)
         print(f"{time.perf_counter() - t0:.2f}s")
         return 0
     if a.cmd == "sql":
-        R.run_sql(spark, t, a.query).show(50, truncate=False)
+        _deliver(R.run_sql(spark, t, a.query), a.out, a.limit)
         return 0
     if a.cmd == "similar":
         from marketlens.operators import similarity as S
 
         if a.product_id is None:
             print("Popular products (pick one):")
-            S.popular_products(S.feature_table(t), 10).show(truncate=False)
+            _short(S.popular_products(S.feature_table(t), 10)).show(truncate=False)
             return 0
         # the id's type follows the table (hex strings in the raw data, longs
         # in the test data); never guess it from the text
         id_type = t.products.schema["product_id"].dataType.simpleString()
         pid = a.product_id if id_type == "string" else int(a.product_id)
-        S.find_similar(S.scaled_table(t), pid, a.top).show(a.top + 5, truncate=False)
+        scaled = S.scaled_table(t)
+        _short(S.target_product(scaled, pid)).show(truncate=False)
+        _short(S.find_similar(scaled, pid, a.top)).show(a.top + 5, truncate=False)
         return 0
     if a.cmd == "formats":
         times = M.format_read_times(spark, t, a.year, a.month, a.iterations)
@@ -157,7 +192,7 @@ def main(argv: list[str] | None = None) -> int:
             write_json(times.coalesce(1), a.out)  # a handful of metric rows
         return 0
     if a.cmd == "schema":
-        C.schema_catalogue(spark, t.as_dict()).show(200, truncate=False)
+        _deliver(C.schema_catalogue(spark, t.as_dict()), None, None)
         return 0
     if a.cmd == "check":
         mins = {k: int(v) for k, v in _params(a.min_rows).items()}

@@ -1,15 +1 @@
-"""Column-level helpers (all built-in Spark expressions, no Python UDFs)."""
-
-from marketlens.functions.expr import (  # noqa: F401
-    MONEY,
-    between_months,
-    cosine,
-    days_between,
-    first_non_null_by,
-    label_or_unknown,
-    money,
-    money_sum,
-    nan_to_null,
-    round_ratio,
-    trunc_ntz,
-)
+"""Column expressions and helpers (see ``expr``)."""

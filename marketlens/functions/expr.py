@@ -1,25 +1,26 @@
 """Column expressions shared by the conversion jobs and the reports.
 
-Everything here returns a ``Column`` built from Spark's own functions, so it
-stays inside whole-stage code generation.
+Everything here returns a ``Column`` built from Spark's own functions. All but the
+array products (``dot``, ``norm``: lambdas) stay inside whole-stage code
+generation.
 
 Rounding. ``ROUND(AVG(x), n)`` over doubles depends on summation order and on
 how an engine rounds a binary fraction (``1.005`` is ``1.00499…`` in binary).
-The reports therefore keep sums exact (money as ``decimal(18,2)``, counts as
-longs) and round a ratio of two exact numbers with integer division, half away
+The reports therefore keep sums exact (money as ``decimal(28,8)``, counts as
+longs), never round a row, and round a ratio of two exact numbers with integer division, half away
 from zero. The result is the correctly rounded value of the true ratio, the
 same on every engine and every partitioning.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DoubleType, FloatType, StructType
 
-# Money values carry two decimals; sums of them are exact in decimal.
-MONEY = "decimal(18,2)"
+# Money values of a row keep eight decimals; their sums are exact in decimal.
+MONEY = "decimal(28,8)"
+MONEY_SCALE = 8
 
 
 def _c(c) -> Column:
@@ -27,52 +28,31 @@ def _c(c) -> Column:
 
 
 def money(c) -> Column:
-    """Exact decimal view of a 2-decimal money column."""
+    """Exact decimal view of a money column."""
     return _c(c).cast(MONEY)
 
 
-def money_sum(c) -> Column:
-    """``ROUND(SUM(c), 2)`` computed exactly (decimal sum), returned as double."""
-    return F.sum(money(c)).cast("double")
+def money_total(c) -> Column:
+    """An exact money sum, rounded once to cents, as double."""
+    return F.round(_c(c), 2).cast("double")
 
 
-def round_ratio(num, den, digits: int, num_scale: int = 0) -> Column:
+def round_ratio(num: str, den: str, digits: int, num_scale: int = 0) -> Column:
     """``round(num / den, digits)`` half away from zero, computed exactly.
 
-    ``num`` is an exact number with ``num_scale`` fraction digits (a long, or a
-    decimal such as a money sum); ``den`` a non-negative integer. NULL when
+    ``num`` and ``den`` are SQL expressions (column names or arithmetic on
+    them): ``num`` an exact number with ``num_scale`` fraction digits (a long, or
+    a decimal such as a money sum), ``den`` a non-negative integer. NULL when
     ``den`` is 0 or either side is NULL. Returned as double.
     """
-    if isinstance(num, str) and isinstance(den, str):
-        return F.expr(round_ratio_sql(num, den, digits, num_scale))
-    n = _c(num)
-    d = _c(den).cast("decimal(38,0)")
-    big_n = (n * F.lit(10 ** num_scale)).cast("decimal(38,0)")
-    big_d = (d * F.lit(10 ** num_scale)).cast("decimal(38,0)")
-    twice = (F.lit(2) * F.abs(big_n) * F.lit(10 ** digits) + big_d).cast("decimal(38,0)")
-    quotient = _int_div(twice, (F.lit(2) * big_d).cast("decimal(38,0)"))
-    sign = F.when(n < 0, F.lit(-1)).otherwise(F.lit(1))
-    value = (sign * quotient).cast("double") / F.lit(float(10 ** digits))
-    return F.when(n.isNull() | d.isNull() | (d == 0), F.lit(None).cast("double")).otherwise(value)
-
-
-def round_ratio_sql(num: str, den: str, digits: int, num_scale: int = 0) -> str:
-    """``round_ratio`` as one Spark SQL expression over SQL expressions
-    ``num`` / ``den`` (column names or arithmetic on them)."""
     n, d = f"({num})", f"({den})"
     big_n = f"CAST({n} * {10 ** num_scale} AS DECIMAL(38,0))"
     big_d = f"CAST(CAST({d} AS DECIMAL(38,0)) * {10 ** num_scale} AS DECIMAL(38,0))"
     twice = f"CAST(2 * abs({big_n}) * {10 ** digits} + {big_d} AS DECIMAL(38,0))"
     q = f"({twice} div CAST(2 * {big_d} AS DECIMAL(38,0)))"
-    return (f"CASE WHEN {n} IS NULL OR {d} IS NULL OR {d} = 0 THEN CAST(NULL AS DOUBLE) "
-            f"ELSE CAST((CASE WHEN {n} < 0 THEN -1 ELSE 1 END) * {q} AS DOUBLE) "
-            f"/ {float(10 ** digits)}D END")
-
-
-def _int_div(a: Column, b: Column) -> Column:
-    """Exact integral division (SQL ``a div b``); a decimal ``/`` would round
-    at its result scale first."""
-    return F.call_function("div", a, b)
+    return F.expr(f"CASE WHEN {n} IS NULL OR {d} IS NULL OR {d} = 0 THEN CAST(NULL AS DOUBLE) "
+                  f"ELSE CAST((CASE WHEN {n} < 0 THEN -1 ELSE 1 END) * {q} AS DOUBLE) "
+                  f"/ {float(10 ** digits)}D END")
 
 
 def days_between(start, end) -> Column:
@@ -106,52 +86,40 @@ def nan_to_null(c) -> Column:
     return F.when(F.isnan(col), F.lit(None).cast("double")).otherwise(col)
 
 
-def label_or_unknown(c, width: int = 29) -> Column:
-    """Empty or NULL → 'unknown', then keep the first ``width`` characters."""
-    col = _c(c)
-    return F.substring(F.coalesce(F.nullif(col, F.lit("")), F.lit("unknown")), 1, width)
+def nan_free(df: DataFrame) -> DataFrame:
+    """NaN → NULL in every floating-point column, struct fields included."""
+    def clean(col: Column, kind: DataType) -> Column:
+        if isinstance(kind, (DoubleType, FloatType)):
+            return F.when(~F.isnan(col), col)
+        if isinstance(kind, StructType) and any(isinstance(f.dataType, (DoubleType, FloatType, StructType))
+                                                for f in kind.fields):
+            made = F.struct(*[clean(col[f.name], f.dataType).alias(f.name) for f in kind.fields])
+            return F.when(col.isNotNull(), made)
+        return col
+    return df.select(*[clean(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields])
 
 
-def between_months(ts_col: str, start: _dt.date, end: _dt.date,
-                   year_col: str = "year", month_col: str = "month") -> Column:
-    """Timestamp range ``[start, end)`` that also prunes year/month partitions.
+def label_or_unknown(c) -> Column:
+    """Empty or NULL → 'unknown'."""
+    return F.coalesce(F.nullif(_c(c), F.lit("")), F.lit("unknown"))
 
-    Catalyst does not derive partition predicates from a timestamp filter, so
-    the helper states both: the exact timestamp range and the covering
-    (year, month) pairs, which become ``PartitionFilters``.
-    """
-    pairs = []
-    y, m = start.year, start.month
-    last = (end.year, end.month) if end.day > 1 else (
-        (end.year, end.month - 1) if end.month > 1 else (end.year - 1, 12))
-    while (y, m) <= last:
-        pairs.append((y, m))
-        m += 1
-        if m > 12:
-            y, m = y + 1, 1
-    part = F.lit(False)
-    for y, m in pairs:
-        part = part | ((F.col(year_col) == y) & (F.col(month_col) == m))
-    ts = F.col(ts_col)
-    # bounds from ISO text: a string -> timestamp_ntz cast involves no time zone
-    lo = F.lit(f"{start.isoformat()} 00:00:00").cast("timestamp_ntz")
-    hi = F.lit(f"{end.isoformat()} 00:00:00").cast("timestamp_ntz")
-    return part & (ts >= lo) & (ts < hi)
-
-
-def cosine(a, b) -> Column:
-    """Cosine of two equal-length double arrays; 0.0 when a norm is 0.
-
-    Sums run left to right from 0.0 (the same order as the SQL twin).
-    """
-    if isinstance(a, str) and isinstance(b, str):
-        fold = "0D, (s, x) -> s + x"
-        dot = f"aggregate(zip_with({a}, {b}, (x, y) -> x * y), {fold})"
-        na = f"sqrt(aggregate(transform({a}, x -> x * x), {fold}))"
-        nb = f"sqrt(aggregate(transform({b}, x -> x * x), {fold}))"
-        return F.expr(f"CASE WHEN {na} * {nb} > 0 THEN {dot} / ({na} * {nb}) ELSE 0D END")
-    dot = F.aggregate(F.zip_with(_c(a), _c(b), lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    na = F.sqrt(F.aggregate(F.transform(_c(a), lambda x: x * x), F.lit(0.0), lambda s, x: s + x))
-    nb = F.sqrt(F.aggregate(F.transform(_c(b), lambda x: x * x), F.lit(0.0), lambda s, x: s + x))
-    norm = na * nb
-    return F.when(norm > 0, dot / norm).otherwise(F.lit(0.0))
+
+def dot(a: str, b: str) -> Column:
+    """Dot product of two equal-length double arrays, summed left to right from 0.0."""
+    return F.expr(f"aggregate(zip_with({a}, {b}, (x, y) -> x * y), 0D, (s, x) -> s + x)")
+
+
+def norm(a: str) -> Column:
+    """Euclidean norm of a double array."""
+    return F.sqrt(dot(a, a))
+
+
+def cosine_of(dot_product: Column, norm_a, norm_b) -> Column:
+    """Cosine from a dot product and two stored norms; 0.0 when a norm is 0."""
+    scale = _c(norm_a) * _c(norm_b)
+    return F.when(scale > 0, dot_product / scale).otherwise(F.lit(0.0))
+
+
+def cosine(a: str, b: str) -> Column:
+    """Cosine of two equal-length double arrays; 0.0 when a norm is 0."""
+    return cosine_of(dot(a, b), norm(a), norm(b))

@@ -18,24 +18,23 @@ Semantics kept from the modelled system:
 
 Scale notes. Every aggregation here is algebraic (min/max/sum/count), so
 Spark's partial aggregation collapses a hot key map-side before the shuffle.
-The item join is written as ``items ⋈ orders`` (inner) plus ``orders ▷ items``
-(anti, against the item keys) instead of one left join, and the inner part
-splits hot orders explicitly (``split_hot_join``): the rows of an order with
-more than ``HOT_ROWS`` items (and more than 1/``MAX_HOT_KEYS`` of all items)
-are joined where they are read, never gathered into one task; every other
-order holds at most that many rows. Adaptive skew handling cannot do
-this here, because the order side is itself a join / aggregate output on the
-same key (its skew rule needs two plain shuffles), and it never splits the
-outer side of a left join.
+Each raw input is read once, and the items once more for their keys alone. The
+item join is ``items ⋈ orders`` (inner) plus ``orders ▷ items`` (anti, against
+the distinct item keys) instead of one left join, because adaptive execution
+never splits the outer side of a left join. The side with one row per key is
+written to the shared folder first (orders with their payments, means per ZIP,
+categories), so each join has two plain shuffles: adaptive execution then splits
+a key of any size on the many side, and broadcasts a written side that is small.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.functions.expr import first_non_null_by, money, nan_to_null
-from marketlens.operators.joins import HOT_ROWS, split_hot_join
+from marketlens.functions.expr import first_non_null_by, money, nan_free, nan_to_null
 from marketlens.schemas import (
     CUSTOMERS_COLUMNS,
     ORDERS_COLUMNS,
@@ -43,6 +42,7 @@ from marketlens.schemas import (
     REVIEWS_COLUMNS,
     SELLERS_COLUMNS,
 )
+from marketlens.session import materialize
 from marketlens.sources.testdata import RawInputs
 
 ITEM_COLUMNS = ["order_item_id", "product_id", "seller_id", "shipping_limit_date",
@@ -57,21 +57,16 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
             .groupBy("order_id")
             .agg(first_non_null_by("payment_type", PAYMENT_ORDER).alias("payment_type"),
                  F.max("payment_installments").alias("payment_installments"),
-                 F.coalesce(F.sum(money("payment_value")), F.lit(0).cast("decimal(28,2)"))
-                 .cast("double").alias("payment_value")))
+                 F.coalesce(F.sum(money("payment_value")).cast("double"), F.lit(0.0))
+                 .alias("payment_value")))
 
 
-def convert_orders(orders: DataFrame, items: DataFrame, payments: DataFrame,
-                   hot_rows: int = HOT_ROWS) -> DataFrame:
+def convert_orders(orders: DataFrame, items: DataFrame, payments: DataFrame) -> DataFrame:
     """Denormalised order-item table, partitioned later by year and month."""
-    head = orders.join(payments_per_order(payments), "order_id", "left")
-    # Items per order: the hot-key test of the item join and, as key set,
-    # the anti join that keeps orders without items.
-    item_counts = (items.where(F.col("order_id").isNotNull())
-                   .groupBy("order_id").agg(F.count(F.lit(1)).alias("n")))
-    with_items = split_hot_join(items.select("order_id", *ITEM_COLUMNS), head, "order_id",
-                                "inner", hot_rows, item_counts)
-    without_items = head.join(item_counts.select("order_id"), "order_id", "left_anti")
+    head = materialize(orders.join(payments_per_order(nan_free(payments)), "order_id", "left"), "order-heads")
+    with_items = nan_free(items.select("order_id", *ITEM_COLUMNS)).join(head, "order_id")
+    keys = items.where(F.col("order_id").isNotNull()).select("order_id").distinct()
+    without_items = head.join(keys, "order_id", "left_anti")
     for c in ITEM_COLUMNS:
         without_items = without_items.withColumn(c, F.lit(None).cast(items.schema[c].dataType))
     wide = with_items.unionByName(without_items)
@@ -82,7 +77,7 @@ def convert_orders(orders: DataFrame, items: DataFrame, payments: DataFrame,
 
 def convert_products(products: DataFrame, categories: DataFrame) -> DataFrame:
     """Products with nested ``category`` and ``dimensions`` structs."""
-    p = products.join(categories, "product_category_name", "left")
+    p = products.join(materialize(categories, "categories"), "product_category_name", "left")
     return p.select(
         "product_id",
         F.struct(F.col("product_category_name").alias("portuguese"),
@@ -112,20 +107,18 @@ def products_flat(products: DataFrame) -> DataFrame:
 
 def geo_per_zip(geolocation: DataFrame) -> DataFrame:
     """Mean coordinates per ZIP prefix (prefix as string; NULL prefixes dropped)."""
-    return (geolocation.where(F.col("geolocation_zip_code_prefix").isNotNull())
+    return (nan_free(geolocation).where(F.col("geolocation_zip_code_prefix").isNotNull())
             .groupBy(F.col("geolocation_zip_code_prefix").cast("string")
                      .alias("geolocation_zip_code_prefix"))
             .agg(F.avg("geolocation_lat").alias("geolocation_lat"),
                  F.avg("geolocation_lng").alias("geolocation_lng")))
 
 
-def _with_geo(df: DataFrame, zip_col: str, geolocation: DataFrame,
-              hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Left join of the per-ZIP means; a hot ZIP prefix is split (the means
-    side is an aggregate output, which adaptive skew handling cannot split)."""
+def _with_geo(df: DataFrame, zip_col: str, geolocation: DataFrame) -> DataFrame:
+    """Left join of the per-ZIP means."""
     geo = geo_per_zip(geolocation).withColumnRenamed("geolocation_zip_code_prefix", zip_col)
     left = df.withColumn(zip_col, F.col(zip_col).cast("string"))
-    return split_hot_join(left, geo, zip_col, "left", hot_rows)
+    return left.join(materialize(geo, "zip-means"), zip_col, "left")
 
 
 def convert_customers(customers: DataFrame, geolocation: DataFrame) -> DataFrame:
@@ -142,12 +135,17 @@ def convert_reviews(reviews: DataFrame) -> DataFrame:
             .select(*REVIEWS_COLUMNS))
 
 
-def convert_all(raw: RawInputs) -> dict[str, DataFrame]:
-    """All five converted tables as lazy DataFrames, keyed by table name."""
+def conversions(raw: RawInputs) -> dict[str, Callable[[], DataFrame]]:
+    """The five conversions by table name; each may write a small side when called."""
     return {
-        "orders": convert_orders(raw.orders, raw.items, raw.payments),
-        "products": convert_products(raw.products, raw.categories),
-        "customers": convert_customers(raw.customers, raw.geolocation),
-        "reviews": convert_reviews(raw.reviews),
-        "sellers": convert_sellers(raw.sellers, raw.geolocation),
+        "orders": lambda: convert_orders(raw.orders, raw.items, raw.payments),
+        "products": lambda: convert_products(raw.products, raw.categories),
+        "customers": lambda: convert_customers(raw.customers, raw.geolocation),
+        "reviews": lambda: convert_reviews(raw.reviews),
+        "sellers": lambda: convert_sellers(raw.sellers, raw.geolocation),
     }
+
+
+def convert_all(raw: RawInputs) -> dict[str, DataFrame]:
+    """All five converted tables, keyed by table name."""
+    return {name: make() for name, make in conversions(raw).items()}

@@ -21,14 +21,21 @@ def rr(num: str, den: str, digits: int, num_scale: int = 0) -> str:
             f"ELSE CAST({sign} * {q} AS DOUBLE) / CAST({10 ** digits} AS DOUBLE) END)")
 
 
-MONEY = "DECIMAL(18,2)"
+MONEY = "DECIMAL(28,8)"
+MONEY_SCALE = 8
 MEASURE = "DECIMAL(24,6)"
 
 
 def msum(col: str) -> str:
+    """Exact sum of a money column."""
     return f"sum(CAST({col} AS {MONEY}))"
 
 
+def mtotal(col: str) -> str:
+    """That sum, rounded once to cents, as double."""
+    return f"CAST(round({msum(col)}, 2) AS DOUBLE)"
+
+
 # ---- adapter + conversion, as CTEs -----------------------------------------
 CTES = {
     "src_ship": """
@@ -44,11 +51,10 @@ CTES = {
                CASE WHEN o_orderstatus = 'F' THEN last_ship END AS order_delivered_customer_date,
                o_orderdate + INTERVAL 60 DAY AS order_estimated_delivery_date
         FROM orders LEFT JOIN src_ship ON o_orderkey = l_orderkey""",
-    "raw_items": f"""
+    "raw_items": """
         SELECT l_orderkey AS order_id, l_linenumber AS order_item_id, l_partkey AS product_id,
                l_suppkey AS seller_id, l_shipdate AS shipping_limit_date, l_extendedprice AS price,
-               CAST(round(CAST(l_extendedprice AS {MONEY}) * CAST(l_tax AS {MONEY}), 2) AS DOUBLE)
-                 AS freight_value
+               l_extendedprice * l_tax AS freight_value
         FROM lineitem""",
     "raw_payments": """
         SELECT l_orderkey AS order_id, l_linenumber AS payment_sequential,
@@ -151,9 +157,9 @@ def q1(years=(1996, 1997)) -> str:
     return with_model(f"""
 SELECT year, month,
        count(DISTINCT order_id) AS total_orders,
-       CAST({msum('price')} AS DOUBLE) AS total_revenue,
-       CAST({msum('freight_value')} AS DOUBLE) AS total_freight,
-       {rr(msum('price'), 'count(price)', 2, 2)} AS avg_order_value
+       {mtotal('price')} AS total_revenue,
+       {mtotal('freight_value')} AS total_freight,
+       {rr(msum('price'), 'count(price)', 2, MONEY_SCALE)} AS avg_order_value
 FROM m_orders WHERE year IN ({ys})
 GROUP BY year, month ORDER BY year, month""")
 
@@ -162,7 +168,7 @@ def _category_revenue(where: str, limit: int) -> str:
     return with_model(f"""
 SELECT p.category_english AS category,
        count(DISTINCT o.order_id) AS order_count,
-       CAST({msum('o.price')} AS DOUBLE) AS total_revenue,
+       {mtotal('o.price')} AS total_revenue,
        {rr(f'sum(CAST(p.weight_g AS {MEASURE}))', 'count(p.weight_g)', 0, 6)} AS avg_weight_g
 FROM m_orders o JOIN m_products_flat p ON o.product_id = p.product_id
 WHERE {where}
@@ -177,20 +183,12 @@ def q2(max_weight=5000, limit=15) -> str:
 
 def q3() -> str:
     return with_model(f"""
-SELECT cohort_month, cohort_size, repeat_customers,
-       {rr('repeat_customers * 100', 'cohort_size', 1)} AS repeat_rate_pct
-FROM cohorts ORDER BY cohort_month""", {
-        "customer_orders": """
-            SELECT customer_id, count(DISTINCT order_id) AS order_count,
-                   min(order_purchase_timestamp) AS first_order,
-                   max(order_purchase_timestamp) AS last_order
-            FROM m_orders WHERE order_status = 'delivered' GROUP BY customer_id""",
-        "cohorts": """
-            SELECT date_trunc('month', first_order) AS cohort_month,
-                   count(*) AS cohort_size,
-                   CAST(sum(CASE WHEN order_count > 1 THEN 1 ELSE 0 END) AS BIGINT)
-                     AS repeat_customers
-            FROM customer_orders GROUP BY date_trunc('month', first_order)"""})
+SELECT date_trunc('month', since) AS cohort_month, count(*) AS cohort_size,
+       count(*) FILTER (WHERE orders_made >= 2) AS repeat_customers,
+       {rr('count(*) FILTER (WHERE orders_made >= 2) * 100', 'count(*)', 1)} AS repeat_rate_pct
+FROM (SELECT min(order_purchase_timestamp) AS since, count(DISTINCT order_id) AS orders_made
+      FROM m_orders WHERE order_status = 'delivered' GROUP BY customer_id)
+GROUP BY 1 ORDER BY 1""")
 
 
 def q4(max_score=2, limit=20) -> str:
@@ -213,8 +211,8 @@ def q5() -> str:
 SELECT c.customer_state AS state,
        date_trunc('quarter', o.order_purchase_timestamp) AS quarter,
        count(DISTINCT o.order_id) AS order_count,
-       CAST({msum('o.price')} AS DOUBLE) AS total_revenue,
-       {rr(msum('o.price'), 'count(DISTINCT o.order_id)', 2, 2)} AS avg_order_value
+       {mtotal('o.price')} AS total_revenue,
+       {rr(msum('o.price'), 'count(DISTINCT o.order_id)', 2, MONEY_SCALE)} AS avg_order_value
 FROM m_orders o JOIN m_customers c ON o.customer_id = c.customer_id
 GROUP BY c.customer_state, date_trunc('quarter', o.order_purchase_timestamp)
 ORDER BY state NULLS LAST, quarter NULLS LAST""")
@@ -260,14 +258,14 @@ LIMIT {limit}""")
 def q8(year=1997) -> str:
     return with_model(f"""
 SELECT year, month, count(DISTINCT order_id) AS order_count,
-       CAST({msum('price')} AS DOUBLE) AS total_revenue
+       {mtotal('price')} AS total_revenue
 FROM m_orders WHERE year = {year}
 GROUP BY year, month ORDER BY year, month""")
 
 
 def _top_cat_revenue(where: str, k: int, extra_join: str = "") -> str:
     return with_model(f"""
-SELECT p.category_english AS category, CAST({msum('o.price')} AS DOUBLE) AS total_revenue
+SELECT p.category_english AS category, {mtotal('o.price')} AS total_revenue
 FROM m_orders o JOIN m_products_flat p ON o.product_id = p.product_id
 {extra_join}
 WHERE {where}
@@ -282,10 +280,10 @@ def n1(k=5) -> str:
 
 def n2(years=(1996, 1997)) -> str:
     ys = ", ".join(str(y) for y in years)
-    cents = lambda c: f"CAST({c} * 100 AS DECIMAL(38,0))"
+    unit = lambda c: f"CAST({c} * {10 ** MONEY_SCALE} AS DECIMAL(38,0))"
     return with_model(f"""
-SELECT a.year, CAST(a.rev AS DOUBLE) AS total_revenue, CAST(b.rev AS DOUBLE) AS prev_revenue,
-       {rr(f"({cents('a.rev')} - {cents('b.rev')}) * 100", cents('b.rev'), 2)} AS growth_pct
+SELECT a.year, CAST(round(a.rev, 2) AS DOUBLE) AS total_revenue, CAST(round(b.rev, 2) AS DOUBLE) AS prev_revenue,
+       {rr(f"({unit('a.rev')} - {unit('b.rev')}) * 100", unit('b.rev'), 2)} AS growth_pct
 FROM per_year a LEFT JOIN per_year b ON a.year = b.year + 1
 ORDER BY a.year""", {"per_year": f"""
         SELECT year, {msum('price')} AS rev FROM m_orders WHERE year IN ({ys}) GROUP BY year"""})
@@ -348,6 +346,35 @@ def table(name: str, where: str = "TRUE", cols: str = "*") -> str:
     return with_model(f"SELECT {cols} FROM {name} WHERE {where}")
 
 
+def appended(name: str, runs: int) -> str:
+    return with_model(f"SELECT m.* FROM {name} m, range({runs})")
+
+
+def pruned_rows(name: str, where: str, parts: str) -> str:
+    return with_model(f"""
+SELECT count(DISTINCT ({parts})) FILTER (WHERE {where}) AS partitions_read,
+       count(DISTINCT ({parts})) AS partitions_total,
+       count(*) FILTER (WHERE {where}) AS rows_read, count(*) AS rows_total
+FROM {name}""".replace("(DISTINCT (", "(DISTINCT row("))
+
+
+def table_checks(min_rows: dict[str, int]) -> str:
+    # fixed values: table, required columns, partition columns
+    shape = [("orders", "m_orders", "order_id, customer_id, order_status", "year, month"),
+             ("products", "m_products_flat", "product_id", "0"),
+             ("customers", "m_customers", "customer_id, customer_state", "0"),
+             ("reviews", "m_reviews", "review_id, order_id, review_score", "review_score"),
+             ("sellers", "m_sellers", "seller_id", "0")]
+    rows = []
+    for name, view, need, parts in shape:
+        lack = " OR ".join(f"{c.strip()} IS NULL" for c in need.split(","))
+        rows.append(f"""SELECT '{name}' AS table_name, count(*) AS row_count,
+  CAST({min_rows.get(name, 0)} AS BIGINT) AS min_rows, count(*) FILTER (WHERE {lack}) AS incomplete,
+  count(DISTINCT row({parts})) AS partitions,
+  count(*) > {min_rows.get(name, 0)} AND count(*) FILTER (WHERE {lack}) = 0 AS ok FROM {view}""")
+    return with_model(" UNION ALL ".join(rows))
+
+
 def payments_per_order() -> str:
     return with_model("SELECT * FROM pay_agg")
 
@@ -387,11 +414,13 @@ def _sim_ctes() -> dict[str, str]:
     scaled = ",\n".join(
         f"({f} - {f}_min) / (CASE WHEN {f}_max - {f}_min = 0 THEN CAST(1 AS DOUBLE) "
         f"ELSE {f}_max - {f}_min END) AS s_{f}" for f in SIM_FEATURES)
+    squares = " + ".join(["CAST(0 AS DOUBLE)"] + [f"s_{f} * s_{f}" for f in SIM_FEATURES])
     return {
         "sim_stats": f"""
             SELECT product_id,
                    CASE WHEN count(price) > 0 THEN
-                     CAST({msum('price')} * 100 AS DOUBLE) / CAST(count(price) * 100 AS DOUBLE)
+                     CAST({msum('price')} * {10 ** MONEY_SCALE} AS DOUBLE)
+                       / CAST(count(price) * {10 ** MONEY_SCALE} AS DOUBLE)
                    END AS avg_price,
                    count(DISTINCT order_id) AS order_count
             FROM m_orders WHERE product_id IS NOT NULL GROUP BY product_id""",
@@ -409,20 +438,20 @@ def _sim_ctes() -> dict[str, str]:
             LEFT JOIN sim_reviews v ON p.product_id = v.product_id""",
         "sim_bounds": f"SELECT {bounds} FROM sim_features",
         "sim_scaled": f"""
-            SELECT product_id, category_english, avg_price, avg_review, order_count, {scaled}
-            FROM sim_features, sim_bounds""",
+            SELECT *, sqrt({squares}) AS norm FROM (
+              SELECT product_id, category_english, avg_price, avg_review, order_count, review_count, {scaled}
+              FROM sim_features, sim_bounds)""",
     }
 
 
 def _label(col: str) -> str:
-    return f"substr(coalesce(nullif({col}, ''), 'unknown'), 1, 29)"
+    return f"coalesce(nullif({col}, ''), 'unknown')"
 
 
-def _cos_cols(a: list[str], b: list[str]) -> str:
-    dot = " + ".join(["CAST(0 AS DOUBLE)"] + [f"{x} * {y}" for x, y in zip(a, b)])
-    na = "sqrt(" + " + ".join(["CAST(0 AS DOUBLE)"] + [f"{x} * {x}" for x in a]) + ")"
-    nb = "sqrt(" + " + ".join(["CAST(0 AS DOUBLE)"] + [f"{y} * {y}" for y in b]) + ")"
-    return f"(CASE WHEN {na} * {nb} > 0 THEN ({dot}) / ({na} * {nb}) ELSE CAST(0 AS DOUBLE) END)"
+def _cos_cols(a: str, b: str) -> str:
+    dot = " + ".join(["CAST(0 AS DOUBLE)"] + [f"{a}.s_{f} * {b}.s_{f}" for f in SIM_FEATURES])
+    return (f"(CASE WHEN {a}.norm * {b}.norm > 0 THEN ({dot}) / ({a}.norm * {b}.norm) "
+            "ELSE CAST(0 AS DOUBLE) END)")
 
 
 def sim_features() -> str:
@@ -440,19 +469,26 @@ SELECT product_id, {_label('category_english')} AS category,
 FROM sim_features ORDER BY order_count DESC, product_id ASC LIMIT {n}""", _sim_ctes())
 
 
-def sim_top_n(top_n: int = 10, digits: int = 6) -> str:
-    s_cols = [f"s.s_{f}" for f in SIM_FEATURES]
-    t_cols = [f"t.s_{f}" for f in SIM_FEATURES]
-    extra = {**_sim_ctes(), "sim_target": """
+SIM_TARGET = {"sim_target": """
         SELECT * FROM sim_scaled WHERE product_id =
           (SELECT product_id FROM sim_features ORDER BY order_count DESC, product_id ASC LIMIT 1)"""}
+
+
+def sim_target() -> str:
+    return with_model(f"""
+SELECT product_id, {_label('category_english')} AS category, avg_price, avg_review, review_count
+FROM sim_target""", {**_sim_ctes(), **SIM_TARGET})
+
+
+def sim_top_n(top_n: int = 10, digits: int = 6) -> str:
     return with_model(f"""
-SELECT s.product_id, {_label('s.category_english')} AS category, s.avg_price, s.avg_review,
-       round({_cos_cols(s_cols, t_cols)}, {digits}) AS similarity
-FROM sim_scaled s, sim_target t
-WHERE s.product_id <> t.product_id
-ORDER BY similarity DESC NULLS LAST, s.product_id ASC
-LIMIT {top_n}""", extra)
+SELECT product_id, category, avg_price, avg_review, round(nearness, {digits}) AS similarity
+FROM (SELECT s.product_id, {_label('s.category_english')} AS category, s.avg_price, s.avg_review,
+             {_cos_cols('s', 't')} AS nearness
+      FROM sim_scaled s, sim_target t
+      WHERE s.product_id <> t.product_id
+      ORDER BY nearness DESC NULLS LAST, s.product_id ASC
+      LIMIT {top_n})""", {**_sim_ctes(), **SIM_TARGET})
 
 
 def sim_unknown_id(product_id: int = -1, n_samples: int = 5) -> str:
@@ -467,15 +503,24 @@ ORDER BY product_id LIMIT {n_samples}""", _sim_ctes())
 def sim_embeddings(top_n: int = 10, digits: int = 6) -> str:
     fold = "lambda p, q: p + q"
     dot = f"list_reduce(list_transform(range(1, len(e.v) + 1), lambda i: e.v[i] * t.v[i]), {fold})"
-    na = f"sqrt(list_reduce(list_transform(e.v, lambda x: x * x), {fold}))"
-    nb = f"sqrt(list_reduce(list_transform(t.v, lambda x: x * x), {fold}))"
+    norm = f"sqrt(list_reduce(list_transform(v, lambda x: x * x), {fold}))"
     return f"""
-WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
-t AS (SELECT v FROM e WHERE vec_id = (SELECT min(vec_id) FROM e))
-SELECT e.vec_id, e.label,
-       round(CASE WHEN {na} * {nb} > 0 THEN {dot} / ({na} * {nb}) ELSE CAST(0 AS DOUBLE) END,
-             {digits}) AS similarity
-FROM e, t
-WHERE e.vec_id <> (SELECT min(vec_id) FROM e)
-ORDER BY similarity DESC NULLS LAST, e.vec_id ASC
-LIMIT {top_n}"""
+WITH e AS (SELECT *, {norm} AS n FROM (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)),
+t AS (SELECT v, n FROM e WHERE vec_id = (SELECT min(vec_id) FROM e))
+SELECT vec_id, label, round(nearness, {digits}) AS similarity
+FROM (SELECT e.vec_id, e.label,
+             CASE WHEN e.n * t.n > 0 THEN {dot} / (e.n * t.n) ELSE CAST(0 AS DOUBLE) END AS nearness
+      FROM e, t
+      WHERE e.vec_id <> (SELECT min(vec_id) FROM e)
+      ORDER BY nearness DESC NULLS LAST, e.vec_id ASC
+      LIMIT {top_n})"""
+
+
+def adhoc() -> str:
+    return with_model("""
+SELECT p.category_english AS category, count(DISTINCT p.product_id) AS products,
+       count(*) AS pieces, CAST(round(sum(CAST(o.price AS DECIMAL(28,8))), 2) AS DOUBLE) AS value
+FROM m_orders o JOIN m_products_flat p ON o.product_id = p.product_id
+WHERE p.weight_g >= 3000
+GROUP BY p.category_english""")

@@ -20,8 +20,11 @@ from __future__ import annotations
 
 import contextlib
 import io
+import statistics
 import time
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -103,6 +106,15 @@ def pruning_evidence(filtered_scan: DataFrame, all_files: DataFrame,
                     F.round(F.col("bytes_read") / F.col("_t.bytes") * 100, 2).alias("pct_bytes_read")))
 
 
+def pruned_rows(table: DataFrame, filtered: DataFrame, partition_cols: list[str]) -> DataFrame:
+    """Partitions and rows that a filter leaves, against the whole table (one row)."""
+    count = lambda df: df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("n")).agg(
+        F.struct(F.count(F.lit(1)).alias("partitions"), F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("rows")).alias("c"))
+    return count(filtered).select("c", count(table).scalar().alias("t")).select(
+        F.col("c.partitions").alias("partitions_read"), F.col("t.partitions").alias("partitions_total"),
+        F.col("c.rows").alias("rows_read"), F.col("t.rows").alias("rows_total"))
+
+
 def timed(df: DataFrame) -> tuple[float, int]:
     """Seconds to run ``df`` to completion (noop sink) and its row count.
 
@@ -152,10 +164,11 @@ def format_read_times(spark: SparkSession, t: Tables, year: int, month: int,
     for kind, shape in kinds.items():
         for fmt, reader in readers.items():
             secs, n = [], 0
+            timed(shape(fmt, reader()))  # warm: code generation and file listing
             for _ in range(iterations):
                 s, n = timed(shape(fmt, reader()))
                 secs.append(s)
-            rows.append((kind, fmt, sum(secs) / len(secs), n))
+            rows.append((kind, fmt, statistics.median(secs), n))
     out = spark.createDataFrame(rows, "read_kind string, format string, seconds double, rows long")
     base = (out.where(F.col("format") == "csv")
             .select("read_kind", F.col("seconds").alias("_csv")))
@@ -199,12 +212,50 @@ def dataset_checks(spark: SparkSession, t: Tables, min_rows: dict[str, int] | No
     return spark.createDataFrame(rows, "check string, ok boolean, detail string")
 
 
+# Columns that a dataset cannot be used without.
+REQUIRED = {
+    "orders": ["order_id", "customer_id", "order_status"],
+    "products": ["product_id"],
+    "customers": ["customer_id", "customer_state"],
+    "reviews": ["review_id", "order_id", "review_score"],
+    "sellers": ["seller_id"],
+}
+
+
+def table_checks(t: Tables, min_rows: dict[str, int]) -> DataFrame:
+    """One row per dataset, computed in one aggregate each: rows, their minimum,
+    rows that lack a required value, partitions, and whether all is well."""
+    out = None
+    for name, df in t.as_dict().items():
+        parts = LAYOUT[name]["partition_by"]
+        lacking = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in REQUIRED[name]])
+        key = F.struct(*parts) if parts else F.lit(0)
+        one = df.agg(F.count(F.lit(1)).alias("row_count"),
+                     F.coalesce(F.sum(lacking.cast("long")), F.lit(0).cast("long")).alias("incomplete"),
+                     F.countDistinct(key).alias("partitions"))
+        need = int(min_rows.get(name, 0))
+        one = one.select(F.lit(name).alias("table_name"), "row_count", F.lit(need).cast("long").alias("min_rows"),
+                         "incomplete", "partitions",
+                         ((F.col("row_count") > need) & (F.col("incomplete") == 0)).alias("ok"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def _counts(t: Tables) -> DataFrame:
     from marketlens.plans.reports import overview
 
     return overview(t).where(F.col("table_name") != "total")
 
 
+def all_csv_copies(spark: SparkSession, t: Tables) -> dict[str, str]:
+    """CSV copies of all five datasets (structs flattened), for a like-for-like size."""
+    out = {}
+    for name, df in {**t.as_dict(), "products": t.products_flat}.items():
+        out[name] = scratch_path(spark, "size-csv", name)
+        write_csv(df, out[name], null_value=CSV_NULL)
+    return out
+
+
 def measure_storage(spark: SparkSession, t: Tables, copies: dict[str, str] | None = None) -> DataFrame:
     """Footprint of the five Parquet datasets plus CSV / JSON copies of orders."""
     copies = copies or format_copies(spark, t.orders)

@@ -19,11 +19,11 @@ from marketlens.sources.files import read_csv, read_json
 from marketlens.sources.warehouse import Tables
 
 
-def csv_roundtrip(spark: SparkSession, df: DataFrame) -> DataFrame:
+def csv_roundtrip(spark: SparkSession, df: DataFrame, multi_line: bool = False) -> DataFrame:
     """Write CSV (header, quoted newlines / quotes) and read it back typed."""
     path = scratch_path(spark, "csv")
     write_csv(df, path, null_value=CSV_NULL)
-    return read_csv(spark, path, df.schema, null_value=CSV_NULL)
+    return read_csv(spark, path, df.schema, null_value=CSV_NULL, multi_line=multi_line)
 
 
 def json_roundtrip(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -59,6 +59,20 @@ def external_tables(spark: SparkSession, t: Tables) -> dict[str, str]:
     return C.register_warehouse(spark, db, t.root)
 
 
+def managed_load(spark: SparkSession, t: Tables, name: str) -> DataFrame:
+    """Typed load of one converted dataset into a managed table (NaN as NULL)."""
+    return managed_table(spark, t.as_dict()[name], name)
+
+
+def plain_append(spark: SparkSession, t: Tables, runs: int = 2) -> DataFrame:
+    """``runs`` plain appends of the sellers: every row that many times."""
+    db = C.new_namespace(spark)
+    fq = C.save_managed(t.sellers.limit(0), f"{db}.sellers", [], LAYOUT["sellers"]["codec"])
+    for _ in range(runs):
+        C.insert_append(t.sellers, fq)
+    return spark.table(fq)
+
+
 def managed_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Load ``df`` into a managed table with its layout; return the table."""
     db = C.new_namespace(spark)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketlens import oracle
 from marketlens.operators import similarity as SIM
-from marketlens.operators.etl import payments_per_order
+from marketlens.operators.etl import payments_per_order, products_flat
 from marketlens.plans import measure as M
 from marketlens.plans import reports as R
 from marketlens.plans import roundtrip as RT
@@ -30,6 +30,8 @@ ONE_YEAR = 1997
 QUARTER = (1997, 4)
 CITY = "HOUSEHOLD"
 SIM_TOP_N = 10          # the similarity command line asks for 10
+# Row minimums of the dataset checks.
+MIN_ROWS = {"orders": 0, "products": 0, "customers": 0, "reviews": 0, "sellers": 0}
 UNKNOWN_ID = -1         # no product has a negative id
 
 
@@ -96,7 +98,7 @@ QUERIES: dict[str, Query] = {
     "etl_sellers": _with(lambda s, t: t.sellers),
     "etl_payments_per_order": lambda s, d: payments_per_order(raw_inputs(s, d).payments),
     # sources and sinks
-    "src_csv_roundtrip": _with(lambda s, t: RT.csv_roundtrip(s, t.reviews)),
+    "src_csv_roundtrip": _with(lambda s, t: RT.csv_roundtrip(s, t.reviews, multi_line=True)),
     "src_csv_projected": _with(lambda s, t: RT.csv_projected(s, t.orders)),
     "src_csv_prefix_filter": _with(lambda s, t: RT.csv_prefix_filter(
         s, t.orders, "order_purchase_timestamp", f"{ONE_YEAR}-10")),
@@ -106,6 +108,11 @@ QUERIES: dict[str, Query] = {
     # catalog tables
     "tbl_external": _with(lambda s, t: s.table(RT.external_tables(s, t)["orders"])),
     "tbl_managed": _with(lambda s, t: RT.managed_table(s, t.reviews, "reviews")),
+    "tbl_managed_orders": _with(lambda s, t: RT.managed_load(s, t, "orders")),
+    "tbl_managed_products": _with(lambda s, t: products_flat(RT.managed_load(s, t, "products"))),
+    "tbl_managed_customers": _with(lambda s, t: RT.managed_load(s, t, "customers")),
+    "tbl_managed_sellers": _with(lambda s, t: RT.managed_load(s, t, "sellers")),
+    "tbl_append": _with(lambda s, t: RT.plain_append(s, t)),
     "tbl_append_idempotent": _with(lambda s, t: RT.idempotent_reload(s, t)),
     "cat_overview": _with(lambda s, t: R.overview(t)),
     # whole-day spans on sub-day timestamps
@@ -115,18 +122,15 @@ QUERIES: dict[str, Query] = {
     "sim_scaled": _with(lambda s, t: SIM.scale_features(_features(t))),
     "sim_popular": _with(lambda s, t: SIM.popular_products(SIM.product_features(t), 10)),
     "sim_top_n": _with(lambda s, t: _top_n(t)),
+    "sim_target": _with(lambda s, t: SIM.target_product(SIM.scaled_table(t), SIM.most_popular_id(_features(t)))),
     "sim_unknown_id": _with(lambda s, t: SIM.find_similar(SIM.scaled_table(t), UNKNOWN_ID, SIM_TOP_N)),
     "sim_embeddings": lambda s, d: SIM.similar_embeddings(read_table(s, d, "embeddings"), SIM_TOP_N),
-    # measurement and data quality (sizes and times: no SQL twin)
-    "msr_storage": _with(lambda s, t: M.measure_storage(s, t)),
-    "msr_pruning": _with(lambda s, t: M.pruning_evidence(
-        RT.parquet_partition_filter(t, ONE_YEAR, 10),
-        M.list_files(s, f"{t.root}/orders", "*.parquet"), ["year", "month"])),
-    "msr_pruning_reviews": _with(lambda s, t: M.pruning_evidence(
-        t.reviews.where("review_score <= 2"),
-        M.list_files(s, f"{t.root}/reviews", "*.parquet"), ["review_score"])),
-    "msr_formats": _with(lambda s, t: M.format_read_times(s, t, ONE_YEAR, 10, iterations=1)),
-    "dq_checks": _with(lambda s, t: M.dataset_checks(s, t, review_partitions=4)),
+    # what filters read, and data quality (file sizes and timings: bench.py)
+    "msr_pruning": _with(lambda s, t: M.pruned_rows(
+        t.orders, RT.parquet_partition_filter(t, ONE_YEAR, 10), ["year", "month"])),
+    "msr_pruning_reviews": _with(lambda s, t: M.pruned_rows(
+        t.reviews, t.reviews.where("review_score <= 2"), ["review_score"])),
+    "dq_checks": _with(lambda s, t: M.table_checks(t, MIN_ROWS)),
 }
 
 ORACLE: dict[str, str] = {
@@ -148,7 +152,7 @@ ORACLE: dict[str, str] = {
     "n6_top_categories_quarter": oracle.n6(QUARTER[0], QUARTER[1], None, 5),
     "n7_top_categories_year": oracle.n7(ONE_YEAR, 5),
     "n8_states_quarter": oracle.n8(QUARTER[0], QUARTER[1], 5),
-    "adhoc_sql": oracle.q7(5),
+    "adhoc_sql": oracle.adhoc(),
     "etl_orders_wide": oracle.table("m_orders"),
     "etl_products_flat": oracle.table("m_products_flat"),
     "etl_customers": oracle.table("m_customers"),
@@ -164,12 +168,21 @@ ORACLE: dict[str, str] = {
     "src_parquet_projected": oracle.table("m_orders", cols="order_id, order_status"),
     "tbl_external": oracle.table("m_orders"),
     "tbl_managed": oracle.table("m_reviews"),
+    "tbl_managed_orders": oracle.table("m_orders"),
+    "tbl_managed_products": oracle.table("m_products_flat"),
+    "tbl_managed_customers": oracle.table("m_customers"),
+    "tbl_managed_sellers": oracle.table("m_sellers"),
+    "tbl_append": oracle.appended("m_sellers", 2),
     "tbl_append_idempotent": oracle.table("m_orders"),
     "cat_overview": oracle.overview(),
+    "msr_pruning": oracle.pruned_rows("m_orders", f"year = {ONE_YEAR} AND month = 10", "year, month"),
+    "msr_pruning_reviews": oracle.pruned_rows("m_reviews", "review_score <= 2", "review_score"),
+    "dq_checks": oracle.table_checks(MIN_ROWS),
     "days_between_events": oracle.event_spans(),
     "sim_features": oracle.sim_features(),
     "sim_scaled": oracle.sim_scaled(),
     "sim_popular": oracle.sim_popular(10),
+    "sim_target": oracle.sim_target(),
     "sim_top_n": oracle.sim_top_n(SIM_TOP_N),
     "sim_unknown_id": oracle.sim_unknown_id(UNKNOWN_ID),
     "sim_embeddings": oracle.sim_embeddings(SIM_TOP_N),

@@ -3,18 +3,19 @@
 On a cluster the session is built by the platform; ``get_session`` only fills
 in settings that are not already present. Durable intermediate data (the
 converted warehouse, round-trip files) goes under ``spark.checkpoint.dir``,
-which on a cluster names a shared file system. A private fallback is created
-only when the setting is missing (local tests).
+which on a cluster names a shared file system. Where the setting is missing, a
+local master gets a private folder (tests); on a cluster that is an error.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-# Settings every job relies on. Applied with setIfMissing semantics.
+# Settings every job relies on, for those that are not set already.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -24,7 +25,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
-    "spark.ui.enabled": "false",
 }
 
 
@@ -37,14 +37,19 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.ui.enabled", "false")
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
+    spark = builder.getOrCreate()
+    sc = _context(spark)
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
     for k, v in conf.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    sc = _context(spark)
+        # what the platform or the command line has set stays
+        if sc is None or not sc.getConf().contains(k):
+            spark.conf.set(k, v)
     if sc is not None:
         sc.setLogLevel("ERROR")
     return spark
@@ -60,7 +65,7 @@ def scale_conf(input_bytes: int, cores: int, target_partition_mb: int = 256) ->
       split to the input spread over the cores (counting a per-file open
       cost), so small inputs still use every core without tiny tasks;
     * shuffle partitions: enough for ~``target_partition_mb`` per partition
-      before adaptive coalescing, at least 2 per core, at most 100 000;
+      before adaptive coalescing, at least 2 per core;
     * advisory partition size (skew split size and file size of rebalanced
       writes): the input per core, between 8 MB and ``target_partition_mb``;
     * skew threshold at 4x the advisory size;
@@ -71,7 +76,7 @@ def scale_conf(input_bytes: int, cores: int, target_partition_mb: int = 256) ->
     target = target_partition_mb * MB
     per_core = max(1, input_bytes // max(1, cores))
     advisory = max(8 * MB, min(target, per_core))
-    parts = max(2 * cores, min(100_000, -(-input_bytes // target)))
+    parts = max(2 * cores, -(-input_bytes // target))
     return {
         "spark.sql.files.maxPartitionBytes": str(target),
         "spark.sql.shuffle.partitions": str(parts),
@@ -94,14 +99,19 @@ def apply_scale_conf(spark: SparkSession, input_bytes: int, cores: int | None =
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Set our own (a fresh temp folder) only where the session has none, which
-    happens in local tests; a cluster always provides it.
+    Only a local master (tests) gets a fresh temp folder where the session has
+    none. On a cluster each executor would write to its own disk, so a missing
+    setting is an error there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
+        master = spark.conf.get("spark.master", "") or ""
+        if not re.match(r"local($|\[)", master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors "
+                               f"share (master {master!r})")
         d = tempfile.mkdtemp(prefix="marketlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and sc.getCheckpointDir() is None:
@@ -117,6 +127,14 @@ def _context(spark: SparkSession):
         return None
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a new folder of the shared store and read it back: later
+    stages read files, keep their size statistics, and survive lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def session_key(spark: SparkSession) -> str:
     """Identifies the running application (cache key for per-session state)."""
     return spark.conf.get("spark.app.id", None) or str(id(spark))

@@ -15,17 +15,17 @@
 
 from __future__ import annotations
 
-import threading
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from marketlens.functions.expr import nan_free
 from marketlens.schemas import LAYOUT
 from marketlens.session import scratch_path
 
 
-_OVERWRITE_LOCK = threading.Lock()
 
 
 def new_namespace(spark: SparkSession, prefix: str = "marketlens") -> str:
@@ -40,10 +40,22 @@ def create_namespace(spark: SparkSession, name: str, location: str | None = None
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{loc}")
 
 
+def _plain_path(location: str) -> str:
+    """A location without the local scheme and trailing slashes, for comparison."""
+    return re.sub(r"^file:/+", "/", location).rstrip("/")
+
+
 def register_external(spark: SparkSession, db: str, table: str, path: str,
                       partition_by: list[str] | tuple = ()) -> str:
     """External table over an existing Parquet dataset, partitions recovered."""
     fq = f"{db}.{table}"
+    if spark.catalog.tableExists(fq):
+        # an external table of another folder is replaced: dropping it leaves the files
+        known = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {fq}").collect()}
+        if known.get("Type") != "EXTERNAL":
+            raise ValueError(f"{fq} exists and is no external table")
+        if _plain_path(known.get("Location", "")) != _plain_path(path):
+            spark.sql(f"DROP TABLE {fq}")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {fq} USING parquet LOCATION '{path}'")
     if partition_by:
         spark.sql(f"MSCK REPAIR TABLE {fq} SYNC PARTITIONS")
@@ -58,10 +70,10 @@ def register_warehouse(spark: SparkSession, db: str, root: str) -> dict[str, str
 
 def save_managed(df: DataFrame, fq_table: str, partition_by: list[str] | tuple = (),
                  codec: str = "snappy") -> str:
-    """Drop-and-create load of a managed table (partition columns last)."""
+    """Drop-and-create load of a managed table (partition columns last, NaN as NULL)."""
     parts = list(partition_by)
     cols = [c for c in df.columns if c not in parts] + parts
-    w = (df.select(*cols).hint("rebalance", *parts).write.mode("overwrite")
+    w = (nan_free(df).select(*cols).hint("rebalance", *parts).write.mode("overwrite")
          .option("compression", codec))
     if parts:
         w = w.partitionBy(*parts)
@@ -75,22 +87,27 @@ def insert_idempotent(spark: SparkSession, df: DataFrame, fq_table: str) -> None
     Only the partitions present in ``df`` are rewritten; the column order of
     the target table is used (``insertInto`` is positional).
     """
-    target_cols = spark.table(fq_table).columns
-    # insertInto ignores a per-write partitionOverwriteMode option (the
-    # session setting decides), so the setting is switched for this write
-    # only; the lock keeps our own concurrent loads from interleaving.
-    with _OVERWRITE_LOCK:
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            df.select(*target_cols).write.insertInto(fq_table, overwrite=True)
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    # insertInto ignores a per-write partitionOverwriteMode option (the session
+    # decides), so the staged rows are written through a session of their own
+    # with the same catalog; other writers of this session are not touched.
+    path = scratch_path(spark, "load")
+    df.select(*spark.table(fq_table).columns).write.parquet(path)
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    staged = own.read.schema(spark.table(fq_table).schema).parquet(path)
+    _shaped(staged, fq_table).write.insertInto(fq_table, overwrite=True)
+
+
+def _shaped(df: DataFrame, fq_table: str) -> DataFrame:
+    """Columns of the target, rebalanced by its partitions (few files each)."""
+    columns = df.sparkSession.catalog.listColumns(fq_table)
+    parts = [c.name for c in columns if c.isPartition]
+    return nan_free(df).select(*[c.name for c in columns]).hint("rebalance", *parts)
 
 
 def insert_append(df: DataFrame, fq_table: str) -> None:
     """Plain append (``INSERT INTO``): a second run doubles the rows."""
-    df.write.insertInto(fq_table, overwrite=False)
+    _shaped(df, fq_table).write.insertInto(fq_table, overwrite=False)
 
 
 def list_tables(spark: SparkSession, db: str) -> list[str]:

@@ -3,8 +3,8 @@
 CSV is always read with an explicit schema: inference costs a full extra pass
 at scale and guesses types differently per file. ``multiLine`` + ``escape='"'``
 parse quoted newlines and doubled quotes correctly; a multi-line CSV file is
-read by one task, so large inputs should be many files (which is how Spark
-writes them).
+read by one task, so the option is on only for files whose texts may hold line
+breaks (reviews). All other files are split into many tasks.
 """
 
 from __future__ import annotations
@@ -18,20 +18,25 @@ from marketlens.sources.testdata import RawInputs
 NTZ_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
 
+# Fixed value: the raw input whose quoted texts may hold line breaks.
+MULTI_LINE = {"reviews"}
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType, mode: str = "FAILFAST",
-             null_value: str = "") -> DataFrame:
+             null_value: str = "", multi_line: bool = False) -> DataFrame:
     """CSV with a header row and explicit schema.
 
     ``mode='FAILFAST'`` raises on a malformed value (e.g. an unparsable
     timestamp) instead of silently turning it into NULL. Raw inputs mark a
     missing value with an empty field (``null_value=''``); files written by
-    ``sinks.write_csv`` use ``\\N`` so that ``''`` survives.
+    ``sinks.write_csv`` use ``\\N`` so that ``''`` survives. ``multi_line`` lets a
+    quoted field hold line breaks, at the price of one task per file.
     """
     return (spark.read.schema(schema)
             .option("nullValue", null_value)
             .option("emptyValue", "")
             .option("header", True)
-            .option("multiLine", True)
+            .option("multiLine", multi_line)
             .option("escape", '"')
             .option("mode", mode)
             .option("ignoreLeadingWhiteSpace", False)
@@ -55,5 +60,6 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 def raw_csv_inputs(spark: SparkSession, raw_dir: str) -> RawInputs:
     """The nine raw CSV files of a raw folder, typed by ``schemas.RAW_SCHEMAS``."""
     base = raw_dir.rstrip("/")
-    frames = {k: read_csv(spark, f"{base}/{RAW_FILES[k]}", RAW_SCHEMAS[k]) for k in RAW_FILES}
+    frames = {k: read_csv(spark, f"{base}/{RAW_FILES[k]}", RAW_SCHEMAS[k], multi_line=k in MULTI_LINE)
+              for k in RAW_FILES}
     return RawInputs(**frames)

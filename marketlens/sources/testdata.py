@@ -15,7 +15,7 @@ orders                 ``orders``; status F/O/P → delivered/processing/shipped
                        purchase = approved = ``o_orderdate``; carrier date =
                        first ``l_shipdate`` of the order; delivered date = last
                        ``l_shipdate`` when delivered; estimate = purchase + 60 d
-items                  ``lineitem``; freight = price × tax, rounded to cents
+items                  ``lineitem``; freight = price × tax
 payments               ``lineitem``: type ``l_returnflag``, installments
                        ``l_quantity``, value ``l_extendedprice``, sequence
                        ``l_linenumber``
@@ -37,7 +37,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.functions.expr import MONEY
 
 # Order-status codes of the test data and the names they stand for.
 STATUS_NAMES = {"F": "delivered", "O": "processing", "P": "shipped"}
@@ -127,8 +126,7 @@ def raw_inputs(spark: SparkSession, sf_dir: str) -> RawInputs:
         "l_suppkey AS seller_id",
         "l_shipdate AS shipping_limit_date",
         "l_extendedprice AS price",
-        f"CAST(round(CAST(l_extendedprice AS {MONEY}) * CAST(l_tax AS {MONEY}), 2) AS DOUBLE)"
-        " AS freight_value")
+        "l_extendedprice * l_tax AS freight_value")
 
     payments = lineitem.selectExpr(
         "l_orderkey AS order_id",

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.operators.etl import convert_all, products_flat
+from marketlens.operators.etl import conversions, convert_all, products_flat
 from marketlens.schemas import LAYOUT, TABLES
 from marketlens.session import scratch_path, session_key
 from marketlens.sinks.parquet import write_table
@@ -79,11 +79,11 @@ def build_warehouse(raw: RawInputs, root: str, parallel: int = 5) -> str:
     from concurrent.futures import ThreadPoolExecutor
 
     def write(item):
-        name, df = item
+        name, make = item
         lay = LAYOUT[name]
-        write_table(df, dataset_path(root, name), lay["partition_by"], lay["codec"])
+        write_table(make(), dataset_path(root, name), lay["partition_by"], lay["codec"])
 
-    jobs = list(convert_all(raw).items())
+    jobs = list(conversions(raw).items())
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         for f in [pool.submit(write, j) for j in jobs]:
             f.result()

@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from marketlens.operators import similarity as S
 
 
@@ -70,3 +72,42 @@ def test_embeddings_self_excluded(spark):
                                "vec_id long, label int, embedding array<float>")
     out = S.similar_embeddings(df, top_n=5).collect()
     assert [(r.vec_id, r.similarity) for r in out] == [(2, 1.0), (3, 0.0)]
+
+
+def _scaled(spark, rows):
+    """Scaled table from (id, two features); the other features are constant."""
+    feats = [dict({f: 0.0 for f in S.FEATURES}, weight_g=a, length_cm=b) for _, a, b in rows]
+    df = spark.createDataFrame([(r[0], "c" * 40, *f.values()) for r, f in zip(rows, feats)],
+                               "product_id string, category_english string, " + ", ".join(f"{f} double" for f in S.FEATURES))
+    return df.select("product_id", "category_english", "avg_price", "avg_review", "order_count", "review_count",
+                     *[F.col(f).alias(f"s_{f}") for f in S.FEATURES],
+                     F.sqrt(F.col("weight_g") ** 2 + F.col("length_cm") ** 2).alias("norm"))
+
+
+def test_neighbours_are_ranked_on_the_full_score(spark):
+    """Both neighbours round to 1.000000; the nearer one comes first, with its whole label."""
+    scaled = _scaled(spark, [("t", 1.0, 0.0), ("a", 1.0, 0.0009), ("b", 1.0, 0.0003)])
+    got = S.similar_products(scaled, "t", 1).collect()
+    assert [(r.product_id, r.similarity, r.category) for r in got] == [("b", 1.0, "c" * 40)]
+    target = S.target_product(scaled, "t").first()
+    assert target.product_id == "t" and target.review_count == 0.0
+
+
+def test_cosine_projection_is_generated_code(spark, tables):
+    plan = S.similar_products(S.scaled_table(tables), 1, 3)
+    text = plan._jdf.queryExecution().toString()
+    assert "zip_with" not in text and "aggregate(" not in text
+
+
+def test_features_follow_a_new_conversion(spark, tmp_path):
+    """The same folder converted again from other inputs is another snapshot."""
+    from marketlens.sources.testdata import raw_inputs
+    from marketlens.sources.warehouse import build_warehouse, open_tables
+
+    root = str(tmp_path / "lake")
+    raw = raw_inputs(spark, "/root/testdata/sf0.001")
+    build_warehouse(raw, root)
+    first = S.feature_table(open_tables(spark, root)).count()
+    raw.products = raw.products.where("product_id <= 50")
+    build_warehouse(raw, root)
+    assert first > 51 and S.feature_table(open_tables(spark, root)).count() == 51  # ids begin at 0

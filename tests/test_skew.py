@@ -12,8 +12,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from marketlens.operators.etl import convert_orders
-from marketlens.plans.measure import plan_text
+from marketlens.operators.etl import convert_customers, convert_orders, convert_products
 
 SKEW_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -66,9 +65,15 @@ def _inputs(spark, n_orders=600, hot_items=6000):
     return orders, items, payments
 
 
+def _largest_task(df, column="order_id", value=0):
+    per_task = (df.where(F.col(column) == value).select(F.spark_partition_id().alias("p"))
+                .groupBy("p").count().collect())
+    return max(r["count"] for r in per_task)
+
+
 def test_hot_order_is_split_and_result_is_whole(spark, skew_conf):
     orders, items, payments = _inputs(spark)
-    out = convert_orders(orders, items, payments, hot_rows=1000)
+    out = convert_orders(orders, items, payments)
     rows = out.groupBy("order_id").agg(F.count(F.lit(1)).alias("n"),
                                         F.max("payment_value").alias("pv")).collect()
     by_id = {r.order_id: r for r in rows}
@@ -81,69 +86,66 @@ def test_hot_order_is_split_and_result_is_whole(spark, skew_conf):
     assert sum(r.n for r in rows) == items.count() + len(itemless)
 
 
-def test_hot_rows_never_reach_one_task(spark, skew_conf):
-    """Rows of the hot order are joined map-side: the largest task of the join
-    stage holds far less than the hot order's 6000 rows."""
-    from marketlens.operators.etl import ITEM_COLUMNS, split_hot_join
+def test_hot_rows_never_reach_one_task(spark, skew_conf, tmp_path):
+    """The written result shows the split: the hot order's rows are in several files."""
+    out = convert_orders(*_inputs(spark))
+    path = str(tmp_path / "orders")
+    out.write.parquet(path)
+    per_file = (spark.read.parquet(path).where("order_id = 0")
+                .groupBy(F.col("_metadata.file_path")).count().collect())
+    assert sum(r["count"] for r in per_file) == 6000
+    assert max(r["count"] for r in per_file) < 6000
 
-    orders, items, _ = _inputs(spark)
-    df = split_hot_join(items.select("order_id", *ITEM_COLUMNS), orders, "order_id", "inner", 1000)
-    per_task = df.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
-    assert sum(r["count"] for r in per_task) == items.count()
-    assert max(r["count"] for r in per_task) < 6000
-    plan = plan_text(df, "simple")
-    assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan
 
-
-def test_plain_join_puts_hot_key_in_one_task(spark, skew_conf):
+def test_plain_left_join_puts_hot_key_in_one_task(spark, skew_conf, tmp_path):
     orders, items, _ = _inputs(spark)
-    df = items.join(orders, "order_id", "left")
-    per_task = df.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
-    assert max(r["count"] for r in per_task) >= 6000
-
-
-def test_null_keys_skip_the_join(spark, skew_conf):
-    from marketlens.operators.joins import split_hot_join
-
-    many = spark.createDataFrame([(None, 1), (None, 2), (1, 3), (2, 4), (2, 5)], "k int, v int")
-    one = spark.createDataFrame([(1, "a"), (2, "b"), (None, "z")], "k int, name string")
-    left = sorted(repr(tuple(r)) for r in split_hot_join(many, one, "k", "left", hot_rows=1).collect())
-    assert left == sorted(repr(r) for r in [(None, 1, None), (None, 2, None), (1, 3, "a"),
-                                            (2, 4, "b"), (2, 5, "b")])
-    inner = sorted(tuple(r) for r in split_hot_join(many, one, "k", "inner", hot_rows=1).collect())
-    assert inner == [(1, 3, "a"), (2, 4, "b"), (2, 5, "b")]
-
-
-def test_salted_join_spreads_hot_key_with_many_rows_on_both_sides(spark, skew_conf):
-    from marketlens.operators.joins import split_hot_join
-
-    many = spark.range(6000).select((F.col("id") % 3 == 0).cast("int").alias("k"), F.col("id").alias("p"))
-    many = many.unionByName(spark.range(3000).select(F.lit(7).alias("k"), (F.col("id") + 10**6).alias("p")))
-    one = spark.createDataFrame([(7, "r1"), (7, "r2"), (0, "r3"), (1, "r4")], "k int, r string")
-    df = split_hot_join(many, one, "k", "inner", hot_rows=2500, strategy="salt", salts=8)
-    plain = many.join(one, "k", "inner")
-    assert df.count() == plain.count() == 3000 * 2 + 4000 + 2000
-    assert df.exceptAll(plain).count() == 0 and plain.exceptAll(df).count() == 0
-    per_task = df.select(F.spark_partition_id().alias("t")).groupBy("t").count().collect()
-    assert max(r["count"] for r in per_task) < 6000
-
-
-def test_hot_set_is_capped(spark, skew_conf, monkeypatch):
-    """With every key above the absolute floor, only keys above 1/MAX_HOT_KEYS
-    of all rows are hot, so the broadcast set never exceeds MAX_HOT_KEYS."""
-    from marketlens.operators import joins
-
-    monkeypatch.setattr(joins, "MAX_HOT_KEYS", 4)
-    many = spark.range(1000).select((F.col("id") % 10).alias("k"), F.col("id").alias("v"))
-    many = many.unionByName(spark.range(1000).select(F.lit(3).cast("long").alias("k"),
-                                                     (F.col("id") + 5000).alias("v")))
-    one = spark.range(10).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
-    df = joins.split_hot_join(many, one, "k", "inner", hot_rows=0)
-    assert df.count() == 2000
-    plan = plan_text(df, "simple")
-    assert "BroadcastHashJoin" in plan
-    counts = many.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    # key 3 holds 1100 of 2000 rows; every other key 100 (< 2000 / 4)
-    assert [r.k for r in joins.hot_keys(counts, "k", hot_rows=0).collect()] == [3]
-    monkeypatch.setattr(joins, "MAX_HOT_KEYS", 100)
-    assert joins.hot_keys(counts, "k", hot_rows=0).count() == 10
+    path = str(tmp_path / "plain")
+    orders.join(items, "order_id", "left").write.parquet(path)
+    per_file = (spark.read.parquet(path).where("order_id = 0")
+                .groupBy(F.col("_metadata.file_path")).count().collect())
+    assert max(r["count"] for r in per_file) == 6000
+
+
+def test_hot_and_null_lookups_stay_whole(spark, skew_conf):
+    """A hot ZIP prefix, a hot category, and many rows without one."""
+    customers = spark.range(4000).select(
+        F.col("id").alias("customer_id"), F.col("id").cast("string").alias("customer_unique_id"),
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id")).cast("int")
+        .alias("customer_zip_code_prefix"),
+        F.lit("c").alias("customer_city"), F.lit("s").alias("customer_state"))
+    geo = spark.range(3000).select(
+        F.col("id").cast("int").alias("geolocation_zip_code_prefix"), F.lit(1.5).alias("geolocation_lat"),
+        F.when(F.col("id") == 9, float("nan")).otherwise(2.5).alias("geolocation_lng"))
+    out = convert_customers(customers, geo)
+    assert out.count() == 4000
+    assert out.where("customer_zip_code_prefix = '7' AND geolocation_lat = 1.5").count() == 1335
+    assert out.where("customer_zip_code_prefix IS NULL AND geolocation_lat IS NULL").count() == 1333
+    assert out.where("isnan(geolocation_lng)").count() == 0
+    doubles = ["product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm",
+               "product_name_lenght", "product_description_lenght", "product_photos_qty"]
+    products = spark.range(3000).select(
+        F.col("id").alias("product_id"),
+        F.when(F.col("id") % 3 > 0, F.when(F.col("id") % 3 == 1, "hot").otherwise("cold")).alias("product_category_name"),
+        *[F.lit(1.0).alias(c) for c in doubles])
+    names = spark.createDataFrame([("hot", "HOT"), ("cold", "COLD")],
+                                  "product_category_name string, product_category_name_english string")
+    got = {r.e: r.n for r in convert_products(products, names).groupBy(F.col("category.english").alias("e"))
+           .agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got == {"HOT": 1000, "COLD": 1000, None: 1000}
+
+
+def test_conversion_reads_each_input_once(spark, skew_conf, tmp_path):
+    """Scans per raw input over all jobs of the conversion: one, and one of the items' keys."""
+    orders, items, payments = _inputs(spark)
+    paths = {}
+    for name, df in (("orders", orders), ("items", items), ("payments", payments)):
+        paths[name] = str(tmp_path / name)
+        df.write.parquet(paths[name])
+    frames = {n: spark.read.parquet(p) for n, p in paths.items()}
+    plan = convert_orders(frames["orders"], frames["items"], frames["payments"])._jdf.queryExecution().sparkPlan().toString()
+    # orders and payments went into the written heads, which are read for the join and the anti join
+    assert plan.count(f"{paths['orders']}]") == 0 and plan.count(f"{paths['payments']}]") == 0
+    scans = [line for line in plan.splitlines() if paths["items"] in line]
+    assert len(scans) == 2
+    assert any("ReadSchema: struct<order_id:bigint>" in line for line in scans)
+    assert sum("order-heads" in line for line in plan.splitlines()) == 2
