@@ -31,7 +31,7 @@ from pyspark.sql.types import StructType
 
 from marketlens.schemas import LAYOUT
 from marketlens.session import scratch_path
-from marketlens.sinks.parquet import CSV_NULL, write_csv, write_json
+from marketlens.sinks.parquet import CSV_NULL, write_csv, write_json, write_table
 from marketlens.sources.files import read_csv, read_json, read_parquet
 from marketlens.sources.warehouse import Tables
 
@@ -130,27 +130,33 @@ def timed(df: DataFrame) -> tuple[float, int]:
     return time.perf_counter() - t0, int(obs.get["n"])
 
 
+def repeated(df: DataFrame, times: int) -> DataFrame:
+    """Every row ``times`` times: a larger input for the read timings."""
+    return df.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(times)))).drop("_copy")
+
+
 def format_copies(spark: SparkSession, df: DataFrame) -> dict[str, str]:
-    """Write ``df`` as CSV and JSON lines next to its Parquet form; return paths."""
-    csv_path, json_path = scratch_path(spark, "fmt-csv"), scratch_path(spark, "fmt-json")
-    write_csv(df, csv_path, null_value=CSV_NULL)
-    write_json(df, json_path)
-    return {"csv": csv_path, "json": json_path}
+    """Write ``df`` (orders) as CSV, JSON lines and partitioned Parquet; return paths."""
+    paths = {f: scratch_path(spark, f"fmt-{f}") for f in ("csv", "json", "parquet")}
+    write_csv(df, paths["csv"], null_value=CSV_NULL)
+    write_json(df, paths["json"])
+    write_table(df, paths["parquet"], LAYOUT["orders"]["partition_by"], LAYOUT["orders"]["codec"])
+    return paths
 
 
 def format_read_times(spark: SparkSession, t: Tables, year: int, month: int,
                       iterations: int = 3, project=("order_id", "order_status"),
                       copies: dict[str, str] | None = None) -> DataFrame:
     """Full / projected / filtered reads of ``orders`` in three formats
-    (``copies``: CSV / JSON paths from ``format_copies``, written if absent)."""
+    (``copies``: paths from ``format_copies``, written if absent). Each read is
+    warmed once; the median of ``iterations`` runs counts."""
     orders = t.orders
     schema: StructType = orders.schema
     copies = copies or format_copies(spark, orders)
-    parquet_path = f"{t.root.rstrip('/')}/orders"
     readers = {
         "csv": lambda: read_csv(spark, copies["csv"], schema, null_value=CSV_NULL),
         "json": lambda: read_json(spark, copies["json"], schema),
-        "parquet": lambda: read_parquet(spark, parquet_path),
+        "parquet": lambda: read_parquet(spark, copies["parquet"]),
     }
     prefix = f"{year:04d}-{month:02d}"
     kinds = {
@@ -247,19 +253,12 @@ def _counts(t: Tables) -> DataFrame:
     return overview(t).where(F.col("table_name") != "total")
 
 
-def all_csv_copies(spark: SparkSession, t: Tables) -> dict[str, str]:
-    """CSV copies of all five datasets (structs flattened), for a like-for-like size."""
-    out = {}
+def measure_storage(spark: SparkSession, t: Tables) -> DataFrame:
+    """Footprint of the five datasets as Parquet and as CSV (structs flattened)."""
+    datasets = {}
     for name, df in {**t.as_dict(), "products": t.products_flat}.items():
-        out[name] = scratch_path(spark, "size-csv", name)
-        write_csv(df, out[name], null_value=CSV_NULL)
-    return out
-
-
-def measure_storage(spark: SparkSession, t: Tables, copies: dict[str, str] | None = None) -> DataFrame:
-    """Footprint of the five Parquet datasets plus CSV / JSON copies of orders."""
-    copies = copies or format_copies(spark, t.orders)
-    datasets = {("parquet", name): (f"{t.root.rstrip('/')}/{name}", "*.parquet") for name in LAYOUT}
-    datasets[("csv", "orders")] = (copies["csv"], "*.csv")
-    datasets[("json", "orders")] = (copies["json"], "*.json")
+        path = scratch_path(spark, "size-csv", name)
+        write_csv(df, path, null_value=CSV_NULL)
+        datasets[("csv", name)] = (path, "*.csv")
+        datasets[("parquet", name)] = (f"{t.root.rstrip('/')}/{name}", "*.parquet")
     return storage_footprint(spark, datasets)

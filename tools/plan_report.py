@@ -20,9 +20,10 @@ WHOLE_TABLES = {"etl_orders_wide", "etl_products_flat", "etl_customers", "etl_re
                 "etl_payments_per_order", "src_parquet_partition_filter", "src_parquet_projected",
                 "sim_features", "sim_scaled", "days_between_events"}
 
-SKIP = {"msr_storage", "msr_formats", "dq_checks", "src_csv_roundtrip", "src_csv_projected",
-        "src_csv_prefix_filter", "src_json_roundtrip", "tbl_external", "tbl_managed",
-        "tbl_append_idempotent"}
+SKIP = {"src_csv_roundtrip", "src_csv_projected",
+        "src_csv_prefix_filter", "src_json_roundtrip", "tbl_external", "tbl_managed", "tbl_append",
+        "tbl_append_idempotent", "tbl_managed_orders", "tbl_managed_products", "tbl_managed_customers",
+        "tbl_managed_sellers"}
 
 
 def facts(plan: str) -> dict:
