@@ -13,13 +13,13 @@ chance gives, over the most that could be common. The likeness is the mean over
 the shorter chain's filters of the best match in the other chain.
 
 ``chain`` compares every document with its own edited text and with the next
-document. It sorts the texts by id once, as range partitions; a task reads its
+document. It sorts the (compressed) texts by id once, as range partitions; a task reads its
 rows in order with one row of look-ahead, and the rows at the partition ends meet
 in a second small step (one head and one tail text for each partition).
 
 Defined cases: null text is empty; an empty text has no filter; two texts without
 a filter are alike (1), one without and one with are not (0); a text shorter than
-``SMALL_WINDOW`` is one feature; rows with equal ids follow each other by text; a single
+``SMALL_WINDOW`` is one feature; rows with equal ids follow each other in an order of their texts; a single
 row is its own next document; an empty table gives no rows; extra columns are
 ignored; a null id sorts after all others.
 """
@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,8 +53,7 @@ SMALL_WINDOW = 8
 BLOCK = 2_000_000
 
 # count * log2(count) of a class in a window, scaled to fill 16 bits
-_LOAD = np.round([c * np.log2(c) * 160 if c else 0 for c in range(256)]).clip(0, 65_535).astype(np.uint16)
-_LOAD[WINDOW + 1:] = 0
+_LOAD = np.round([c * np.log2(c) * 160 if c else 0 for c in range(WINDOW + 1)]).astype(np.uint16)
 
 
 def entropy_bins(data: np.ndarray) -> np.ndarray:
@@ -238,15 +238,27 @@ def _rows(kind: pa.DataType, part: int, role: int, ids: list, results: list[tupl
         ["part", "role", "id", *_RESULT_NAMES, "text"])
 
 
+def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one, for the sort by id."""
+    packer = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        for a, b, data, off in buffers(batch.column(1), BLOCK):
+            raw = data.tobytes()
+            packed = [packer.compress(raw[off[i]:off[i + 1]]) for i in range(b - a)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(packed, pa.binary())], ["id", "packed"])
+
+
 def _stream(rank: np.ndarray):
     """Role 0: a finished row; 1: the partition's first row; 2: its last, which waits for the next partition."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         ids, texts, size, first = [], [], 0, True
         kind = None
+        opener = zstandard.ZstdDecompressor()
         for batch in batches:
             kind = batch.column(0).type
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for i, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                t = opener.decompress(packed)
                 if first:
                     yield _rows(kind, part, 1, [i], [], [t])
                     first = False
@@ -278,7 +290,8 @@ def chain(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     plain = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"))
     kind = plain.schema["id"].dataType.simpleString()
     down = F.col("id").desc_nulls_last()
-    ordered = plain.repartitionByRange(down).sortWithinPartitions(down, F.xxhash64("text"), "text")
+    squeezed = plain.mapInArrow(_squeezed, f"id {kind}, packed binary")
+    ordered = squeezed.repartitionByRange(down).sortWithinPartitions(down, "packed")
     rows = keep(ordered.mapInArrow(_stream(rank), f"part int, role int, id {kind}, {RESULT}, text binary"), "fingerprints")
     heads = rows.where("role = 1").select("part", F.col("text").alias("following"))
     # the partition that comes after each one: part numbers only
