@@ -63,11 +63,13 @@ def entropy_bins(data: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.uint16)
     letters = data & 31
     load = np.zeros(n, np.uint16)
+    step = np.empty(n, np.uint16)
     for v in np.flatnonzero(np.bincount(letters, minlength=32)):
-        # sums modulo 256 are enough: a window has at most WINDOW of a letter
-        seen = np.zeros(len(data) + 1, np.uint8)
-        np.cumsum(letters == v, dtype=np.uint8, out=seen[1:])
-        load += _LOAD[seen[WINDOW:] - seen[:n]]
+        count, width = (letters == v).view(np.uint8), 1
+        while width < WINDOW:  # WINDOW is a power of two
+            count = count[:-width] + count[width:]
+            width *= 2
+        load += np.take(_LOAD, count, out=step, mode="clip")
     return load >> 6
 
 
