@@ -44,7 +44,9 @@ from marketlens.llm.common import U64, keep, mix
 ORDER = 5
 BEGIN, END = 0xFF, 0xFE  # bytes that no UTF-8 text has
 SYMBOLS = 257
+#: Text of a block, and of the part of it that is turned into arrays at once.
 BLOCK = 6_000_000
+PART = 2_000_000
 SHARD_BYTES = 32_000_000
 FOLDS = 5
 FENCE = 5.0
@@ -101,7 +103,7 @@ def _parts(texts: list[bytes]) -> Iterator[list[int]]:
     """Numbers of the texts that are handled at once."""
     part, size = [], 0
     for i, t in enumerate(texts):
-        if part and size + len(t) > BLOCK:
+        if part and size + len(t) > PART:
             yield part
             part, size = [], 0
         part.append(i)
