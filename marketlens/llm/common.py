@@ -71,7 +71,8 @@ def bounded_sample(df: DataFrame, group: str, rows: int, by: str = "doc_id") ->
     """About ``rows`` rows at most, an equal share for each value of ``group``.
 
     A row is taken by the hash of ``by``, so the sample does not depend on the
-    partitioning; a group smaller than its share is taken whole.
+    partitioning; a group smaller than its share is taken whole. Pass ids without
+    texts and join the sample with the texts: it is small enough to broadcast.
     """
     sizes = df.groupBy(group).agg(F.count("*").alias("_n"))
     groups = sizes.agg(F.count("*")).scalar()

@@ -123,8 +123,9 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     ship_code(docs.sparkSession)
     known = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     known = known.where(~held_out("doc_id") & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    # counting the groups must not read the texts
-    taken = bounded_sample(known, "lang", rows).select("lang", "text").mapInArrow(_bits, "lang string, bits binary").collect()
+    ids = bounded_sample(known.select("doc_id", "lang"), "lang", rows).select("doc_id").distinct()
+    taken = known.join(F.broadcast(ids), "doc_id", "left_semi").select("lang", "text").mapInArrow(
+        _bits, "lang string, bits binary").collect()
     if not taken:
         return None
     taken.sort(key=lambda r: (r.lang, bytes(r.bits)))
