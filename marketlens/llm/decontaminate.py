@@ -1,21 +1,25 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: word-pair seeds, then Smith-Waterman alignment.
 
 Test items are the stated query set; they are taken in blocks of at most about
-``BLOCK_GRAMS`` word n-grams, so what a task holds of them is bounded at any size
+``BLOCK_GRAMS`` word pairs, so what a task holds of them is bounded at any size
 of the benchmark. For a block:
 
-1. the documents that hold each of the block's n-grams are counted over all
-   documents (one row per n-gram and task, then a grouped sum);
-2. an item's seeds are its rarer n-grams among those that occur: the rarer half,
-   ``MIN_SEEDS`` at least.
-   Rarity is within the item, so an item copied into a third of all documents
-   still has seeds;
-3. every document is searched whole for seeds; where a seed occurs, the passage
-   around it, as long as the item and some more, is aligned with the item word by
-   word (Smith-Waterman, linear gaps). The score is the best local alignment over
-   that of the item with itself; ``MIN_SCORE`` or more is a leak.
-
-Texts are never shuffled; the documents are read twice for a block of items.
+1. every document is searched whole for the pairs of neighbouring words of every
+   item, as neighbours or with one other word between them. All pairs are seeds,
+   common or rare: an alignment of half the item's own score or more must hold one.
+   (Without two neighbouring matches, m matches cost m - 1 at least and score m + 1
+   at most; for a score of L, the item's words, L - 1 words or more must match, and
+   all gaps but two or less are then a single inserted word.)
+2. around a seed lies a passage of three to four times the item's words, as far as
+   insertions can move such an alignment. It is left out only if the words that it
+   has in common with the item (``MATCH`` each, ``MISMATCH`` for all between) cannot
+   reach the score;
+3. the passage is aligned with the item word by word (Smith-Waterman, linear gaps).
+   The score is the best local alignment over that of the item with itself;
+   ``MIN_SCORE`` or more is a leak. For ``MIN_SCORE`` (0.5) or more the scores are
+   those of aligning whole documents; under it leaks without a seed are missed.
+
+Texts are never shuffled; the documents are read once for a block of items.
 
 Defined cases: null and empty texts have no leak; an item with fewer than
 ``MIN_WORDS`` words (null included) is too short to tell and never leaks; repeated
@@ -35,69 +39,63 @@ from pyspark.sql import functions as F
 
 from marketlens.llm.common import U64, buffers, mix, ship_code, word_hashes
 
-GRAM = 3
 BLOCK_GRAMS = 200_000
-MIN_SEEDS = 12
 MIN_WORDS = 6
 MIN_SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
-#: Alignments made at once.
-ALIGN_BATCH = 256
+#: Seeds handled at once, and words of the passages laid out at once.
+SEED_BATCH = 200_000
+CELLS = 1 << 19
+#: An item's words as a set of bits: other words can only add passages to align.
+MARK_BITS = 9
 TABLE_BITS = 20
 BLOCK = 2_000_000
 
 
-def gram_keys(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each n-gram of words and the word it begins at; none crosses a text."""
-    n = len(words) - GRAM + 1
+def pair_keys(words: np.ndarray, first: np.ndarray, step: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word with the one ``step`` after it, and the first's place; none crosses a text."""
+    n = len(words) - step
     if n <= 0:
         return np.zeros(0, U64), np.zeros(0, np.int64)
-    h = words[:n].copy()
-    for k in range(1, GRAM):
-        h = mix(h) + words[k:k + n]
     left = np.repeat(first[1:], np.diff(first))[:n] - np.arange(n)
-    at = np.flatnonzero(left >= GRAM)
-    return mix(h)[at], at
+    at = np.flatnonzero(left > step)
+    return mix(mix(words[at]) + words[at + step]), at
 
 
 @dataclass
 class Items:
-    """A block of items: word hashes end to end, and the sorted n-gram table."""
+    """A block of items: word hashes end to end, and the sorted table of their pairs."""
 
     ids: list
     words: np.ndarray
     first: np.ndarray
-    keys: np.ndarray      # distinct n-grams, sorted
-    key_of: np.ndarray    # for each n-gram occurrence, its place in keys
-    item_of: np.ndarray
-    word_of: np.ndarray
+    keys: np.ndarray      # distinct pairs, sorted
+    begin: np.ndarray     # for each of keys, its first occurrence (one entry more)
+    item_of: np.ndarray   # for each occurrence in the order of keys, the item
+    word_of: np.ndarray   # and its place in the item
+    marks: np.ndarray     # for an item a row of MATCH for its words, MISMATCH for others
 
     @staticmethod
     def of(ids: list, texts: list[str | None]) -> Items:
         col = pa.array([t or "" for t in texts], pa.string())
         parts = [word_hashes(d, off) for _, _, d, off in buffers(col, 1 << 40)]
         words, first = (parts[0][0], parts[0][3]) if parts else (np.zeros(0, U64), np.zeros(1, np.int64))
-        grams, at = gram_keys(words, first)
+        pairs, at = pair_keys(words, first)
         item = np.searchsorted(first, at, "right") - 1
-        long = np.diff(first)[item] >= MIN_WORDS if len(item) else np.zeros(0, bool)
-        grams, at, item = grams[long], at[long], item[long]
-        keys, key_of = np.unique(grams, return_inverse=True)
-        return Items(ids, words, first, keys, key_of, item, at - first[item])
-
-    def seeds(self, counts: np.ndarray) -> np.ndarray:
-        """Which n-gram occurrences are seeds, from the documents that hold each n-gram."""
-        seen = counts[self.key_of]
-        held = np.flatnonzero(seen)  # an n-gram that no document holds can be no seed
-        order = held[np.lexsort((self.word_of[held], seen[held], self.item_of[held]))]
-        begin = np.searchsorted(self.item_of[order], np.arange(len(self.ids)))
-        rank = np.full(len(seen), len(seen))
-        rank[order] = np.arange(len(order)) - begin[self.item_of[order]]
-        total = np.bincount(self.item_of[held], minlength=len(self.ids))[self.item_of]
-        return rank < np.maximum((total + 1) // 2, MIN_SEEDS)
+        long = np.diff(first)[item] >= MIN_WORDS
+        order = np.flatnonzero(long)[np.argsort(pairs[long], kind="stable")]
+        keys, begin = np.unique(pairs[order], return_index=True)
+        marks = np.full((len(ids), 1 << MARK_BITS), MISMATCH, np.int8)
+        marks[np.repeat(np.arange(len(ids)), np.diff(first)), marks_of(words)] = MATCH
+        return Items(ids, words, first, keys, np.append(begin, len(order)), item[order], (at - first[item])[order], marks)
+
+
+def marks_of(words: np.ndarray) -> np.ndarray:
+    return (words >> U64(64 - MARK_BITS)).astype(np.intp)
 
 
 class Finder:
-    """Looks n-grams up in a sorted table, behind a bit table."""
+    """Looks word pairs up in a sorted table, behind a bit table."""
 
     def __init__(self, keys: np.ndarray):
         self.keys = keys
@@ -105,7 +103,7 @@ class Finder:
         self.bits[(keys >> U64(64 - TABLE_BITS)).astype(np.int64)] = True
 
     def find(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the known n-grams among ``grams``, and in the table."""
+        """Places of the known pairs among ``grams``, and in the table."""
         maybe = np.flatnonzero(self.bits[(grams >> U64(64 - TABLE_BITS)).astype(np.int64)])
         if not len(maybe):
             return maybe, maybe
@@ -114,115 +112,149 @@ class Finder:
         return maybe[ok], k[ok]
 
 
-def _count(keys: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder, total = Finder(keys), np.zeros(len(keys), np.int64)
-        for batch in batches:
-            for _, _, data, off in buffers(batch.column(0), BLOCK):
-                words, _, _, first = word_hashes(data, off)
-                grams, at = gram_keys(words, first)
-                hit, key = finder.find(grams)
-                doc = np.searchsorted(first, at[hit], "right") - 1
-                total += np.bincount(np.unique(doc * len(keys) + key) % len(keys), minlength=len(keys))
-        held = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], ["gram", "n"])
-    return run
-
-
 def align(items: np.ndarray, passages: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Best local alignment of each row of ``items`` with the same row of ``passages``.
 
     Both are padded with zeros, which match nothing. Returns the scores and the
-    column in which the alignment ends.
+    first column in which such an alignment ends.
     """
     n, width = passages.shape
-    above = np.zeros((n, width + 1), np.int64)
+    above = np.zeros((n, width + 1), np.int32)
     best, end = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    steps = np.arange(width + 1) * -GAP
+    steps = np.arange(width + 1, dtype=np.int32) * -GAP
     for i in range(items.shape[1]):
         word = items[:, i:i + 1]
         same = (passages == word) & (word != 0)
         here = np.zeros_like(above)
-        here[:, 1:] = np.maximum(above[:, :-1] + np.where(same, MATCH, MISMATCH), above[:, 1:] + GAP)
+        here[:, 1:] = np.maximum(above[:, :-1] + np.where(same, np.int32(MATCH), np.int32(MISMATCH)), above[:, 1:] + GAP)
         np.maximum(here, 0, out=here)
         # a gap in the item: the best cell to the left, less its distance
         here = np.maximum.accumulate(here + steps, axis=1) - steps
         top = here.argmax(1)
         value = here[np.arange(n), top]
-        better = value > best
+        better = (value > best) | ((value == best) & (top - 1 < end))
         best, end = np.where(better, value, best), np.where(better, top - 1, end)
         above = here
     return best, end
 
 
-def _padded(rows: list[np.ndarray]) -> np.ndarray:
-    out = np.zeros((len(rows), max(map(len, rows))), U64)
-    for k, r in enumerate(rows):
-        out[k, :len(r)] = r
+def _laid_out(words: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the words [begin, end) in rows of equal width, and which of them are in the span."""
+    at = begin[:, None] + np.arange(int((end - begin).max()))
+    inside = at < end[:, None]
+    return np.minimum(at, len(words) - 1), inside
+
+
+def _reach(words_marks: np.ndarray, begin: np.ndarray, end: np.ndarray, item: np.ndarray, items: Items) -> np.ndarray:
+    """The most that an alignment of each passage [begin, end) with its item can score."""
+    width = int((end - begin).max())
+    kind = np.int16 if MATCH * width < 1 << 15 else np.int64
+    at = begin[:, None] + np.arange(width)
+    own = np.take(words_marks, at, mode="clip")
+    own += (item << MARK_BITS)[:, None]
+    value = np.take(items.marks.ravel(), own)
+    value[at >= end[:, None]] = MISMATCH
+    total = np.zeros((len(begin), width + 1), kind)
+    np.cumsum(value, axis=1, dtype=kind, out=total[:, 1:])
+    return (total - np.minimum.accumulate(total, axis=1)).max(1)
+
+
+def _batches(width: np.ndarray) -> Iterator[np.ndarray]:
+    """Places in the order of width, so many at once that CELLS holds them (or one)."""
+    order = np.argsort(width, kind="stable")
+    k = 0
+    while k < len(order):
+        n = max(1, CELLS // int(width[order[k]]))
+        while n > 1 and int(width[order[min(k + n, len(order)) - 1]]) * n > CELLS:
+            n = (n + 1) // 2
+        yield order[k:k + n]
+        k += n
+
+
+def leaks_of(words: np.ndarray, first: np.ndarray, items: Items, finder: Finder, min_score: float
+             ) -> list[tuple[int, int, float, int, int, int]]:
+    """(text, item, score, first word, end word, seeds) of the leaks in a block of texts."""
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for step in (1, 2):
+        pairs, at = pair_keys(words, first, step)
+        hit, key = finder.find(pairs)
+        found.append((at[hit], key))
+    place, key = (np.concatenate(c) for c in zip(*found))
+    order = np.argsort(place, kind="stable")
+    place, key = place[order], key[order]
+    many = items.begin[key + 1] - items.begin[key]
+    so_far = np.concatenate([[0], np.cumsum(many)])
+    marks = marks_of(words)
+    best: dict[tuple[int, int], tuple] = {}
+    a = 0
+    while a < len(place):
+        b = max(a + 1, int(np.searchsorted(so_far, so_far[a] + SEED_BATCH, "right")) - 1)
+        _leaks_at(place[a:b], key[a:b], words, marks, first, items, min_score, best)
+        a = b
+    out = []
+    for (doc, item), (score, lo, hi) in best.items():
+        a, b = np.searchsorted(place, [lo, hi])
+        seeds = {int(p) for p, k in zip(place[a:b], key[a:b]) if (items.item_of[items.begin[k]:items.begin[k + 1]] == item).any()}
+        out.append((doc, item, score, lo, hi, len(seeds)))
     return out
 
 
-def leaks_of(words: np.ndarray, first: np.ndarray, items: Items, finder: Finder, by_key: tuple[np.ndarray, np.ndarray],
-             min_score: float) -> list[tuple[int, int, float, int, int, int]]:
-    """(text, item, score, first word, end word, seeds) of the leaks in a block of texts."""
-    grams, at = gram_keys(words, first)
-    hit, key = finder.find(grams)
-    if not len(hit):
-        return []
-    begin, occurrence = by_key
-    per = begin[key + 1] - begin[key]
-    occ = occurrence[np.repeat(begin[key] - (np.cumsum(per) - per), per) + np.arange(per.sum())]
-    place = np.repeat(at[hit], per)
+def _leaks_at(place: np.ndarray, key: np.ndarray, words: np.ndarray, marks: np.ndarray, first: np.ndarray, items: Items,
+              min_score: float, best: dict[tuple[int, int], tuple]) -> None:
+    """Puts (score, first word, end word) of the leaks at some seeds into ``best`` by (text, item)."""
+    per = items.begin[key + 1] - items.begin[key]
+    occ = np.repeat(items.begin[key] - (np.cumsum(per) - per), per) + np.arange(per.sum())
+    place = np.repeat(place, per)
     doc = np.searchsorted(first, place, "right") - 1
     item, start = items.item_of[occ], place - items.word_of[occ]
     size = np.diff(items.first)[item]
-    # seeds of the same item whose passages begin close together share one alignment
-    order = np.lexsort((start, item, doc))
-    doc, item, start, size = doc[order], item[order], start[order], size[order]
+    # seeds of an item whose passages begin in the same stretch, as long as the item, share one alignment
+    tile = (start - first[doc]) // size
+    order = np.lexsort((start, tile, item, doc))
+    doc, item, start, size, tile = doc[order], item[order], start[order], size[order], tile[order]
     new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (start[1:] - start[:-1] > size[1:] // 4 + 2)
+    new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (tile[1:] != tile[:-1])
     head = np.flatnonzero(new)
     tail = np.append(head[1:], len(doc)) - 1
-    found: dict[tuple[int, int], tuple] = {}
-    by_size = np.argsort(size[head], kind="stable")
-    for k in range(0, len(head), ALIGN_BATCH):
-        part = by_size[k:k + ALIGN_BATCH]
-        a, b = [], []
-        for c in part:
-            h, t = head[c], tail[c]
-            slack = size[h] // 4 + 2
-            a.append(items.words[items.first[item[h]]:items.first[item[h] + 1]])
-            lo = max(first[doc[h]], start[h] - slack)
-            b.append((lo, words[lo:min(first[doc[h] + 1], start[t] + size[h] + slack)]))
-        left, right = _padded(a), _padded([w for _, w in b])
-        score, end = align(left, right)
-        share = score / (MATCH * np.array([len(v) for v in a]))
-        back = np.array([len(w) for _, w in b])
-        _, rev = align(_padded([v[::-1] for v in a]), _padded([w[::-1] for _, w in b]))
-        for j, c in enumerate(part):
-            if share[j] >= min_score:
-                h = head[c]
-                name = (int(doc[h]), int(item[h]))
-                row = (*name, float(share[j]), int(b[j][0] + back[j] - 1 - rev[j]), int(b[j][0] + end[j] + 1),
-                       int(tail[c] - h + 1))
-                if name not in found or row[2] > found[name][2]:
-                    found[name] = row
-    return list(found.values())
-
-
-def _search(items: Items, seed: np.ndarray, min_score: float):
+    doc, item, size = doc[head], item[head], size[head]
+    begin = np.maximum(first[doc], start[head] - size)
+    end = np.minimum(first[doc + 1], start[tail] + 2 * size)
+    need = min_score * MATCH * size
+    likely = np.zeros(len(head), bool)
+    for part in _batches(end - begin):
+        likely[part] = _reach(marks, begin[part], end[part], item[part], items) >= need[part]
+    doc, item, size, begin, end, need = (v[likely] for v in (doc, item, size, begin, end, need))
+
+    def rows(source, lo, hi, back=False):
+        at, inside = _laid_out(source, lo, hi)
+        if back:
+            at = np.maximum(hi[:, None] - 1 - np.arange(at.shape[1]), 0)
+        return np.where(inside, source[at], U64(0))
+
+    for part in _batches(end - begin):
+        lo, hi, own = begin[part], end[part], items.first[item[part]]
+        score, last = align(rows(items.words, own, own + size[part]), rows(words, lo, hi))
+        good = np.flatnonzero(score >= need[part])
+        if not len(good):
+            continue
+        # back from its end, which no other alignment as good lies before
+        part, lo, own, score, stop = part[good], lo[good], own[good], score[good], lo[good] + last[good] + 1
+        _, back = align(rows(items.words, own, own + size[part], True), rows(words, lo, stop, True))
+        for c, value, w0, w1 in zip(part, score, stop - 1 - back, stop):
+            name, row = (int(doc[c]), int(item[c])), (float(value / (MATCH * size[c])), int(w0), int(w1))
+            if name not in best or (-row[0], row[1]) < (-best[name][0], best[name][1]):
+                best[name] = row
+
+
+def _search(items: Items, min_score: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chosen = np.flatnonzero(seed)
-        chosen = chosen[np.argsort(items.key_of[chosen], kind="stable")]
-        used, place = np.unique(items.key_of[chosen], return_inverse=True)
-        finder = Finder(items.keys[used])
-        by_key = (np.searchsorted(place, np.arange(len(used) + 1)), chosen)
+        finder = Finder(items.keys)
         for batch in batches:
             row, item, score, lo, hi, n = [], [], [], [], [], []
             for a, _, data, off in buffers(batch.column(1), BLOCK):
                 words, starts, ends, first = word_hashes(data, off)
                 chars = None
-                for doc, it, sc, w0, w1, seeds in leaks_of(words, first, items, finder, by_key, min_score):
+                for doc, it, sc, w0, w1, seeds in leaks_of(words, first, items, finder, min_score):
                     if chars is None:
                         chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
                     base = chars[off[doc]]
@@ -243,7 +275,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
           min_score: float = MIN_SCORE, block_grams: int = BLOCK_GRAMS) -> DataFrame:
     """(id, item_id, score, span_start, span_end, seeds): each item's best leak in each document.
 
-    The span is in code points of the text.
+    The span is in code points of the text; seeds are the words of it at which a pair of the item begins.
     """
     spark = docs.sparkSession
     ship_code(spark)
@@ -259,11 +291,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         items = Items.of([i for i, _ in own], [t for _, t in own])
         if not len(items.keys):
             continue
-        counted = plain.select("text").mapInArrow(_count(items.keys), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-        counts = np.zeros(len(items.keys), np.int64)
-        for r in counted.collect():
-            counts[r.gram] = r.n
-        part = plain.mapInArrow(_search(items, items.seeds(counts), min_score),
+        part = plain.mapInArrow(_search(items, min_score),
                                 f"id {kind}, item_id long, score double, span_start long, span_end long, seeds int")
         out = part if out is None else out.unionByName(part)
     if out is None:

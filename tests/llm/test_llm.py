@@ -546,6 +546,33 @@ def test_leak_in_every_document_is_found(spark):
     assert decontaminate.leak_digest(d, bench).count() == 40
 
 
+def test_edited_copies_beside_whole_copies_are_found(spark):
+    """Scores are those of aligning whole texts, however common the item's words and pairs are."""
+    rng = random.Random(18)
+    items = [syllables(rng, rng.randint(15, 30)) for _ in range(8)]
+    edits = [lambda w: w, lambda w: [x if k % 5 != 2 else "other" for k, x in enumerate(w)],
+             lambda w: [x if k % 4 != 1 else "other" for k, x in enumerate(w)],
+             lambda w: [x if k % 3 != 2 else "other" for k, x in enumerate(w)],
+             lambda w: [x for v in w for x in (v, "other")],
+             lambda w: [x for k, x in enumerate(w) if k % 5 != 2]]
+    texts, want = [], set()
+    for i, item in enumerate(items):
+        for k, e in enumerate([edits[0]] * 3 + edits):
+            want.add((len(texts), i))
+            texts.append(" ".join([syllables(rng, 20), *e(item.split()), syllables(rng, 20)]))
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = decontaminate.leak_digest(docs_frame(spark, texts), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want
+    number = {}
+    for r in got:
+        a, b = (np.array([[number.setdefault(x, len(number) + 1) for x in t.split()]], np.uint64)
+                for t in (items[r.item_id], texts[r.doc_id]))
+        span = texts[r.doc_id][r.span_start:r.span_end].split()
+        c = np.array([[number[x] for x in span]], np.uint64)
+        full = decontaminate.align(a, b)[0][0]
+        assert r.score == full / (decontaminate.MATCH * a.size) and decontaminate.align(a, c)[0][0] == full
+
+
 # -- 10 languages -----------------------------------------------------------------------------------
 
 def test_language_held_out(spark, awkward, empty):
