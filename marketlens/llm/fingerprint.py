@@ -6,11 +6,14 @@ all windows of all texts). Where a feature has the lowest rank, leftmost first,
 at least ``POPULAR`` of the sliding spans of ``SPAN`` windows that hold it, it is
 selected. Selected features, each once, go in order into a chain of Bloom filters
 of ``BITS`` bits, ``PER_FILTER`` features to a filter, ``HASHES`` bits for each.
-Texts below ``SHORT`` code points use all their small windows instead.
+Texts below ``SHORT`` code points, which have few windows to choose from, also have
+a second chain with all their windows of ``SMALL_WINDOW`` bytes.
 
-Two fingerprints are compared filter by filter: the common bits, less those that
-chance gives, over the most that could be common. The likeness is the mean over
-the shorter chain's filters of the best match in the other chain.
+Two fingerprints are compared by the chains of small windows if both have one, else
+by those of selected windows, which every text has: always features of one kind.
+They are compared filter by filter: the common bits, less those that chance gives,
+over the most that could be common. The likeness is the mean over the shorter
+chain's filters of the best match in the other chain.
 
 ``chain`` compares every document with its own edited text and with the next
 document. It sorts the (compressed) texts by id once, as range partitions; a task reads its
@@ -18,8 +21,9 @@ rows in order with one row of look-ahead, and the rows at the partition ends mee
 in a second small step (one head and one tail text for each partition).
 
 Defined cases: null text is empty; an empty text has no filter; two texts without
-a filter are alike (1), one without and one with are not (0); a text shorter than
-``SMALL_WINDOW`` is one feature; rows with equal ids follow each other in an order of their texts; a single
+a filter are alike (1), one without and one with are not (0); a text shorter than a
+window is one feature of that kind (so a text below ``WINDOW`` bytes has nothing in
+common with one of ``SHORT`` code points or more); rows with equal ids follow each other in an order of their texts; a single
 row is its own next document; an empty table gives no rows; extra columns are
 ignored; a null id sorts after all others.
 """
@@ -46,10 +50,12 @@ BITS = 2048
 HASHES = 5
 PER_FILTER = 128
 BINS = 1024
-#: Texts of fewer code points have too few windows to choose from: all their
-#: windows of SMALL_WINDOW bytes are features.
+#: Texts of fewer code points have few windows to choose from: all their
+#: windows of SMALL_WINDOW bytes are features too.
 SHORT = 384
 SMALL_WINDOW = 8
+#: First byte of a filter: which features are in it.
+SELECTED, SMALL = 0, 1
 BLOCK = 2_000_000
 
 # count * log2(count) of a class in a window, scaled to fill 16 bits
@@ -118,37 +124,40 @@ def selected(data: np.ndarray, offsets: np.ndarray, rank: np.ndarray) -> np.ndar
 
 
 def digests(texts: list[bytes], rank: np.ndarray) -> list[np.ndarray]:
-    """Filters (rows of BITS / 8 bytes) of each text."""
+    """Filters (rows of their kind and BITS / 8 bytes) of each text."""
     data = np.frombuffer(b"".join(texts), np.uint8)
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
     sums = prefix_sums(data)
     start = selected(data, offsets, rank)
     lead = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
     short = np.diff(lead[offsets]) < SHORT
-    start = start[~short[np.searchsorted(offsets, start, "right") - 1]] if len(start) else start
-    # short texts: all their small windows, or the text itself
     size = np.diff(offsets)
+    tiny = offsets[:-1][(size > 0) & (size < WINDOW)]
+    start = np.concatenate([start, tiny])
+    owner = np.searchsorted(offsets, start, "right") - 1
+    # short texts: all their small windows, or the text itself
     per = np.where(short & (size > 0), np.maximum(size - SMALL_WINDOW + 1, 1), 0)
     small = np.repeat(offsets[:-1] - (np.cumsum(per) - per), per) + np.arange(per.sum())
     begin = np.concatenate([start, small])
-    end = np.concatenate([start + WINDOW, np.minimum(small + SMALL_WINDOW, np.repeat(offsets[1:], per))])
-    order = np.argsort(begin, kind="stable")
-    begin, end = begin[order], end[order]
-    feature = span_hashes(sums, begin, end)
-    owner = np.searchsorted(offsets, begin, "right") - 1
-    # each feature of a text once, where it is first
-    _, once = np.unique(mix(owner.astype(U64) + U64(1)) ^ feature, return_index=True)
+    end = np.concatenate([np.minimum(start + WINDOW, offsets[owner + 1]), np.minimum(small + SMALL_WINDOW, np.repeat(offsets[1:], per))])
+    chain_of = np.concatenate([2 * owner + SELECTED, 2 * np.repeat(np.arange(len(texts)), per) + SMALL])
+    order = np.lexsort((begin, chain_of))
+    chain_of = chain_of[order]
+    feature = span_hashes(sums, begin[order], end[order])
+    # each feature of a chain once, where it is first
+    _, once = np.unique(mix(chain_of.astype(U64) + U64(1)) ^ feature, return_index=True)
     once.sort()
-    feature, owner = feature[once], owner[once]
-    first = np.searchsorted(owner, np.arange(len(texts) + 1))
-    place = np.arange(len(owner)) - first[owner]
-    chain = -(-np.diff(first) // PER_FILTER)
-    row = (np.cumsum(chain) - chain)[owner] + place // PER_FILTER
-    bits = np.zeros((int(chain.sum()), BITS), np.uint8)
+    feature, chain_of = feature[once], chain_of[once]
+    first = np.searchsorted(chain_of, np.arange(2 * len(texts) + 1))
+    place = np.arange(len(chain_of)) - first[chain_of]
+    filters = -(-np.diff(first) // PER_FILTER)
+    row = (np.cumsum(filters) - filters)[chain_of] + place // PER_FILTER
+    bits = np.zeros((int(filters.sum()), BITS), np.uint8)
     for k in range(HASHES):
         bits[row, ((feature >> U64(11 * k)) & U64(BITS - 1)).astype(np.int64)] = 1
-    packed = np.packbits(bits, axis=1)
-    at = np.concatenate([[0], np.cumsum(chain)])
+    kind = np.repeat(np.arange(2 * len(texts)) & 1, filters).astype(np.uint8)
+    packed = np.concatenate([kind[:, None], np.packbits(bits, axis=1)], axis=1)
+    at = np.concatenate([[0], np.cumsum(filters)])[::2]
     return [packed[at[i]:at[i + 1]] for i in range(len(texts))]
 
 
@@ -157,13 +166,15 @@ def written(filters: np.ndarray) -> str:
 
 
 def read(text: str) -> np.ndarray:
-    return np.frombuffer(base64.b64decode(text), np.uint8).reshape(-1, BITS // 8)
+    return np.frombuffer(base64.b64decode(text), np.uint8).reshape(-1, 1 + BITS // 8)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """0 to 1; long chains are compared in blocks."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
+    kind = min(a[:, 0].max(), b[:, 0].max())
+    a, b = a[a[:, 0] == kind, 1:], b[b[:, 0] == kind, 1:]
     if len(a) > len(b):
         a, b = b, a
     total = 0.0

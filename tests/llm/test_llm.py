@@ -289,6 +289,26 @@ def test_selection_matches_slow_version():
     assert fingerprint.selected(data, off, rank).tolist() == want
 
 
+def test_likeness_on_both_sides_of_the_short_border():
+    rng = random.Random(19)
+    texts = [syllables(rng, 900) for _ in range(30)]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    rank = fingerprint.rarity(fingerprint.histogram(data, np.array([0, len(data)])))
+    short = fingerprint.SHORT
+
+    def alike(a, b):
+        return fingerprint.likeness(*fingerprint.digests([a.encode(), b.encode()], rank))
+
+    for i, t in enumerate(texts):
+        other = texts[i - 1]
+        whole, cut = t[:short + 6], t[:100] + t[110:short + 6]
+        assert len(cut) < short <= len(whole)
+        assert alike(whole, cut) > 0.5 > alike(whole, other[:short - 4])
+        assert alike(t[:short + 200], t[:short - 92] + other[:76]) > 0.3
+        assert alike(t, t[1000:1000 + short - 1]) > 0.5
+        assert alike(cut, cut) == alike(whole, whole) == 1
+
+
 def test_fingerprint_awkward(awkward, empty):
     assert fingerprint.fingerprint_digest(awkward).count() == 14
     assert fingerprint.fingerprint_digest(empty).count() == 0
