@@ -21,8 +21,12 @@ of the benchmark. For a block:
 
 Texts are never shuffled; the documents are read once for a block of items.
 
-Defined cases: null and empty texts have no leak; an item with fewer than
-``MIN_WORDS`` words (null included) is too short to tell and never leaks; repeated
+Words are lower-cased runs of letters and digits; in scripts that are written without
+blanks (``UNSPACED``) each code point is a word.
+
+Defined cases: null and empty texts have no leak; an item without a word never leaks;
+one with fewer than ``MIN_WORDS`` words leaks where it stands whole, word for word
+(score 1); an item without an id is reported under that null id; repeated
 items are reported under each of their ids, repeated documents in each of their
 rows; an empty table on either side gives no rows; extra columns are ignored.
 """
@@ -37,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import U64, buffers, mix, ship_code, word_hashes
+from marketlens.llm.common import LOWER, U64, WORD_BYTES, buffers, mix, prefix_sums, runs, ship_code, span_hashes
 
 BLOCK_GRAMS = 200_000
 MIN_WORDS = 6
@@ -50,6 +54,44 @@ CELLS = 1 << 19
 MARK_BITS = 9
 TABLE_BITS = 20
 BLOCK = 2_000_000
+#: Code points of scripts without blanks between words: Thai, Lao, Tibetan, Burmese,
+#: Khmer, and those of Chinese and Japanese.
+UNSPACED = np.array([(0x0E00, 0x1000), (0x1000, 0x10A0), (0x1780, 0x1800), (0x3005, 0x3008), (0x3040, 0x3100),
+                     (0x31F0, 0x3200), (0x3400, 0x4DC0), (0x4E00, 0xA000), (0xF900, 0xFB00), (0xFF66, 0xFFA0),
+                     (0x20000, 0x40000)])
+
+
+def text_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of a block: hashes, starts, ends and first word of each text."""
+    low = LOWER[data]
+    starts, ends = runs(WORD_BYTES[low], offsets)
+    lead = np.flatnonzero(data >= 0xE0)
+    if len(lead):
+        size = np.where(data[lead] >= 0xF0, 4, 3)
+        point = (data[lead] & np.where(size == 4, 7, 15)).astype(np.int64)
+        for k in range(1, 4):
+            more = data[np.minimum(lead + k, len(data) - 1)] & 63
+            point = np.where(k < size, point << 6 | more, point)
+        side = np.searchsorted(UNSPACED.ravel(), point, "right")
+        one = side % 2 == 1
+        cuts = np.concatenate([lead[one], (lead + size)[one]])
+        starts, ends = (np.unique(np.concatenate([old, new])) for old, new in (
+            (starts, cuts[np.isin(cuts, ends, invert=True)]), (ends, cuts[np.isin(cuts, starts, invert=True)])))
+    hashes = span_hashes(prefix_sums(low), starts, ends) if len(starts) else np.zeros(0, U64)
+    return hashes, starts, ends, np.searchsorted(starts, offsets)
+
+
+def run_keys(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each run of n words and its place; none crosses a text."""
+    many = len(words) - n + 1
+    if many <= 0:
+        return np.zeros(0, U64), np.zeros(0, np.int64)
+    h = words[:many].copy()
+    for k in range(1, n):
+        h = mix(h) + words[k:k + many]
+    left = np.repeat(first[1:], np.diff(first))[:many] - np.arange(many)
+    at = np.flatnonzero(left >= n)
+    return mix(h)[at], at
 
 
 def pair_keys(words: np.ndarray, first: np.ndarray, step: int = 1) -> tuple[np.ndarray, np.ndarray]:
@@ -74,11 +116,12 @@ class Items:
     item_of: np.ndarray   # for each occurrence in the order of keys, the item
     word_of: np.ndarray   # and its place in the item
     marks: np.ndarray     # for an item a row of MATCH for its words, MISMATCH for others
+    short: list[tuple[int, np.ndarray, list[np.ndarray]]]  # for items of n words under MIN_WORDS: n, keys, items of each
 
     @staticmethod
     def of(ids: list, texts: list[str | None]) -> Items:
         col = pa.array([t or "" for t in texts], pa.string())
-        parts = [word_hashes(d, off) for _, _, d, off in buffers(col, 1 << 40)]
+        parts = [text_words(d, off) for _, _, d, off in buffers(col, 1 << 40)]
         words, first = (parts[0][0], parts[0][3]) if parts else (np.zeros(0, U64), np.zeros(1, np.int64))
         pairs, at = pair_keys(words, first)
         item = np.searchsorted(first, at, "right") - 1
@@ -87,7 +130,15 @@ class Items:
         keys, begin = np.unique(pairs[order], return_index=True)
         marks = np.full((len(ids), 1 << MARK_BITS), MISMATCH, np.int8)
         marks[np.repeat(np.arange(len(ids)), np.diff(first)), marks_of(words)] = MATCH
-        return Items(ids, words, first, keys, np.append(begin, len(order)), item[order], (at - first[item])[order], marks)
+        short = []
+        for n in range(1, MIN_WORDS):
+            own = np.flatnonzero(np.diff(first) == n)
+            if len(own):
+                whole, where = run_keys(words, first, n)
+                whole = whole[np.searchsorted(where, first[own])]
+                found = np.unique(whole)
+                short.append((n, found, [own[whole == k] for k in found]))
+        return Items(ids, words, first, keys, np.append(begin, len(order)), item[order], (at - first[item])[order], marks, short)
 
 
 def marks_of(words: np.ndarray) -> np.ndarray:
@@ -199,6 +250,20 @@ def leaks_of(words: np.ndarray, first: np.ndarray, items: Items, finder: Finder,
     return out
 
 
+def short_leaks_of(words: np.ndarray, first: np.ndarray, items: Items, finders: list[Finder]
+                   ) -> list[tuple[int, int, float, int, int, int]]:
+    """Like ``leaks_of`` for the items of fewer than MIN_WORDS words, each where it first stands whole."""
+    out = []
+    for (n, _, owners), finder in zip(items.short, finders):
+        pairs, at = run_keys(words, first, n)
+        hit, key = finder.find(pairs)
+        doc = np.searchsorted(first, at[hit], "right") - 1
+        _, once = np.unique(doc * len(owners) + key, return_index=True)
+        out += [(int(doc[i]), int(item), 1.0, int(at[hit[i]]), int(at[hit[i]]) + n, n - 1)
+                for i in once.tolist() for item in owners[key[i]]]
+    return out
+
+
 def _leaks_at(place: np.ndarray, key: np.ndarray, words: np.ndarray, marks: np.ndarray, first: np.ndarray, items: Items,
               min_score: float, best: dict[tuple[int, int], tuple]) -> None:
     """Puts (score, first word, end word) of the leaks at some seeds into ``best`` by (text, item)."""
@@ -248,13 +313,14 @@ def _leaks_at(place: np.ndarray, key: np.ndarray, words: np.ndarray, marks: np.n
 
 def _search(items: Items, min_score: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = Finder(items.keys)
+        finder, whole = Finder(items.keys), [Finder(keys) for _, keys, _ in items.short]
         for batch in batches:
             row, item, score, lo, hi, n = [], [], [], [], [], []
             for a, _, data, off in buffers(batch.column(1), BLOCK):
-                words, starts, ends, first = word_hashes(data, off)
+                words, starts, ends, first = text_words(data, off)
                 chars = None
-                for doc, it, sc, w0, w1, seeds in leaks_of(words, first, items, finder, min_score):
+                rows = leaks_of(words, first, items, finder, min_score) if len(items.keys) else []
+                for doc, it, sc, w0, w1, seeds in rows + short_leaks_of(words, first, items, whole):
                     if chars is None:
                         chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
                     base = chars[off[doc]]
@@ -286,10 +352,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     blocks = max(1, -(-chars // (block_grams * 3)))  # a word and its blank are three bytes at least, mostly
     out = None
     for b in range(blocks):
-        own = sorted((r.item_id, r.text) for r in tests.where(
-            F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).collect() if r.item_id is not None)
+        own = sorted(((r.item_id, r.text) for r in tests.where(
+            F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
         items = Items.of([i for i, _ in own], [t for _, t in own])
-        if not len(items.keys):
+        if not len(items.keys) and not items.short:
             continue
         part = plain.mapInArrow(_search(items, min_score),
                                 f"id {kind}, item_id long, score double, span_start long, span_end long, seeds int")

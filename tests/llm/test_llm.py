@@ -593,6 +593,22 @@ def test_edited_copies_beside_whole_copies_are_found(spark):
         assert r.score == full / (decontaminate.MATCH * a.size) and decontaminate.align(a, c)[0][0] == full
 
 
+def test_leaks_of_unspaced_scripts_short_items_and_null_ids(spark):
+    rng = random.Random(20)
+    items = [(1, "東京は日本の首都であり世界最大の都市の一つです"), (2, "two words"), (3, "Word"), (None, syllables(rng, 20)),
+             (4, "ภาษาไทยไม่มีช่องว่างระหว่างคำ"), (5, "東京"), (6, "..."), (7, "two words")]
+    texts = ["昔々" + items[0][1] + "と言う", "only Two,  WORDS here", "two other words", "x " + items[3][1] + " y",
+             "ก" + items[4][1], "東西京都", "a b" + "日" * 9, "word東京x"]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.leak_digest(docs_frame(spark, texts), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(0, 1), (0, 5), (1, 2), (1, 7), (3, None), (4, 4), (7, 5), (7, 3)}
+    assert len(got) == 8 and all(r.score == 1 for r in got)
+    span = {(r.doc_id, r.item_id): texts[r.doc_id][r.span_start:r.span_end] for r in got}
+    assert span[0, 1] == items[0][1] and span[1, 2] == "Two,  WORDS" and span[7, 5] == "東京" and span[4, 4] == items[4][1]
+    only = decontaminate.leak_digest(docs_frame(spark, texts), bench.where("item_id = 2")).collect()
+    assert [(r.doc_id, r.item_id) for r in only] == [(1, 2)]
+
+
 # -- 10 languages -----------------------------------------------------------------------------------
 
 def test_language_held_out(spark, awkward, empty):
