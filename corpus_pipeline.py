@@ -4,8 +4,9 @@
 returns a DataFrame that is written as Parquet and read again as the next
 stage's documents. All stages but the last return the columns of ``documents``.
 
-A row without an id passes the filters it cannot be matched in: it is judged by
-quality like any other, keeps its lines, is never a near copy and never a leak.
+Quality judges row by row, by id, language and text. A row without an id passes the
+filters it cannot be matched in: it is judged by quality like any other, keeps its
+lines, is never a near copy and never a leak.
 """
 
 from __future__ import annotations
@@ -19,9 +20,10 @@ from marketlens.llm.common import keep, table
 
 def keep_good_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity is above their language's threshold go."""
-    judged = quality.judge(docs, table(spark, sf_dir, "labels"))
-    gone = judged.where("NOT keep").select(F.col("id").alias("_gone")).distinct()
-    return docs.join(gone, docs.doc_id == F.col("_gone"), "left_anti")
+    judged = quality.judge(docs, table(spark, sf_dir, "labels"), with_digest=True)
+    gone = judged.where("NOT keep").select("id", F.col("lang").alias("_lang"), F.col("text_sha256").alias("_sha")).distinct()
+    same = docs.doc_id.eqNullSafe(F.col("id")) & docs.lang.eqNullSafe(F.col("_lang")) & (quality.text_digest() == F.col("_sha"))
+    return docs.join(gone, same, "left_anti")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -243,10 +243,26 @@ def perplexities(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         _total(shards), f"id {kind}, lang string, nll double, n long")
 
 
+def text_digest(text_col: str = "text"):
+    return F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
+
+
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          fence: float = FENCE) -> DataFrame:
-    """(id, lang, perplexity, threshold, keep) for each row; the threshold is a perplexity too."""
-    scored = keep(perplexities(docs, labels, id_col, text_col, lang_col), "perplexity")
+          fence: float = FENCE, with_digest: bool = False) -> DataFrame:
+    """(id, lang, perplexity, threshold, keep) for each row; the threshold is a perplexity too.
+
+    Rows of one id, language and text (null is empty) have one verdict;
+    ``with_digest`` adds text_sha256, which tells them from others.
+    """
+    if with_digest:  # it travels with the language
+        marked = docs.withColumn("_lang", F.concat(text_digest(text_col), F.coalesce(
+            F.concat(F.lit("="), F.col(lang_col).cast("string")), F.lit(""))))
+        scored = perplexities(marked, labels, id_col, text_col, "_lang").select(
+            "id", F.when(F.length("lang") > 64, F.expr("substring(lang, 66)")).alias("lang"), "nll", "n",
+            F.substring("lang", 1, 64).alias("text_sha256"))
+    else:
+        scored = perplexities(docs, labels, id_col, text_col, lang_col)
+    scored, digest = keep(scored, "perplexity"), ["text_sha256"] if with_digest else []
     # calibration documents are trusted and were not trained on
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == 0
     calm = labels.where(F.col("quality") == 1).where(fold).select(F.col("doc_id").alias("label_id")).distinct()
@@ -256,7 +272,7 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     middle = basis.agg(F.percentile_approx("rate", 0.5, 10_000)).first()[0]
     if middle is None:
         return scored.select("id", "lang", F.exp(rate).alias("perplexity"), F.lit(None).cast("double").alias("threshold"),
-                             F.lit(True).alias("keep"))
+                             F.lit(True).alias("keep"), *digest)
     steady = lambda mid: (F.col("rate") * F.col("n") + mid * PRIOR_BYTES) / (F.col("n") + PRIOR_BYTES)
     limit = lambda q: F.col(q)[2] + fence * (F.col(q)[2] - F.col(q)[0])
     all_limit = basis.agg(quarter(steady(F.lit(middle))).alias("q")).select(limit("q")).first()[0]
@@ -267,7 +283,7 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     out = scored.withColumn("rate", rate).join(own, F.col("lang").eqNullSafe(F.col("own")), "left")
     mid, cut = F.coalesce("mid", F.lit(middle)), F.coalesce("cut", F.lit(all_limit))
     return out.select("id", "lang", F.exp("rate").alias("perplexity"), F.exp(cut).alias("threshold"),
-                      (steady(mid) <= cut).alias("keep"))
+                      (steady(mid) <= cut).alias("keep"), *digest)
 
 
 def quality_digest(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -653,3 +653,16 @@ def test_pipeline(spark, tmp_path):
     docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, str(tmp_path)).dtypes == docs.dtypes, name
+
+
+def test_pipeline_quality_judges_row_by_row(spark, tmp_path):
+    rng = random.Random(21)
+    good = [(i, syllables(rng, 80), "en") for i in range(120)]
+    junk = ["".join(rng.choices("#%@!{}[]<>0123456789", k=600)) for _ in range(3)]
+    rows = good + [(None, junk[0], "en"), (7, junk[1], "en"), (8, junk[2], None), (None, syllables(rng, 80), None), (9, None, None)]
+    docs = spark.createDataFrame([(i, t, la, "s", len(t or "")) for i, t, la in rows], DOCS)
+    spark.createDataFrame([(i, 1, 0) for i in range(120)], LABELS).write.parquet(str(tmp_path / "labels.parquet"))
+    got = corpus_pipeline.keep_good_text(spark, docs, str(tmp_path)).collect()
+    texts = {r.text for r in got}
+    assert not texts & set(junk) and {t for _, t, _ in good} <= texts and rows[-2][1] in texts and None in texts
+    assert len(got) == len(rows) - 3
