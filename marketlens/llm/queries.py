@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import decontaminate, fingerprint, langid, line_dedup, packing, quality, repeats, simhash, toxicity, urlfilter
+from marketlens.llm import (
+    decontaminate, fingerprint, langid, line_dedup, packing, prefixtrie, quality, repeats, rules, simhash, toxicity, urlfilter,
+    whitening)
 from marketlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +64,21 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.langid_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened values of every embedding on the 32 leading components."""
+    return whitening.whitening_digest(table(spark, sf_dir, "embeddings"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    return rules.rules_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of rebuilt conversations, with subtree figures."""
+    return prefixtrie.trie_digest(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -73,9 +90,13 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_language_id": op10_language_id,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_conversation_prefix_trie": op13_conversation_prefix_trie,
 }
 
 ORACLE: dict[str, str] = {
     "op6_line_dedup": line_dedup.ORACLE_SQL,
     "op8_suffix_array_dedup": repeats.ORACLE_SQL,
+    "op13_conversation_prefix_trie": prefixtrie.ORACLE_SQL,
 }
