@@ -7,9 +7,13 @@
                              the repair a partitioned table reads 0 rows).
 * ``save_managed``         — managed table load: overwrite, partitioned,
                              partition columns last.
+* ``save_bucketed``        — managed table bucketed and sorted by join keys.
 * ``insert_idempotent``    — insert into an existing partitioned table with
                              dynamic partition overwrite: running the same
-                             load twice leaves one copy of each row.
+                             load twice leaves one copy of each row; the load
+                             must hold whole partitions.
+* ``merge_by_key``         — upsert: the rows of the load replace all rows of
+                             their keys; other rows of the partitions stay.
 * ``list_tables`` / ``schema_catalogue`` — what exists, and its columns.
 """
 
@@ -81,6 +85,21 @@ def save_managed(df: DataFrame, fq_table: str, partition_by: list[str] | tuple =
     return fq_table
 
 
+def save_bucketed(df: DataFrame, fq_table: str, keys: list[str], buckets: int,
+                  codec: str = "snappy") -> str:
+    """Managed table dealt into ``buckets`` by the hash of ``keys`` and sorted by them.
+
+    Tables with the same keys and bucket count join on these keys without moving rows:
+    bucket i of one meets bucket i of the other. The rows are dealt by the same hash
+    before the write, so there is one file a bucket. A bucket is a task of the join: size
+    ``buckets`` for the table (256 MB each, say), and prefer a plain table for keys of which
+    one holds a great share of all rows, because a bucket is never split.
+    """
+    (nan_free(df).repartition(buckets, *keys).write.mode("overwrite").option("compression", codec)
+     .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(fq_table))
+    return fq_table
+
+
 def insert_idempotent(spark: SparkSession, df: DataFrame, fq_table: str) -> None:
     """Insert with dynamic partition overwrite: re-running replaces, never doubles.
 
@@ -98,6 +117,47 @@ def insert_idempotent(spark: SparkSession, df: DataFrame, fq_table: str) -> None
     _shaped(staged, fq_table).write.insertInto(fq_table, overwrite=True)
 
 
+def merge_by_key(spark: SparkSession, df: DataFrame, fq_table: str, keys: list[str]) -> None:
+    """Upsert ``df`` into a partitioned table: all rows whose key is in ``df`` are replaced.
+
+    Only touched partitions are rewritten: those that ``df`` has rows for, and those
+    that hold a row with one of its keys (a row may move to another partition). Their new
+    content is (old rows without these keys) and the rows of ``df``, staged in the shared
+    folder first. Running the same load again changes nothing.
+
+    Null keys are a key like others; columns of ``df`` beyond the table's are ignored; an
+    empty load changes nothing; a partition that loses its last row is dropped. The keys are
+    looked up with the key and partition columns only. Two merges into one table must not
+    run at once; readers may see some partitions new and others old.
+    """
+    target = spark.table(fq_table)
+    parts = [c.name for c in spark.catalog.listColumns(fq_table) if c.isPartition]
+    if not parts:
+        raise ValueError(f"{fq_table} has no partitions")
+    same = lambda a, b, cols: reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[c]) for c in cols])
+    new = materialize(df.select(*target.columns), "merge_load")
+    new_keys = materialize(new.select(*keys).distinct(), "merge_keys")
+    held = target.select(*dict.fromkeys([*keys, *parts]))
+    touched = materialize(held.join(new_keys, same(held, new_keys, keys), "left_semi").select(*parts)
+                          .union(new.select(*parts)).distinct(), "merge_partitions")
+    # the partitions are joined by plain equality, which lets Spark prune them; null ones by a filter
+    old = target.join(touched, parts, "left_semi").select(*target.columns)
+    without_value = reduce(lambda x, y: x | y, [F.col(c).isNull() for c in parts])
+    if touched.where(without_value).limit(1).count():
+        hidden = target.where(without_value)
+        old = old.unionByName(hidden.join(touched, same(hidden, touched, parts), "left_semi"))
+    staged = materialize(old.join(new_keys, same(old, new_keys, keys), "left_anti").unionByName(new), "merge_rows")
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    rows = own.createDataFrame([], staged.schema).unionByName(_in_session(own, staged))
+    _shaped(rows, fq_table).write.insertInto(fq_table, overwrite=True)
+    emptied = touched.join(staged.select(*parts).distinct(), parts, "left_anti").where(~without_value).collect()
+    for row in emptied:  # partitions that lost their last row
+        spec = ", ".join(f"{c} = '{row[c]}'" for c in parts)
+        spark.sql(f"ALTER TABLE {fq_table} DROP IF EXISTS PARTITION ({spec})")
+    spark.catalog.refreshTable(fq_table)
+
+
 def _shaped(df: DataFrame, fq_table: str) -> DataFrame:
     """Columns of the target, rebalanced by its partitions (few files each)."""
     columns = df.sparkSession.catalog.listColumns(fq_table)
