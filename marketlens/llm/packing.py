@@ -9,13 +9,14 @@ that gap) squared smallest.
 
 Scale: the texts are tokenised where they are read; only (piece, length) rows go
 on. Each group of about ``GROUP_ITEMS`` pieces is packed by itself, longest pieces
-first. The sequences with room left are then the items of the next round, in
-fewer groups, until one group holds them all. No task gets more than a group and
-nothing is collected.
+first. The sequences with room left are then the items of the next round, in groups
+of the same size, as long as a round saves sequences; those at most half full are
+packed until one is left. No task gets more than a group and nothing is collected.
 
 Tokenising: a block's text is cut into the vocabulary's pre-tokens with array
 operations over code-point classes; each distinct pre-token is encoded once for a
-block. ``tests/llm`` compares the ids with the ``tokenizers`` library.
+block. Added tokens of the vocabulary that stand in a text are one id each, as the
+library has it. ``tests/llm`` compares the ids with the ``tokenizers`` library.
 
 Defined cases: null or empty text is the end id alone; repeated rows are packed
 as often as they occur; an empty table gives no rows; extra columns are ignored.
@@ -23,7 +24,8 @@ as often as they occur; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
-import base64
+import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -40,6 +42,8 @@ from marketlens.llm.common import U64, buffers, keep, mix, powers, ship_code
 END_ID = 0
 LENGTH = 2048
 GROUP_ITEMS = 50_000
+#: A round of merging that saves fewer than one open sequence in this many is the last one.
+GAIN = 200
 BLOCK = 2_000_000
 #: Distinct pre-tokens whose ids a worker remembers.
 CACHE_WORDS = 300_000
@@ -61,11 +65,31 @@ def classes() -> np.ndarray:
     return out
 
 
+@lru_cache(maxsize=1)
+def byte_marks() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: bytes with a printed form
+    of their own stand for themselves, the others for the code points from 256 on."""
+    shown = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
+
+
+@lru_cache(maxsize=1)
+def vocabulary_of(path: str) -> tuple[dict[bytes, int], dict[bytes, int]]:
+    """(ranks, added tokens) of the tokenizer file at ``path``: bytes -> id. In this vocabulary
+    the ids are also the order of the merges."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    added = {t["content"].encode(): t["id"] for t in spec["added_tokens"]}
+    marks = byte_marks()
+    ranks = {bytes(marks[c] for c in token): i for token, i in spec["model"]["vocab"].items() if i not in added.values()}
+    return ranks, added
+
+
 @lru_cache(maxsize=1)
 def encoder(path: str) -> tiktoken.Encoding:
-    """The vocabulary at ``path`` (ranks); the pattern is a fixed value of the vocabulary."""
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    """The vocabulary at ``path``; the pattern is a fixed value of the vocabulary."""
+    ranks, _ = vocabulary_of(path)
     pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
     return tiktoken.Encoding("bytes", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
@@ -112,27 +136,45 @@ class Tokens:
 
     def __init__(self, path: str):
         self.encode = encoder(path)._core_bpe.encode_single_piece
-        self.known: dict[bytes, np.ndarray] = {}
+        # no pre-token equals an added token: those mix letters and other signs
+        self.added = {t: np.array([i], np.uint32) for t, i in vocabulary_of(path)[1].items()}
+        self.known: dict[bytes, np.ndarray] = dict(self.added)
 
     def ids(self, piece: bytes) -> np.ndarray:
         got = self.known.get(piece)
         if got is None:
             got = np.array(self.encode(piece), np.uint32)
             if len(self.known) >= CACHE_WORDS:
-                self.known.clear()
+                self.known = dict(self.added)
             self.known[piece] = got
         return got
 
+    def added_spans(self, text: bytes, offsets: np.ndarray) -> list[tuple[int, int]]:
+        """Where added tokens stand in the texts of a block, from left to right."""
+        if not any(t in text for t in self.added):
+            return []
+        one_of = re.compile(b"|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)))
+        cuts = offsets.tolist()
+        return [m.span() for a, b in zip(cuts, cuts[1:]) for m in one_of.finditer(text, a, b)]
+
     def block(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a block, end to end, and where each text's begin."""
         n = len(offsets) - 1
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(n + 1, np.int64)
         lead = (data & 0xC0) != 0x80  # first byte of a code point
-        points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+        text = data.tobytes()
+        points = np.frombuffer(text.decode().encode("utf-32-le"), np.uint32)
         place = np.append(np.flatnonzero(lead), len(data))
-        starts = pre_tokens(points, np.searchsorted(place, offsets))
+        # added tokens are cut out first; what stands between them is pre-tokenised like texts of its own
+        spans = self.added_spans(text, offsets)
+        cuts = np.unique(np.append(offsets, np.array(spans, np.int64).ravel())) if spans else offsets
+        starts = pre_tokens(points, np.searchsorted(place, cuts))
         a = place[starts]
+        if spans:
+            begin, end = np.array(spans, np.int64).T
+            span = np.searchsorted(begin, a, side="right") - 1
+            a = a[(span < 0) | (a == begin[span]) | (a >= end[span])]
         b = np.append(a[1:], len(data))
         p, q = powers(len(data))
         sums = np.zeros(len(data) + 1, U64)
@@ -140,7 +182,6 @@ class Tokens:
         raw = (sums[b] - sums[a]) * q[a]
         key = mix(raw) + (b - a).astype(U64)
         _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
-        text = data.tobytes()
         # equal keys are compared byte by byte: first eight bytes, last eight bytes, length
         pieces = [self.ids(text[i:j]) for i, j in zip(a[first].tolist(), b[first].tolist())]
         if not _same_spans(data, a, b, first[inverse]):
@@ -253,21 +294,37 @@ def _pack_group(length: int):
 def place(items: DataFrame, length: int = LENGTH, group_items: int = GROUP_ITEMS) -> DataFrame:
     """(item, sequence, offset) for rows (item, size) with 0 < size <= length; items are distinct numbers.
 
-    A sequence is named by an item in it.
+    A sequence is named by an item in it. Rounds: the sequences with room for another one (the
+    smallest that is open still fits) are packed again, in groups of ``group_items`` on average,
+    until a round saves less than one sequence of ``GAIN``. Then only those at most
+    half full, any two of which fit together, are packed until one is left. No round has larger groups.
     """
     placed = keep(items.select("item", F.col("item").alias("sequence"), F.lit(0).cast("long").alias("offset"),
                                F.col("size").cast("long").alias("fill")), "packed")
-    groups_before = None
+    before = groups = most = None
+    turn = 0
     while True:
         heads = placed.where((F.col("offset") == 0) & (F.col("fill") < length)).select(
             F.col("sequence").alias("item"), F.col("fill").alias("size")).distinct()
+        if most is not None:
+            heads = heads.where(F.col("size") <= most)
+        n, smallest = heads.agg(F.count(F.lit(1)), F.min("size")).first()
+        if n < 2:
+            break
+        # what has no room for the smallest fits nowhere either: its partner would have to be smaller
+        heads = heads.where(F.col("size") <= length - smallest)
+        open_ = n
         n = heads.count()
-        groups = max(1, -(-n // group_items))
-        if n < 2 or groups_before == 1:
+        if n < 2:
             break
-        if groups_before is not None and groups >= groups_before:
-            groups = max(1, groups_before // 2)  # little was gained: larger groups
-        packed = keep(heads.withColumn("_group", F.pmod(F.xxhash64("item", F.lit(groups)), F.lit(groups)))
+        if most is None and before is not None and (groups == 1 or before - open_ < before / GAIN):
+            most = length // 2
+            continue
+        before = open_
+        groups = -(-n // max(2, group_items))
+        turn += 1
+        packed = keep(heads.withColumn("_group", F.pmod(F.xxhash64("item", F.lit(turn)), F.lit(groups)))
+                      .repartition(groups, "_group")
                       .groupBy("_group").applyInArrow(_pack_group(length), "item long, into long, offset long, fill long"),
                       "packed")
         moved = packed.select(F.col("item").alias("sequence"), "into", F.col("offset").alias("by"), F.col("fill").alias("now"))
@@ -275,7 +332,6 @@ def place(items: DataFrame, length: int = LENGTH, group_items: int = GROUP_ITEMS
             "item", F.coalesce("into", "sequence").alias("sequence"),
             (F.col("offset") + F.coalesce("by", F.lit(0))).alias("offset"),
             F.coalesce("now", "fill").alias("fill")), "packed")
-        groups_before = groups
     return placed.select("item", "sequence", "offset")
 
 
@@ -292,7 +348,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 def vocabulary() -> str:
     """Path of the byte-level vocabulary among the public tokenizers."""
     import public_tokenizers
-    return str(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def packing_digest(docs: DataFrame) -> DataFrame:
