@@ -42,35 +42,36 @@ RULES = [
     ("block", "com", "/de/"),
 ]
 
-# The labelled table; 1 is a URL to block. Hosts and paths are invented.
+# The labelled table; 1 is a URL to block. Hosts and paths are invented, under the
+# reserved ending ``.test``; ``tests/llm`` checks that no host of it, nor its first
+# label, is a host of the given pages.
 BLOCKED = """
-http://cheap-pills.example.net/en/12 http://www.cheap-meds.test/offer http://pills-online.test/buy/7
-http://buy-pills-now.test/es/4 http://m.cheap-watches.test/sale http://casino-win.example.com/de/5
-http://blog.casino-bonus.test/spin http://online-casino.test/play/9 http://win-casino.test/fr/88
-http://slots-jackpot.test/go http://free-bets.example.net/en/3 http://bets-free.test/odds http://sport-bets.test/live/2
-http://www.free-spins.test/win http://spam-farm.example.org/en/1 http://link-farm.test/links/77
-http://seo-spam.test/backlinks http://content-farm.test/en/6 http://m.spam-links.test/x
-http://ads-track.example.com/es/9 http://track-ads.test/pixel.gif http://ad-click.test/r?u=1 http://click-track.test/c/3
-http://adserver-banner.test/b http://adult-x.example.com/en/2 http://xxx-adult.test/cam http://adult-videos.test/v/11
-http://hot-cams.test/x http://sex-x.test/de/3 http://payday-loan.test/apply http://quick-cash-loan.test/en/4
+http://discount-pharmacy.test/offer http://www.cheap-meds.test/order/2 http://pills-online.test/buy/7
+http://buy-tablets-now.test/es/4 http://m.cheap-watches.test/sale http://casino-royale-slots.test/de/5
+http://blog.casino-bonus.test/spin http://online-poker.test/play/9 http://roulette-jackpot.test/fr/88
+http://slots-jackpot.test/go http://betting-odds.test/en/3 http://sport-bets.test/live/2
+http://www.free-spins.test/win http://spam-links.test/x http://link-exchange.test/links/77
+http://seo-spam.test/backlinks http://article-farm.test/en/6 http://m.buy-backlinks.test/x
+http://ads-banner.test/es/9 http://tracking-pixel.test/pixel.gif http://ad-click.test/r?u=1 http://click-track.test/c/3
+http://adserver-popup.test/b http://adult-cams.test/en/2 http://xxx-videos.test/cam http://adult-videos.test/v/11
+http://hot-cams.test/x http://sex-chat.test/de/3 http://payday-loan.test/apply http://quick-cash-loan.test/en/4
 http://crypto-double.test/earn http://win-prize-now.test/claim http://free-iphone.test/prize http://replica-bags.test/shop
-http://weight-loss-miracle.test/buy http://viagra-cheap.test/en/8 http://bet-win.test/fr/9 http://warez-crack.test/dl
-http://torrent-cracked.test/serial
+http://weight-loss-miracle.test/buy http://viagra-cheap.test/en/8 http://bet-winner.test/fr/9 http://warez-crack.test/dl
+http://torrent-cracked.test/serial http://free-coupons-win.test/en/31.html
 """.split()
 ALLOWED = """
-http://tionsh.example.net/fr/25930 https://m.therea.example.com/en/49245 http://ththre.example.com/en/825
-https://blog.tiontion.example.com/en/853/ http://www.therin.example.net/en/770 http://news.river.test/2024/05/report.html
-https://www.city-library.test/catalogue/books http://blog.mountain.test/en/trip https://docs.garden.test/guide/index.html
-http://university.test/department/physics https://m.weather.test/de/berlin http://museum.test/fr/exposition
-https://wiki.open.test/en/article http://school.test/es/alumnos https://www.newspaper.test/politics/2023
-http://forum.linux.test/topic/55 https://recipes.kitchen.test/bread http://journal.science.test/vol/3/paper
-https://www.hospital.test/health/advice http://blog.ththon.example.net/en/961 https://thernd.example.org/en/455
-http://tionble.example.com/en/6986.html https://ththing.example.com/en/7380/ http://m.theran.example.net/es/4466
-https://ththst.example.com/es/40239 http://www.ththe.example.net/de/12 http://government.test/law/act http://music.test/album/12
-https://history.test/ancient/rome http://www.train-times.test/table https://maps.test/city http://translation.test/de/wort
-https://code.test/repo/readme http://sports-news.test/match/result https://www.farmers-market.test/open
-http://bookshop.test/novel https://cinema.test/film/review http://theatre.test/play https://blog.health.test/sleep
-http://www.garden-club.test/roses
+http://harbour.test/fr/25930 https://m.orchard.test/en/49245 http://lantern.test/en/825 https://blog.meadow.test/en/853/
+http://www.pottery.test/en/770 http://news.river.test/2024/05/report.html https://www.city-library.test/catalogue/books
+http://blog.mountain.test/en/trip https://docs.garden.test/guide/index.html http://university.test/department/physics
+https://m.weather.test/de/berlin http://museum.test/fr/exposition https://wiki.open.test/en/article
+http://school.test/es/alumnos https://www.newspaper.test/politics/2023 http://forum.linux.test/topic/55
+https://recipes.kitchen.test/bread http://journal.science.test/vol/3/paper https://www.hospital.test/health/advice
+http://blog.coastal.test/en/961 https://sunrise.test/en/455 http://violin.test/en/6986.html
+https://woodwork.test/en/7380/ http://m.concert-hall.test/es/4466 https://clover.test/es/40239 http://www.neighbours.test/de/12
+http://government.test/law/act http://music.test/album/12 https://history.test/ancient/rome
+http://www.train-times.test/table https://maps.test/city http://translation.test/de/wort https://code.test/repo/readme
+http://sports-news.test/match/result https://www.farmers-market.test/open http://bookshop.test/novel
+https://cinema.test/film/review http://theatre.test/play https://blog.health.test/sleep http://www.garden-club.test/roses
 """.split()
 LABELLED = [(u, 1) for u in BLOCKED] + [(u, 0) for u in ALLOWED]
 
