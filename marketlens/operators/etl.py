@@ -48,6 +48,9 @@ from marketlens.sources.testdata import RawInputs
 ITEM_COLUMNS = ["order_item_id", "product_id", "seller_id", "shipping_limit_date",
                 "price", "freight_value"]
 
+# Exact view of a coordinate.
+COORDINATE = "DECIMAL(28,16)"
+
 PAYMENT_ORDER = ["payment_sequential", "payment_type", "payment_installments", "payment_value"]
 
 
@@ -106,12 +109,19 @@ def products_flat(products: DataFrame) -> DataFrame:
 
 
 def geo_per_zip(geolocation: DataFrame) -> DataFrame:
-    """Mean coordinates per ZIP prefix (prefix as string; NULL prefixes dropped)."""
+    """Mean coordinates per ZIP prefix (prefix as string; NULL prefixes dropped).
+
+    The sums are exact decimals with one division at the end, so the means do not depend on the
+    order of the rows. A value that is no coordinate (infinite, or 12 digits and more) is left out
+    like a missing one."""
+    def mean(c: str):
+        exact = F.expr(f"try_cast({c} AS {COORDINATE})")
+        return (F.sum(exact).cast("double") / F.nullif(F.count(exact), F.lit(0))).alias(c)
+
     return (nan_free(geolocation).where(F.col("geolocation_zip_code_prefix").isNotNull())
             .groupBy(F.col("geolocation_zip_code_prefix").cast("string")
                      .alias("geolocation_zip_code_prefix"))
-            .agg(F.avg("geolocation_lat").alias("geolocation_lat"),
-                 F.avg("geolocation_lng").alias("geolocation_lng")))
+            .agg(mean("geolocation_lat"), mean("geolocation_lng")))
 
 
 def _with_geo(df: DataFrame, zip_col: str, geolocation: DataFrame) -> DataFrame:

@@ -222,7 +222,7 @@ def _days(start: str, end: str) -> str:
     return f"date_sub('day', {start}, {end})"
 
 
-def _delivery_review(having: str, order_limit: str, with_delay: bool) -> str:
+def _delivery_review(having: str, order_limit: str, with_delay: bool, rank: str = "avg_review_score") -> str:
     span = _days("o.order_purchase_timestamp", "o.order_delivered_customer_date")
     late = _days("o.order_estimated_delivery_date", "o.order_delivered_customer_date")
     delay = f"{rr(f'sum({late})', f'count({late})', 1)} AS avg_delay_days," if with_delay else ""
@@ -238,7 +238,7 @@ JOIN m_customers c ON o.customer_id = c.customer_id
 WHERE o.order_status = 'delivered' AND o.order_delivered_customer_date IS NOT NULL
 GROUP BY c.customer_state
 {having}
-ORDER BY avg_review_score ASC NULLS LAST, state ASC NULLS LAST
+ORDER BY {rank} ASC NULLS LAST, state ASC NULLS LAST
 {order_limit}""")
 
 
@@ -299,7 +299,8 @@ FROM per_type ORDER BY order_count DESC, payment_type ASC NULLS LAST""", {"per_t
 
 
 def n4(k=5) -> str:
-    return _delivery_review("", f"LIMIT {k}", False)
+    mean = f"CAST(sum(r.review_score) AS HUGEINT) * {10 ** 18} // nullif(count(r.review_score), 0)"
+    return _delivery_review("", f"LIMIT {k}", False, mean)
 
 
 def n5(k=5, score=1) -> str:
@@ -358,23 +359,59 @@ SELECT count(DISTINCT ({parts})) FILTER (WHERE {where}) AS partitions_read,
 FROM {name}""".replace("(DISTINCT (", "(DISTINCT row("))
 
 
-def table_checks(min_rows: dict[str, int]) -> str:
-    # fixed values: table, required columns, partition columns
-    shape = [("orders", "m_orders", "order_id, customer_id, order_status", "year, month"),
-             ("products", "m_products_flat", "product_id", "0"),
-             ("customers", "m_customers", "customer_id, customer_state", "0"),
-             ("reviews", "m_reviews", "review_id, order_id, review_score", "review_score"),
-             ("sellers", "m_sellers", "seller_id", "0")]
+def table_checks(min_partitions: dict[str, int]) -> str:
+    # fixed values: table, raw table, rows that lack a required value, partition columns
+    shape = [("orders", "m_orders", "raw_items", "order_id IS NULL OR customer_id IS NULL OR order_status IS NULL "
+              "OR (order_item_id IS NOT NULL AND (price IS NULL OR freight_value IS NULL))", "year, month"),
+             ("products", "m_products_flat", "raw_products", "product_id IS NULL", "0"),
+             ("customers", "m_customers", "customer", "customer_id IS NULL OR customer_state IS NULL", "0"),
+             ("reviews", "m_reviews", "m_reviews", "review_id IS NULL OR order_id IS NULL OR review_score IS NULL",
+              "review_score"),
+             ("sellers", "m_sellers", "supplier", "seller_id IS NULL", "0")]
     rows = []
-    for name, view, need, parts in shape:
-        lack = " OR ".join(f"{c.strip()} IS NULL" for c in need.split(","))
+    for name, view, raw, lack, parts in shape:
+        need = f"(SELECT count(*) FROM {raw})"
         rows.append(f"""SELECT '{name}' AS table_name, count(*) AS row_count,
-  CAST({min_rows.get(name, 0)} AS BIGINT) AS min_rows, count(*) FILTER (WHERE {lack}) AS incomplete,
+  {need} AS min_rows, count(*) FILTER (WHERE {lack}) AS incomplete,
   count(DISTINCT row({parts})) AS partitions,
-  count(*) > {min_rows.get(name, 0)} AND count(*) FILTER (WHERE {lack}) = 0 AS ok FROM {view}""")
+  count(*) > 0 AND count(*) >= {need} AND count(*) FILTER (WHERE {lack}) = 0
+    AND count(DISTINCT row({parts})) >= {min_partitions.get(name, 1)} AS ok FROM {view}""")
     return with_model(" UNION ALL ".join(rows))
 
 
+def split_good_bad(every: int) -> str:
+    """Payments written as text with every ``every``-th order's instalments spoilt."""
+    bad = f"order_id % {every} = 0"
+    return with_model(f"""
+SELECT 'good' AS kind, count(*) AS row_count, CAST(sum(order_id) AS BIGINT) AS id_sum FROM raw_payments WHERE NOT ({bad})
+UNION ALL SELECT 'bad', count(*), CAST(sum(order_id) AS BIGINT) FROM raw_payments WHERE {bad}""")
+
+
+def format_reads(year: int, month: int) -> str:
+    """One row per format and read; the rows' digest is the same for every format."""
+    def one(read, where, cols):
+        text = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in cols)
+        return f"""SELECT '{read}' AS read, count(*) AS row_count,
+  CAST(coalesce(sum(CAST(concat('0x', substr(md5(concat_ws('|', {text})), 1, 12)) AS BIGINT)), 0) AS VARCHAR) AS digest
+FROM m_orders WHERE {where}"""
+    month_of = f"CAST(order_purchase_timestamp AS VARCHAR) LIKE '{year}-{month:02d}%'"
+    reads = [one("full", "TRUE", FORMAT_COLUMNS), one("projected", "TRUE", ["order_id", "order_status"]),
+             one("filtered", month_of, FORMAT_COLUMNS)]
+    return with_model("SELECT f.format, r.* FROM (VALUES ('csv'), ('json'), ('parquet')) f(format), ("
+                      + " UNION ALL ".join(reads) + ") r")
+
+
+# The columns whose text both engines write alike.
+FORMAT_COLUMNS = ["order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_delivered_customer_date",
+                  "order_item_id", "product_id", "seller_id", "CAST(price AS DECIMAL(28,8))", "payment_type",
+                  "payment_installments", "CAST(payment_value AS DECIMAL(28,8))", "year", "month"]
+
+
+def distinct_by(key: str, groups: str, where: str, name: str) -> str:
+    return with_model(f"""SELECT {groups}, count(DISTINCT o.{key}) AS {name}
+FROM m_orders o JOIN m_customers c ON o.customer_id = c.customer_id WHERE {where} GROUP BY {groups}""")
+
+
 def payments_per_order() -> str:
     return with_model("SELECT * FROM pay_agg")
 

@@ -32,6 +32,7 @@ from pyspark.sql.types import StructType
 from marketlens.schemas import LAYOUT
 from marketlens.session import scratch_path
 from marketlens.sinks.parquet import CSV_NULL, write_csv, write_json, write_table
+from marketlens.sources.testdata import RawInputs
 from marketlens.sources.files import read_csv, read_json, read_parquet
 from marketlens.sources.warehouse import Tables
 
@@ -144,6 +145,38 @@ def format_copies(spark: SparkSession, df: DataFrame) -> dict[str, str]:
     return paths
 
 
+# The columns whose text is the same in every format and engine.
+DIGEST_COLUMNS = ["order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_delivered_customer_date",
+                  "order_item_id", "product_id", "seller_id", "CAST(price AS DECIMAL(28,8))", "payment_type",
+                  "payment_installments", "CAST(payment_value AS DECIMAL(28,8))", "year", "month"]
+
+
+def rows_digest(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(row_count, digest): the sum of 48 bits of every row's MD5, whatever the order of rows."""
+    text = F.concat_ws("|", *[F.coalesce(F.expr(f"CAST({c} AS STRING)"), F.lit("~")) for c in cols])
+    bits = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("decimal(18,0)")
+    return df.agg(F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(bits), F.lit(0)).cast("string").alias("digest"))
+
+
+def format_equality(spark: SparkSession, t: Tables, year: int, month: int) -> DataFrame:
+    """MSR3: the full, projected and filtered read of the orders as CSV, JSON lines and Parquet;
+    equal digests show that the three formats hold the same rows. The text formats filter on the
+    timestamp's text, Parquet on the partition."""
+    paths = format_copies(spark, t.orders)
+    schema = t.orders.schema
+    reads = {"csv": read_csv(spark, paths["csv"], schema, null_value=CSV_NULL),
+             "json": read_json(spark, paths["json"], schema), "parquet": read_parquet(spark, paths["parquet"])}
+    out = None
+    for name, df in reads.items():
+        by_text = F.col("order_purchase_timestamp").cast("string").startswith(f"{year}-{month:02d}")
+        one_month = df.where((F.col("year") == year) & (F.col("month") == month) if name == "parquet" else by_text)
+        for read, rows, cols in (("full", df, DIGEST_COLUMNS), ("projected", df, ["order_id", "order_status"]),
+                                 ("filtered", one_month, DIGEST_COLUMNS)):
+            got = rows_digest(rows, cols).select(F.lit(name).alias("format"), F.lit(read).alias("read"), "row_count", "digest")
+            out = got if out is None else out.unionByName(got)
+    return out
+
+
 def format_read_times(spark: SparkSession, t: Tables, year: int, month: int,
                       iterations: int = 3, project=("order_id", "order_status"),
                       copies: dict[str, str] | None = None) -> DataFrame:
@@ -228,13 +261,25 @@ REQUIRED = {
 }
 
 
-def table_checks(t: Tables, min_rows: dict[str, int]) -> DataFrame:
+# The raw input that a dataset has at least as many rows as.
+RAW_OF = {"orders": "items", "products": "products", "customers": "customers", "reviews": "reviews", "sellers": "sellers"}
+
+
+def raw_minimums(raw: RawInputs) -> dict[str, int]:
+    """Rows of each dataset's raw input (orders: of the items, an order without any adds a row)."""
+    return {name: getattr(raw, source).count() for name, source in RAW_OF.items()}
+
+
+def table_checks(t: Tables, min_rows: dict[str, int], min_partitions: dict[str, int]) -> DataFrame:
     """One row per dataset, computed in one aggregate each: rows, their minimum,
-    rows that lack a required value, partitions, and whether all is well."""
+    rows that lack a required value, partitions, and whether all is well. An order row with an
+    item must have its price and freight value."""
     out = None
     for name, df in t.as_dict().items():
         parts = LAYOUT[name]["partition_by"]
         lacking = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in REQUIRED[name]])
+        if name == "orders":
+            lacking = lacking | F.expr("order_item_id IS NOT NULL AND (price IS NULL OR freight_value IS NULL)")
         key = F.struct(*parts) if parts else F.lit(0)
         one = df.agg(F.count(F.lit(1)).alias("row_count"),
                      F.coalesce(F.sum(lacking.cast("long")), F.lit(0).cast("long")).alias("incomplete"),
@@ -242,7 +287,8 @@ def table_checks(t: Tables, min_rows: dict[str, int]) -> DataFrame:
         need = int(min_rows.get(name, 0))
         one = one.select(F.lit(name).alias("table_name"), "row_count", F.lit(need).cast("long").alias("min_rows"),
                          "incomplete", "partitions",
-                         ((F.col("row_count") > need) & (F.col("incomplete") == 0)).alias("ok"))
+                         ((F.col("row_count") > 0) & (F.col("row_count") >= need) & (F.col("incomplete") == 0)
+                          & (F.col("partitions") >= min_partitions.get(name, 1))).alias("ok"))
         out = one if out is None else out.unionByName(one)
     return out
 

@@ -12,11 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.schemas import LAYOUT
+from marketlens.operators.distinct import keep_bitmaps
 from marketlens.session import scratch_path
 from marketlens.sinks.parquet import CSV_NULL, write_csv, write_json
+from marketlens.sinks.snapshots import read_current, refresh
 from marketlens.sources import catalog as C
-from marketlens.sources.files import read_csv, read_json
+from marketlens.sources.files import read_csv, read_csv_checked, read_csv_in_splits, read_json
 from marketlens.sources.warehouse import Tables
+from marketlens.sources.zonemaps import read_between, write_clustered, zone_map
 
 
 def csv_roundtrip(spark: SparkSession, df: DataFrame, multi_line: bool = False) -> DataFrame:
@@ -26,6 +29,26 @@ def csv_roundtrip(spark: SparkSession, df: DataFrame, multi_line: bool = False)
     return read_csv(spark, path, df.schema, null_value=CSV_NULL, multi_line=multi_line)
 
 
+def csv_split_roundtrip(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """The same with quoted line breaks put together from split files."""
+    path = scratch_path(spark, "csv")
+    write_csv(df, path, null_value=CSV_NULL)
+    return read_csv_in_splits(spark, path, df.schema, null_value=CSV_NULL)
+
+
+def csv_good_and_bad(spark: SparkSession, payments: DataFrame, every: int) -> DataFrame:
+    """Payments written as text with the instalments of every ``every``-th order spoilt, read with
+    bad rows kept apart: rows and sum of order ids of either kind."""
+    path = scratch_path(spark, "csv-spoilt")
+    spoilt = F.when(F.col("order_id") % every == 0, F.lit("x1")).otherwise(F.col("payment_installments").cast("string"))
+    write_csv(payments.withColumn("payment_installments", spoilt), path, null_value=CSV_NULL)
+    good, bad = read_csv_checked(spark, path, payments.schema, null_value=CSV_NULL)
+    bad_ids = bad.select(F.substring_index(F.col(bad.columns[0]), ",", 1).cast("long").alias("order_id"))
+    totals = [F.count(F.lit(1)).alias("row_count"), F.sum("order_id").alias("id_sum")]
+    return (good.agg(*totals).select(F.lit("good").alias("kind"), "*")
+            .unionByName(bad_ids.agg(*totals).select(F.lit("bad").alias("kind"), "*")))
+
+
 def json_roundtrip(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Write JSON lines and read them back with the same schema."""
     path = scratch_path(spark, "json")
@@ -92,6 +115,63 @@ def idempotent_reload(spark: SparkSession, t: Tables, runs: int = 2) -> DataFram
     return spark.table(fq)
 
 
+def merged_reload(spark: SparkSession, t: Tables, runs: int = 2) -> DataFrame:
+    """Orders loaded with every second order wrong (other status, other month), then the right rows of
+    these orders merged ``runs`` times: the other half of each month stays, the table is whole."""
+    wrong = F.col("order_id") % 2 == 0
+    first = (t.orders.withColumn("order_status", F.when(wrong, "stale").otherwise(F.col("order_status")))
+             .withColumn("month", F.when(wrong, 13 - F.col("month")).otherwise(F.col("month"))))
+    fq = C.save_managed(first, f"{C.new_namespace(spark)}.orders", LAYOUT["orders"]["partition_by"])
+    for _ in range(runs):
+        C.merge_by_key(spark, t.orders.where(wrong), fq, ["order_id"])
+    return spark.table(fq)
+
+
+def refreshed(spark: SparkSession, t: Tables) -> DataFrame:
+    """Orders refreshed twice in one place: first without order states and with a year of their own for
+    some, then right. The second version has no partition of the first one left."""
+    root = scratch_path(spark, "refreshed")
+    refresh(spark, {"orders": t.orders.withColumn("year", F.col("year") + 100), "sellers": t.sellers.limit(0)}, root)
+    refresh(spark, {"orders": t.orders, "sellers": t.sellers}, root)
+    return read_current(spark, root, "orders")
+
+
+def bucketed_tables(spark: SparkSession, t: Tables, key: str, buckets: int = 16) -> Tables:
+    """The tables with ``key`` bucketed by it, so that joins on it move no rows; others as they are."""
+    db = C.new_namespace(spark)
+    frames = t.as_dict()
+    for name, df in frames.items():
+        if key in df.columns:
+            frames[name] = spark.table(C.save_bucketed(df, f"{db}.{name}", [key], buckets, LAYOUT[name]["codec"]))
+    return Tables(**frames, root=t.root)
+
+
+def zone_pruned_orders(spark: SparkSession, t: Tables, low: str, high: str) -> DataFrame:
+    """Orders bought in a span of days, from files laid out by time: only files whose zone meets
+    the span are opened."""
+    path = write_clustered(t.orders, scratch_path(spark, "clustered"), ["order_purchase_timestamp", "order_id"])
+    df = spark.read.schema(t.orders.schema).parquet(path)
+    zones = zone_map(df, {"bought": "order_purchase_timestamp"})
+    span = [F.lit(d).cast("timestamp_ntz") for d in (low, high)]
+    return read_between(spark, df, path, zones, "bought", "order_purchase_timestamp", *span)
+
+
+def zone_pruned_products(spark: SparkSession, t: Tables, max_weight: float) -> DataFrame:
+    """Flat products under a weight, from files laid out by the nested weight."""
+    from marketlens.operators.etl import products_flat
+
+    path = write_clustered(t.products, scratch_path(spark, "clustered"), ["dimensions.weight_g", "product_id"])
+    df = spark.read.schema(t.products.schema).parquet(path)
+    zones = zone_map(df, {"weight": "dimensions.weight_g"})
+    return products_flat(read_between(spark, df, path, zones, "weight", "dimensions.weight_g", None, max_weight))
+
+
+def order_bitmaps(t: Tables, key: str) -> DataFrame:
+    """Distinct values of an order column as bitmaps per month and customer state."""
+    c = t.customers.select("customer_id", "customer_state")
+    return keep_bitmaps(t.orders.join(c, "customer_id"), key, ["year", "month", "customer_state"])
+
+
 def event_spans(events: DataFrame) -> DataFrame:
     """Per user: first and last event, whole days between them both ways."""
     from marketlens.functions.expr import days_between

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketlens import oracle
 from marketlens.operators import similarity as SIM
+from marketlens.operators.distinct import count_distinct
 from marketlens.operators.etl import payments_per_order, products_flat
 from marketlens.plans import measure as M
 from marketlens.plans import reports as R
@@ -30,8 +31,11 @@ ONE_YEAR = 1997
 QUARTER = (1997, 4)
 CITY = "HOUSEHOLD"
 SIM_TOP_N = 10          # the similarity command line asks for 10
-# Row minimums of the dataset checks.
-MIN_ROWS = {"orders": 0, "products": 0, "customers": 0, "reviews": 0, "sellers": 0}
+# Partition minimums of the dataset checks (year and month; scores).
+MIN_PARTITIONS = {"orders": 2, "reviews": 2}
+SPOILT_EVERY = 7        # every 7th order's payments are written with bad text
+ZONE = ("1997-03-10", "1997-03-25")
+LIGHT = 1500.0
 UNKNOWN_ID = -1         # no product has a negative id
 
 
@@ -130,7 +134,29 @@ QUERIES: dict[str, Query] = {
         t.orders, RT.parquet_partition_filter(t, ONE_YEAR, 10), ["year", "month"])),
     "msr_pruning_reviews": _with(lambda s, t: M.pruned_rows(
         t.reviews, t.reviews.where("review_score <= 2"), ["review_score"])),
-    "dq_checks": _with(lambda s, t: M.table_checks(t, MIN_ROWS)),
+    "dq_checks": lambda s, d: M.table_checks(tables_for(s, d), M.raw_minimums(raw_inputs(s, d)), MIN_PARTITIONS),
+    # split files with quoted line breaks, bad rows kept apart, formats proved equal
+    "src_csv_split_reviews": _with(lambda s, t: RT.csv_split_roundtrip(s, t.reviews)),
+    "src_csv_rejects": lambda s, d: RT.csv_good_and_bad(s, raw_inputs(s, d).payments, SPOILT_EVERY),
+    "msr_formats": _with(lambda s, t: M.format_equality(s, t, ONE_YEAR, 10)),
+    # keyed merge, whole refresh, files named by zone maps
+    "tbl_merge": _with(lambda s, t: RT.merged_reload(s, t)),
+    "snk_refresh": _with(lambda s, t: RT.refreshed(s, t)),
+    "msr_zone_orders": _with(lambda s, t: RT.zone_pruned_orders(s, t, *ZONE)),
+    "msr_zone_products": _with(lambda s, t: RT.zone_pruned_products(s, t, LIGHT)),
+    # joins of bucketed tables
+    "q4_low_reviews_bucketed": _with(lambda s, t: R.low_reviews(RT.bucketed_tables(s, t, "order_id"), 2, 20)),
+    "q5_geo_revenue_bucketed": _with(lambda s, t: R.geo_revenue(RT.bucketed_tables(s, t, "customer_id"))),
+    "q6_delivery_vs_reviews_bucketed": _with(lambda s, t: R.delivery_vs_reviews(
+        RT.bucketed_tables(s, t, "order_id"), min_orders=Q6_MIN_ORDERS)),
+    # distinct counts merged from bitmaps
+    "agg_distinct_orders_month": _with(lambda s, t: count_distinct(
+        RT.order_bitmaps(t, "order_id"), ["year", "month"], "total_orders")),
+    "agg_distinct_states_quarter": _with(lambda s, t: count_distinct(
+        RT.order_bitmaps(t, "order_id").where(f"year = {QUARTER[0]} AND quarter(make_date(year, month, 1)) = {QUARTER[1]}"),
+        ["customer_state"], "order_count")),
+    "agg_distinct_customers_year": _with(lambda s, t: count_distinct(
+        RT.order_bitmaps(t, "customer_id"), ["year"], "customers")),
 }
 
 ORACLE: dict[str, str] = {
@@ -177,7 +203,23 @@ ORACLE: dict[str, str] = {
     "cat_overview": oracle.overview(),
     "msr_pruning": oracle.pruned_rows("m_orders", f"year = {ONE_YEAR} AND month = 10", "year, month"),
     "msr_pruning_reviews": oracle.pruned_rows("m_reviews", "review_score <= 2", "review_score"),
-    "dq_checks": oracle.table_checks(MIN_ROWS),
+    "dq_checks": oracle.table_checks(MIN_PARTITIONS),
+    "src_csv_split_reviews": oracle.table("m_reviews"),
+    "src_csv_rejects": oracle.split_good_bad(SPOILT_EVERY),
+    "msr_formats": oracle.format_reads(ONE_YEAR, 10),
+    "tbl_merge": oracle.table("m_orders"),
+    "snk_refresh": oracle.table("m_orders"),
+    "msr_zone_orders": oracle.table("m_orders", f"order_purchase_timestamp >= TIMESTAMP '{ZONE[0]}' "
+                                                f"AND order_purchase_timestamp < TIMESTAMP '{ZONE[1]}'"),
+    "msr_zone_products": oracle.table("m_products_flat", f"weight_g < {LIGHT}"),
+    "q4_low_reviews_bucketed": oracle.q4(2, 20),
+    "q5_geo_revenue_bucketed": oracle.q5(),
+    "q6_delivery_vs_reviews_bucketed": oracle.q6(Q6_MIN_ORDERS),
+    "agg_distinct_orders_month": oracle.distinct_by("order_id", "o.year, o.month", "TRUE", "total_orders"),
+    "agg_distinct_states_quarter": oracle.distinct_by(
+        "order_id", "c.customer_state", f"o.year = {QUARTER[0]} AND quarter(o.order_purchase_timestamp) = {QUARTER[1]}",
+        "order_count"),
+    "agg_distinct_customers_year": oracle.distinct_by("customer_id", "o.year", "TRUE", "customers"),
     "days_between_events": oracle.event_spans(),
     "sim_features": oracle.sim_features(),
     "sim_scaled": oracle.sim_scaled(),

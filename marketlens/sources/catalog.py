@@ -21,13 +21,15 @@ from __future__ import annotations
 
 import re
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from marketlens.functions.expr import nan_free
 from marketlens.schemas import LAYOUT
-from marketlens.session import scratch_path
+from marketlens.session import materialize, scratch_path
 
 
 
@@ -117,6 +119,11 @@ def insert_idempotent(spark: SparkSession, df: DataFrame, fq_table: str) -> None
     _shaped(staged, fq_table).write.insertInto(fq_table, overwrite=True)
 
 
+def _same(a: DataFrame, b: DataFrame, cols: list[str]) -> Column:
+    """Equal values or both null in all of ``cols``."""
+    return reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[c]) for c in cols])
+
+
 def merge_by_key(spark: SparkSession, df: DataFrame, fq_table: str, keys: list[str]) -> None:
     """Upsert ``df`` into a partitioned table: all rows whose key is in ``df`` are replaced.
 
@@ -134,23 +141,23 @@ def merge_by_key(spark: SparkSession, df: DataFrame, fq_table: str, keys: list[s
     parts = [c.name for c in spark.catalog.listColumns(fq_table) if c.isPartition]
     if not parts:
         raise ValueError(f"{fq_table} has no partitions")
-    same = lambda a, b, cols: reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[c]) for c in cols])
     new = materialize(df.select(*target.columns), "merge_load")
     new_keys = materialize(new.select(*keys).distinct(), "merge_keys")
     held = target.select(*dict.fromkeys([*keys, *parts]))
-    touched = materialize(held.join(new_keys, same(held, new_keys, keys), "left_semi").select(*parts)
+    touched = materialize(held.join(new_keys, _same(held, new_keys, keys), "left_semi").select(*parts)
                           .union(new.select(*parts)).distinct(), "merge_partitions")
     # the partitions are joined by plain equality, which lets Spark prune them; null ones by a filter
     old = target.join(touched, parts, "left_semi").select(*target.columns)
     without_value = reduce(lambda x, y: x | y, [F.col(c).isNull() for c in parts])
     if touched.where(without_value).limit(1).count():
         hidden = target.where(without_value)
-        old = old.unionByName(hidden.join(touched, same(hidden, touched, parts), "left_semi"))
-    staged = materialize(old.join(new_keys, same(old, new_keys, keys), "left_anti").unionByName(new), "merge_rows")
+        old = old.unionByName(hidden.join(touched, _same(hidden, touched, parts), "left_semi"))
+    path = scratch_path(spark, "merge_rows")
+    old.join(new_keys, _same(old, new_keys, keys), "left_anti").unionByName(new).write.parquet(path)
+    staged = spark.read.schema(target.schema).parquet(path)
     own = spark.newSession()
     own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    rows = own.createDataFrame([], staged.schema).unionByName(_in_session(own, staged))
-    _shaped(rows, fq_table).write.insertInto(fq_table, overwrite=True)
+    _shaped(own.read.schema(target.schema).parquet(path), fq_table).write.insertInto(fq_table, overwrite=True)
     emptied = touched.join(staged.select(*parts).distinct(), parts, "left_anti").where(~without_value).collect()
     for row in emptied:  # partitions that lost their last row
         spec = ", ".join(f"{c} = '{row[c]}'" for c in parts)
