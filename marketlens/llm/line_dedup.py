@@ -15,8 +15,10 @@ document. Only documents that lose a line are cut up again.
 Defined cases: a null or empty text is one empty line; a document id that occurs
 more than once counts as one document, and each of its rows keeps or loses the
 same keys; a row without an id keeps its lines; a text whose lines all go becomes
-empty; input columns other than the
-id and the text pass through, and names used here inside cannot clash with them.
+empty; an empty table gives no rows; a very long text is cut up like any other; ties
+do not occur, as the smallest id is one value. Input columns other than the id and the
+text pass through: the names used here inside are chosen so that no column has them, and
+an input column with the name of a count is replaced by it (``counts=None`` adds none).
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import keep
+from marketlens.llm.common import keep, unused
 
 WHITE = "\x20\x09\x0a\x0b\x0c\x0d"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -65,22 +67,25 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return gone.groupBy("id").agg(F.sort_array(F.collect_set("pos")).alias("positions"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                min_docs: int = 2, min_chars: int = 10) -> DataFrame:
-    """``docs`` with the text de-duplicated, plus ``_n_lines`` and ``_n_dropped``."""
-    gone = dropped_lines(docs, id_col, text_col, min_docs, min_chars).select(
-        F.col("id").alias("_line_id"), F.col("positions").alias("_line_gone"))
-    joined = docs.join(gone, F.col(id_col) == F.col("_line_id"), "left")
-    cut = joined.withColumn("_line_all", F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1))
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 2, min_chars: int = 10,
+                counts: tuple[str, str] | None = ("_n_lines", "_n_dropped")) -> DataFrame:
+    """``docs`` with the text de-duplicated, and the numbers of its lines and of those dropped under the names ``counts``."""
+    own, gone, lines = unused(docs, "_line_id", "_line_gone", "_line_all")
+    lost = dropped_lines(docs, id_col, text_col, min_docs, min_chars).select(
+        F.col("id").alias(own), F.col("positions").alias(gone))
+    joined = docs.join(lost, F.col(id_col) == F.col(own), "left")
+    cut = joined.withColumn(lines, F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1))
     # the kept lines are the slices between dropped positions
-    kept = F.expr("""array_join(flatten(transform(sequence(0, size(_line_gone)), i -> slice(_line_all,
-        CASE WHEN i = 0 THEN 1 ELSE _line_gone[i - 1] + 1 END,
-        CASE WHEN i = size(_line_gone) THEN size(_line_all) + 1 ELSE _line_gone[i] END
-          - CASE WHEN i = 0 THEN 1 ELSE _line_gone[i - 1] + 1 END))), '\n')""")
-    text = F.when(F.col("_line_gone").isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(kept)
-    columns = [text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
-    return cut.select(*columns, F.size("_line_all").cast("long").alias("_n_lines"),
-                      F.coalesce(F.size("_line_gone"), F.lit(0)).cast("long").alias("_n_dropped"))
+    kept = F.expr(f"""array_join(flatten(transform(sequence(0, size({gone})), i -> slice({lines},
+        CASE WHEN i = 0 THEN 1 ELSE {gone}[i - 1] + 1 END,
+        CASE WHEN i = size({gone}) THEN size({lines}) + 1 ELSE {gone}[i] END
+          - CASE WHEN i = 0 THEN 1 ELSE {gone}[i - 1] + 1 END))), '\n')""")
+    text = F.when(F.col(gone).isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(kept)
+    added = [] if counts is None else [F.size(lines).cast("long").alias(counts[0]),
+                                       F.coalesce(F.size(gone), F.lit(0)).cast("long").alias(counts[1])]
+    replaced = {c.lower() for c in counts or ()}
+    columns = [text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c.lower() not in replaced]
+    return cut.select(*columns, *added)
 
 
 def line_digest(docs: DataFrame) -> DataFrame:

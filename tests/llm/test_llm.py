@@ -355,6 +355,20 @@ def test_line_dedup(spark, awkward, empty):
     assert line_dedup.line_digest(empty).count() == 0
 
 
+def test_line_dedup_with_clashing_names(spark):
+    names = ["_line_id", "_LINE_GONE", "_line_all", "_n_lines", "id", "pos", "key", "positions", "keeper", "dotted.name"]
+    d = docs_frame(spark, ["a line in two docs\nown", "a line in two docs"])
+    for k, name in enumerate(names):
+        d = d.withColumn(name, F.lit(k))
+    plain = line_dedup.dedup_lines(d, counts=None)
+    assert plain.columns == d.columns
+    assert {r.doc_id: (r.text, [r[c] for c in names]) for r in plain.collect()} == {
+        0: ("a line in two docs\nown", list(range(10))), 1: ("", list(range(10)))}
+    counted = line_dedup.dedup_lines(d)
+    assert sorted(counted.columns) == sorted({*d.columns, "_n_dropped"})
+    assert {r.doc_id: (r._n_lines, r._n_dropped) for r in counted.collect()} == {0: (2, 0), 1: (1, 1)}
+
+
 def test_line_dedup_three_documents(spark):
     d = docs_frame(spark, ["a line in two docs\na line in three docs"] * 2 + ["a line in three docs"])
     got = {r.doc_id: r.text for r in line_dedup.dedup_lines(d, min_docs=3).collect()}
@@ -698,3 +712,38 @@ def test_pipeline_quality_judges_row_by_row(spark, tmp_path):
     texts = {r.text for r in got}
     assert not texts & set(junk) and {t for _, t, _ in good} <= texts and rows[-2][1] in texts and None in texts
     assert len(got) == len(rows) - 3
+
+
+EXTRA = ["id", "_id", "_lang", "_sha", "_gone", "_GONE_", "_line_id", "_line_gone", "_line_all", "_n_lines", "_n_dropped", "key",
+         "keep", "fp", "component", "block", "text_sha256", "label_id", "own", "item_id", "dotted.name"]
+
+
+def test_pipeline_with_clashing_names_repeated_rows_and_null_ids(spark, tmp_path):
+    rng = random.Random(23)
+    bench = syllables(rng, 30)
+    good = [syllables(rng, 80) for _ in range(60)]
+    rows = [*enumerate(good), (5, good[5]), (None, good[6]), (None, syllables(rng, 40) + " " + bench), (60, bench), (61, None)]
+    d = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], DOCS)
+    for name in EXTRA:
+        d = d.withColumn(name, F.lit("x"))
+    d.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, 1, 0) for i in range(40)], LABELS).write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(0, bench)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs, kept = spark.read.parquet(str(tmp_path / "documents.parquet")), {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.dtypes == docs.dtypes, name
+        assert all(r[c] == "x" for r in out.select(*[f"`{c}`" for c in EXTRA]).collect() for c in range(len(EXTRA))), name
+        kept[name] = Counter(r.doc_id for r in out.collect())
+    assert all(kept["quality classifier"][i] == 1 + (i == 5) for i in range(60))
+    assert kept["benchmark decontamination"][60] == 0 and kept["benchmark decontamination"][None] == 2
+    assert kept["simhash near-dedup"][5] == 2  # rows of one id stay or go together
+    packed = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert {*range(60), None} <= packed
+
+
+def test_pipeline_on_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], LABELS).write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
