@@ -6,7 +6,9 @@ stage's documents. All stages but the last return the columns of ``documents``.
 
 Quality judges row by row, by id, language and text. A row without an id passes the
 filters it cannot be matched in: it is judged by quality like any other, keeps its
-lines, is never a near copy and never a leak.
+lines, is never a near copy and never a leak. Repeated rows of one id, language and text
+share every verdict; an empty table gives no rows; a null or empty text stays, or goes, as
+each operator states. Extra columns pass through the stages under any name.
 """
 
 from __future__ import annotations
@@ -15,33 +17,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.llm import decontaminate, line_dedup, packing, quality, simhash
-from marketlens.llm.common import keep, table
+from marketlens.llm.common import keep, table, unused
 
 
 def keep_good_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity is above their language's threshold go."""
     judged = quality.judge(docs, table(spark, sf_dir, "labels"), with_digest=True)
-    gone = judged.where("NOT keep").select("id", F.col("lang").alias("_lang"), F.col("text_sha256").alias("_sha")).distinct()
-    same = docs.doc_id.eqNullSafe(F.col("id")) & docs.lang.eqNullSafe(F.col("_lang")) & (quality.text_digest() == F.col("_sha"))
+    own, lang, sha = unused(docs, "_id", "_lang", "_sha")
+    gone = judged.where("NOT keep").select(
+        F.col("id").alias(own), F.col("lang").alias(lang), F.col("text_sha256").alias(sha)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(own)) & F.col("lang").eqNullSafe(F.col(lang)) & (quality.text_digest() == F.col(sha))
     return docs.join(gone, same, "left_anti")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of an earlier document go; ``n_chars`` follows the text."""
-    out = line_dedup.dedup_lines(docs)
-    return out.withColumn("n_chars", F.char_length("text").cast("long")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return line_dedup.dedup_lines(docs, counts=None).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each near-duplicate class the document with the smallest id stays."""
-    copies = simhash.near_duplicates(docs).where("id > component").select(F.col("id").alias("_gone")).distinct()
-    return docs.join(copies, docs.doc_id == F.col("_gone"), "left_anti")
+    [own] = unused(docs, "_gone")
+    copies = simhash.near_duplicates(docs).where("id > component").select(F.col("id").alias(own)).distinct()
+    return docs.join(copies, F.col("doc_id") == F.col(own), "left_anti")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of the benchmark go."""
-    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select(F.col("id").alias("_gone")).distinct(), docs.doc_id == F.col("_gone"), "left_anti")
+    [own] = unused(docs, "_gone")
+    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("id").alias(own)).distinct()
+    return docs.join(found, F.col("doc_id") == F.col(own), "left_anti")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
