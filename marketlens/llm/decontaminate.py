@@ -1,34 +1,41 @@
-"""Benchmark decontamination: word-pair seeds, then Smith-Waterman alignment.
-
-Test items are the stated query set; they are taken in blocks of at most about
-``BLOCK_GRAMS`` word pairs, so what a task holds of them is bounded at any size
-of the benchmark. For a block:
-
-1. every document is searched whole for the pairs of neighbouring words of every
-   item, as neighbours or with one other word between them. All pairs are seeds,
-   common or rare: an alignment of half the item's own score or more must hold one.
-   (Without two neighbouring matches, m matches cost m - 1 at least and score m + 1
-   at most; for a score of L, the item's words, L - 1 words or more must match, and
-   all gaps but two or less are then a single inserted word.)
-2. around a seed lies a passage of three to four times the item's words, as far as
-   insertions can move such an alignment. It is left out only if the words that it
-   has in common with the item (``MATCH`` each, ``MISMATCH`` for all between) cannot
-   reach the score;
-3. the passage is aligned with the item word by word (Smith-Waterman, linear gaps).
-   The score is the best local alignment over that of the item with itself;
-   ``MIN_SCORE`` or more is a leak. For ``MIN_SCORE`` (0.5) or more the scores are
-   those of aligning whole documents; under it leaks without a seed are missed.
-
-Texts are never shuffled; the documents are read once for a block of items.
+"""Benchmark decontamination: rare word-pair seeds, an equi-join, then Smith-Waterman alignment.
+
+A leak is a passage whose best local alignment with a test item, word by word, scores at
+least ``MIN_SCORE`` (0.5) of the item's alignment with itself.
+
+1. Items are cut into pairs of neighbouring words. One scan of the documents counts, for
+   each pair, the documents that hold it, as neighbours or with one word between them.
+2. Seeds are the item's rarest pairs. How many of the commonest may be left out follows
+   from the score: an alignment with s pairs of neighbouring matches and u steps over a
+   changed or missing word scores 2s + u + 2 at most and spans s + 2u + 1 words of the item;
+   so any alignment that scores enough holds a least number of pairs (``least_pairs``, about
+   a third of the item's words), and with all but ``least_pairs - SEEDS`` of them as seeds it holds
+   at least ``SEEDS`` seeds. No leak of 0.5 or more is missed, however common its pairs are.
+3. A second scan gives (text hash, pair, places) of the documents' seeds. An equi-join on the
+   pair brings documents and items together; pairs of a text and an item with fewer
+   than ``SEEDS`` places are no candidates.
+4. The candidates' texts are joined by text hash with the words of their items. Around seeds
+   lie passages of three to four times the item's words; one is left out only if the
+   words that it has in common with the item (``MATCH`` each, ``MISMATCH`` for all between)
+   cannot reach the score. The others are aligned (Smith-Waterman, linear gaps).
+
+The scores are those of aligning whole documents (with ``min_score`` under 0.5 leaks without a
+seed are missed). Documents are scanned twice at any size of the benchmark; only candidates'
+texts are shuffled. Items stay in tables. What every task holds of them is a bit filter of
+their pairs, of 2**``FILTER_BITS`` bits at most; beyond that size it lets more pairs through to the
+join and changes no result. A hot pair is folded to one row for each text before the
+join, whose sides are written tables, so adaptive execution can split it.
 
 Words are lower-cased runs of letters and digits; in scripts that are written without
 blanks (``UNSPACED``) each code point is a word.
 
 Defined cases: null and empty texts have no leak; an item without a word never leaks;
 one with fewer than ``MIN_WORDS`` words leaks where it stands whole, word for word
-(score 1); an item without an id is reported under that null id; repeated
-items are reported under each of their ids, repeated documents in each of their
-rows; an empty table on either side gives no rows; extra columns are ignored.
+(score 1), unless ``short_items`` is off; an item without an id is reported under that null
+id; an id may have any type; items of equal words are reported under each of their ids,
+a repeated row of one id once; repeated documents in each of their rows; very long texts and
+items are taken whole; of equally good passages the first counts; an empty table on either
+side gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,14 +45,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import LOWER, U64, WORD_BYTES, buffers, mix, prefix_sums, runs, ship_code, span_hashes
+from marketlens.llm.common import LOWER, U64, WORD_BYTES, buffers, keep, mix, prefix_sums, runs, ship_code, span_hashes
 
-BLOCK_GRAMS = 200_000
 MIN_WORDS = 6
 MIN_SCORE = 0.5
+#: Seeds that a leak holds at least (fewer where its item is too short for that).
+SEEDS = 2
+#: At most 2**28 bits (32 MB) of the items' pairs are sent to tasks.
+FILTER_BITS = 28
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Seeds handled at once, and words of the passages laid out at once.
 SEED_BATCH = 200_000
@@ -104,14 +114,22 @@ def pair_keys(words: np.ndarray, first: np.ndarray, step: int = 1) -> tuple[np.n
     return mix(mix(words[at]) + words[at + step]), at
 
 
+def least_pairs(words: int, min_score: float) -> int:
+    """Pairs of neighbouring matches in any alignment of an item with so many words that scores enough."""
+    for s in range(words):
+        if 2 * s + (words - 1 - s) // 2 * -MISMATCH + MATCH >= min_score * MATCH * words:
+            return s
+    return words - 1
+
+
 @dataclass
 class Items:
-    """A block of items: word hashes end to end, and the sorted table of their pairs."""
+    """Items of a block of texts: word hashes end to end, and the sorted table of their seeds."""
 
     ids: list
     words: np.ndarray
     first: np.ndarray
-    keys: np.ndarray      # distinct pairs, sorted
+    keys: np.ndarray      # distinct seeds, sorted
     begin: np.ndarray     # for each of keys, its first occurrence (one entry more)
     item_of: np.ndarray   # for each occurrence in the order of keys, the item
     word_of: np.ndarray   # and its place in the item
@@ -119,14 +137,18 @@ class Items:
     short: list[tuple[int, np.ndarray, list[np.ndarray]]]  # for items of n words under MIN_WORDS: n, keys, items of each
 
     @staticmethod
-    def of(ids: list, texts: list[str | None]) -> Items:
-        col = pa.array([t or "" for t in texts], pa.string())
-        parts = [text_words(d, off) for _, _, d, off in buffers(col, 1 << 40)]
-        words, first = (parts[0][0], parts[0][3]) if parts else (np.zeros(0, U64), np.zeros(1, np.int64))
+    def of(ids: list, word_lists: list[np.ndarray], seeds: list[np.ndarray]) -> Items:
+        """Items by their word hashes and the keys of the pairs that are seeds."""
+        words = np.concatenate([*word_lists, np.zeros(0, U64)])
+        first = np.concatenate([[0], np.cumsum([len(w) for w in word_lists])]).astype(np.int64)
         pairs, at = pair_keys(words, first)
         item = np.searchsorted(first, at, "right") - 1
-        long = np.diff(first)[item] >= MIN_WORDS
-        order = np.flatnonzero(long)[np.argsort(pairs[long], kind="stable")]
+        seed = np.zeros(len(pairs), bool)
+        ends = np.searchsorted(item, np.arange(len(ids) + 1))
+        for k, own in enumerate(seeds):
+            if first[k + 1] - first[k] >= MIN_WORDS:
+                seed[ends[k]:ends[k + 1]] = np.isin(pairs[ends[k]:ends[k + 1]], own)
+        order = np.flatnonzero(seed)[np.argsort(pairs[seed], kind="stable")]
         keys, begin = np.unique(pairs[order], return_index=True)
         marks = np.full((len(ids), 1 << MARK_BITS), MISMATCH, np.int8)
         marks[np.repeat(np.arange(len(ids)), np.diff(first)), marks_of(words)] = MATCH
@@ -222,9 +244,12 @@ def _batches(width: np.ndarray) -> Iterator[np.ndarray]:
         k += n
 
 
-def leaks_of(words: np.ndarray, first: np.ndarray, items: Items, finder: Finder, min_score: float
+def leaks_of(words: np.ndarray, first: np.ndarray, items: Items, finder: Finder, min_score: float, asked: np.ndarray
              ) -> list[tuple[int, int, float, int, int, int]]:
-    """(text, item, score, first word, end word, seeds) of the leaks in a block of texts."""
+    """(text, item, score, first word, end word, seeds) of the leaks in a block of texts.
+
+    ``asked`` has the candidates as text * items + item, ascending.
+    """
     found: list[tuple[np.ndarray, np.ndarray]] = []
     for step in (1, 2):
         pairs, at = pair_keys(words, first, step)
@@ -240,7 +265,7 @@ def leaks_of(words: np.ndarray, first: np.ndarray, items: Items, finder: Finder,
     a = 0
     while a < len(place):
         b = max(a + 1, int(np.searchsorted(so_far, so_far[a] + SEED_BATCH, "right")) - 1)
-        _leaks_at(place[a:b], key[a:b], words, marks, first, items, min_score, best)
+        _leaks_at(place[a:b], key[a:b], words, marks, first, items, min_score, asked, best)
         a = b
     out = []
     for (doc, item), (score, lo, hi) in best.items():
@@ -250,7 +275,7 @@ def leaks_of(words: np.ndarray, first: np.ndarray, items: Items, finder: Finder,
     return out
 
 
-def short_leaks_of(words: np.ndarray, first: np.ndarray, items: Items, finders: list[Finder]
+def short_leaks_of(words: np.ndarray, first: np.ndarray, items: Items, finders: list[Finder], asked: np.ndarray
                    ) -> list[tuple[int, int, float, int, int, int]]:
     """Like ``leaks_of`` for the items of fewer than MIN_WORDS words, each where it first stands whole."""
     out = []
@@ -260,18 +285,28 @@ def short_leaks_of(words: np.ndarray, first: np.ndarray, items: Items, finders:
         doc = np.searchsorted(first, at[hit], "right") - 1
         _, once = np.unique(doc * len(owners) + key, return_index=True)
         out += [(int(doc[i]), int(item), 1.0, int(at[hit[i]]), int(at[hit[i]]) + n, n - 1)
-                for i in once.tolist() for item in owners[key[i]]]
+                for i in once.tolist() for item in owners[key[i]] if _among(doc[i] * len(items.ids) + item, asked)]
     return out
 
 
+def _among(values, sorted_values: np.ndarray):
+    """Which values are among the sorted ones."""
+    at = np.minimum(np.searchsorted(sorted_values, values), len(sorted_values) - 1)
+    return sorted_values[at] == values
+
+
 def _leaks_at(place: np.ndarray, key: np.ndarray, words: np.ndarray, marks: np.ndarray, first: np.ndarray, items: Items,
-              min_score: float, best: dict[tuple[int, int], tuple]) -> None:
+              min_score: float, asked: np.ndarray, best: dict[tuple[int, int], tuple]) -> None:
     """Puts (score, first word, end word) of the leaks at some seeds into ``best`` by (text, item)."""
     per = items.begin[key + 1] - items.begin[key]
     occ = np.repeat(items.begin[key] - (np.cumsum(per) - per), per) + np.arange(per.sum())
     place = np.repeat(place, per)
     doc = np.searchsorted(first, place, "right") - 1
     item, start = items.item_of[occ], place - items.word_of[occ]
+    wanted = _among(doc * len(items.ids) + item, asked)
+    if not wanted.any():
+        return
+    doc, item, start = doc[wanted], item[wanted], start[wanted]
     size = np.diff(items.first)[item]
     # seeds of an item whose passages begin in the same stretch, as long as the item, share one alignment
     tile = (start - first[doc]) // size
@@ -311,58 +346,183 @@ def _leaks_at(place: np.ndarray, key: np.ndarray, words: np.ndarray, marks: np.n
                 best[name] = row
 
 
-def _search(items: Items, min_score: float):
+# -- on Spark --------------------------------------------------------------------------
+
+def _signed(values: np.ndarray) -> pa.Array:
+    return pa.array(np.ascontiguousarray(values).view(np.int64), pa.int64())
+
+
+def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (item_id, text) into (item_id, item, n, words); item is a hash of the words."""
+    for batch in batches:
+        for a, b, data, off in buffers(batch.column(1), BLOCK):
+            words, _, _, first = text_words(data, off)
+            n = np.diff(first)
+            some = np.flatnonzero(n)
+            if not len(some):
+                continue
+            turn = (np.arange(len(words)) - np.repeat(first[:-1], n)).astype(U64)
+            item = mix(np.add.reduceat(mix(words + mix(turn)), first[some]) + n[some].astype(U64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(a, b - a).take(pa.array(some)), _signed(item), pa.array(n[some], pa.int32()),
+                 pa.array([words[first[k]:first[k + 1]].tobytes() for k in some], pa.binary())], ["item_id", "item", "n", "words"])
+
+
+def _item_pairs(min_score: float):
+    """Rows (item, words) into the item's pairs: (key, item, place, spare, need); a short item has one key."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = np.frombuffer(raw, U64)
+                n = len(words)
+                keys, _ = run_keys(words, np.array([0, n]), 2 if n >= MIN_WORDS else n)
+                least = max(1, least_pairs(n, min_score)) if n >= MIN_WORDS else 1
+                need = min(SEEDS, least)
+                same = lambda v, t: pa.array(np.full(len(keys), v), t)
+                yield pa.RecordBatch.from_arrays(
+                    [_signed(keys), same(item, pa.int64()), pa.array(np.arange(len(keys)), pa.int32()),
+                     same(least - need, pa.int32()), same(need, pa.int32()), same(n, pa.int32())],
+                    ["key", "item", "place", "spare", "need", "n"])
+    return run
+
+
+class Filter:
+    """The leading bits of a set of keys; other keys may pass, none of the set is lost."""
+
+    def __init__(self, keys: DataFrame):
+        many = keys.count()
+        self.bits = min(FILTER_BITS, max(16, int(many * 16).bit_length()))
+        lead = F.shiftrightunsigned("key", 64 - self.bits) + 1  # bitmaps count from 1
+        rows = keys.select(lead.alias("lead")).groupBy(F.bitmap_bucket_number("lead").alias("bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("lead")).alias("bits")).collect()
+        packed = np.zeros(max(1, (1 << self.bits) // 32768) * 4096, np.uint8)
+        for r in rows:
+            packed[(r.bucket - 1) * 4096:r.bucket * 4096] = np.frombuffer(bytes(r.bits), np.uint8)
+        self.packed = packed
+
+    def passing(self, keys: np.ndarray) -> np.ndarray:
+        at = keys >> U64(64 - self.bits)
+        return np.flatnonzero(self.packed[(at >> U64(3)).astype(np.intp)] >> (at & U64(7)).astype(np.uint8) & 1)
+
+
+def _passing(words: np.ndarray, first: np.ndarray, known: Filter, lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Texts and keys of the pairs, and of the runs of some lengths, that pass."""
+    texts, found = [], []
+    for keys, at in [*(pair_keys(words, first, step) for step in (1, 2)), *(run_keys(words, first, n) for n in lengths)]:
+        ok = known.passing(keys)
+        texts.append(np.searchsorted(first, at[ok], "right") - 1)
+        found.append(keys[ok])
+    return np.concatenate(texts), np.concatenate(found)
+
+
+def _folded(texts: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (text, key), and how often each is there."""
+    order = np.lexsort((texts, keys))
+    texts, keys = texts[order], keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (texts[1:] != texts[:-1])
+    head = np.flatnonzero(new)
+    return texts[head], keys[head], np.diff(np.append(head, len(keys)))
+
+
+def _doc_counts(known: Filter):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, off in buffers(batch.column(0), BLOCK):
+                words, _, _, first = text_words(data, off)
+                _, keys, _ = _folded(*_passing(words, first, known, []))
+                keys, n = np.unique(keys, return_counts=True)
+                yield pa.RecordBatch.from_arrays([_signed(keys), pa.array(n, pa.int64())], ["key", "docs"])
+    return run
+
+
+def _hits(known: Filter, lengths: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder, whole = Finder(items.keys), [Finder(keys) for _, keys, _ in items.short]
         for batch in batches:
-            row, item, score, lo, hi, n = [], [], [], [], [], []
             for a, _, data, off in buffers(batch.column(1), BLOCK):
+                words, _, _, first = text_words(data, off)
+                text, keys, n = _folded(*_passing(words, first, known, lengths))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(a + text)), _signed(keys), pa.array(n, pa.int64())], ["text_hash", "key", "n"])
+    return run
+
+
+def _aligned(min_score: float):
+    """Rows (id, text, items: [(item, words, keys)]) into (id, item, score, span_start, span_end, seeds)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, item, score, lo, hi, n = [], [], [], [], [], []
+            for a, b, data, off in buffers(batch.column(1), BLOCK):
+                number: dict[int, int] = {}
+                ids, word_lists, seeds, asked = [], [], [], []
+                for doc, own in enumerate(batch.column(2).slice(a, b - a).to_pylist()):
+                    for it in own:
+                        if it["item"] not in number:
+                            number[it["item"]] = len(ids)
+                            ids.append(it["item"])
+                            word_lists.append(np.frombuffer(it["words"], U64))
+                            seeds.append(np.array(it["keys"], np.int64).view(U64))
+                        asked.append((doc, number[it["item"]]))
+                items = Items.of(ids, word_lists, seeds)
+                wanted = np.unique(np.array([d * len(ids) + k for d, k in asked], np.int64))
                 words, starts, ends, first = text_words(data, off)
-                chars = None
-                rows = leaks_of(words, first, items, finder, min_score) if len(items.keys) else []
-                for doc, it, sc, w0, w1, seeds in rows + short_leaks_of(words, first, items, whole):
-                    if chars is None:
-                        chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+                rows = leaks_of(words, first, items, Finder(items.keys), min_score, wanted) if len(items.keys) else []
+                rows += short_leaks_of(words, first, items, [Finder(keys) for _, keys, _ in items.short], wanted)
+                chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+                for doc, it, sc, w0, w1, many in rows:
                     base = chars[off[doc]]
                     row.append(a + doc)
                     item.append(items.ids[it])
                     score.append(sc)
                     lo.append(int(chars[starts[w0]] - base))
                     hi.append(int(chars[ends[max(w0, w1 - 1)]] - base))
-                    n.append(seeds)
+                    n.append(many)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(row, pa.int64())), pa.array(item, pa.int64()), pa.array(score, pa.float64()),
                  pa.array(lo, pa.int64()), pa.array(hi, pa.int64()), pa.array(n, pa.int32())],
-                ["id", "item_id", "score", "span_start", "span_end", "seeds"])
+                ["id", "item", "score", "span_start", "span_end", "seeds"])
     return run
 
 
+def rare_seeds(texts: DataFrame, items: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+    """(key, item, need) of each item's seeds, for ``items`` (item, n, words) and ``texts`` (text)."""
+    pairs = keep(items.select("item", "words").mapInArrow(
+        _item_pairs(min_score), "key long, item long, place int, spare int, need int, n int"), "item_pairs")
+    long = pairs.where(F.col("n") >= MIN_WORDS)
+    docs = texts.mapInArrow(_doc_counts(Filter(long)), "key long, docs long").groupBy("key").agg(F.sum("docs").alias("docs"))
+    ranked = long.join(docs, "key", "left").withColumn("common", F.row_number().over(
+        Window.partitionBy("item").orderBy(F.col("docs").desc_nulls_last(), "place")))
+    rare = ranked.where("common > spare AND docs IS NOT NULL")  # a pair of no document joins nothing
+    return rare.select("key", "item", "need").unionByName(pairs.where(F.col("n") < MIN_WORDS).select("key", "item", "need")).distinct()
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          min_score: float = MIN_SCORE, block_grams: int = BLOCK_GRAMS) -> DataFrame:
+          min_score: float = MIN_SCORE, short_items: bool = True) -> DataFrame:
     """(id, item_id, score, span_start, span_end, seeds): each item's best leak in each document.
 
-    The span is in code points of the text; seeds are the words of it at which a pair of the item begins.
+    The span is in code points of the text; seeds are the words of it at which a seed of the
+    item begins (for a short item, its words less one).
     """
-    spark = docs.sparkSession
-    ship_code(spark)
+    ship_code(docs.sparkSession)
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text IS NOT NULL")
-    kind = plain.schema["id"].dataType.simpleString()
-    tests = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")).where("text IS NOT NULL")
-    chars = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-chars // (block_grams * 3)))  # a word and its blank are three bytes at least, mostly
-    out = None
-    for b in range(blocks):
-        own = sorted(((r.item_id, r.text) for r in tests.where(
-            F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-        items = Items.of([i for i, _ in own], [t for _, t in own])
-        if not len(items.keys) and not items.short:
-            continue
-        part = plain.mapInArrow(_search(items, min_score),
-                                f"id {kind}, item_id long, score double, span_start long, span_end long, seeds int")
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        return spark.createDataFrame([], f"id {kind}, item_id long, score double, span_start long, span_end long, seeds int")
-    return out
+    kind, item_kind = plain.schema["id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
+    tests = benchmark.select("item_id", "text").where("text IS NOT NULL").mapInArrow(
+        _item_words, f"item_id {item_kind}, item long, n int, words binary")
+    tests = keep(tests if short_items else tests.where(F.col("n") >= MIN_WORDS), "items")
+    names, items = tests.select("item", "item_id").distinct(), tests.dropDuplicates(["item"]).select("item", "n", "words")
+    seeds = keep(rare_seeds(plain.select("text"), items, min_score), "seeds")
+    lengths = sorted(r.n for r in items.where((F.col("n") < MIN_WORDS) & (F.col("n") != 2)).select("n").distinct().collect())
+    hits = plain.select(F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+        _hits(Filter(seeds), lengths), "text_hash long, key long, n long")
+    hits = keep(hits.groupBy("text_hash", "key").agg(F.max("n").alias("n")), "hits")
+    pairs = hits.join(seeds, "key").groupBy("text_hash", "item").agg(F.sum("n").alias("n"), F.max("need").alias("need"))
+    pairs = pairs.where("n >= need").select("text_hash", "item")
+    own = items.join(seeds.groupBy("item").agg(F.collect_list("key").alias("keys")), "item")
+    asked = pairs.join(own, "item").groupBy("text_hash").agg(F.collect_list(F.struct("item", "words", "keys")).alias("items"))
+    asked = keep(asked, "candidates")
+    found = plain.withColumn("text_hash", F.xxhash64("text")).join(asked, "text_hash").select("id", "text", "items").mapInArrow(
+        _aligned(min_score), f"id {kind}, item long, score double, span_start long, span_end long, seeds int")
+    return found.join(names, "item").select("id", "item_id", "score", "span_start", "span_end", "seeds")
 
 
 def leak_digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -597,7 +597,8 @@ def test_leaks_exact_edited_and_none(spark, awkward, empty):
     for r in got:
         if r.doc_id % 4 == 1:
             assert texts[r.doc_id][r.span_start:r.span_end] == items[r.item_id] and r.score == 1
-    assert {(r.id, r.item_id) for r in decontaminate.leaks(d, bench, block_grams=60).collect()} == want
+    few = [r for r in decontaminate.leaks(d, bench.withColumn("item_id", F.concat(F.lit("t"), "item_id")), short_items=False).collect()]
+    assert {(r.id, r.item_id) for r in few} == {(i, f"t{k}") for i, k in want}
     assert decontaminate.leak_digest(awkward, bench).count() == 0
     assert decontaminate.leak_digest(empty, bench).count() == 0
     assert decontaminate.leak_digest(d, bench.limit(0)).count() == 0
@@ -639,6 +640,46 @@ def test_edited_copies_beside_whole_copies_are_found(spark):
         assert r.score == full / (decontaminate.MATCH * a.size) and decontaminate.align(a, c)[0][0] == full
 
 
+def test_least_pairs_by_trying_all_alignments():
+    """Best score for each number of pairs, over all ways to step through an item."""
+    for words in range(1, 40):
+        best = {(0, 0): decontaminate.MATCH}  # (place of the last match, pairs): score
+        for at in range(words):
+            for pairs in range(at + 1):
+                if (at, pairs) in best:
+                    for step in range(1, words - at):
+                        key = (at + step, pairs + (step == 1))
+                        value = best[at, pairs] + decontaminate.MATCH + decontaminate.MISMATCH * (step - 1)
+                        best[key] = max(best.get(key, -99), value)
+        for share in (0.5, 0.7, 0.95):
+            enough = [p for (_, p), v in best.items() if v >= share * decontaminate.MATCH * words]
+            assert decontaminate.least_pairs(words, share) == min(enough), (words, share)
+
+
+def test_seeds_are_the_rarest_pairs(spark):
+    rng = random.Random(31)
+    item = [f"w{k}" for k in range(30)]
+    spare = decontaminate.least_pairs(30, 0.5) - decontaminate.SEEDS
+    common = sorted(rng.sample(range(29), spare))
+    texts = [" ".join(item)] + [f"x{i} {item[k]} {item[k + 1]} y" for k in common for i in range(3)]
+    texts.append(" ".join(w if k % 4 else "other" for k, w in enumerate(item)))
+    tests = docs_frame(spark, [" ".join(item)]).select(F.col("doc_id").alias("item_id"), "text").mapInArrow(
+        decontaminate._item_words, "item_id long, item long, n int, words binary")
+    seeds = decontaminate.rare_seeds(docs_frame(spark, texts).select("text"), tests.select("item", "n", "words")).collect()
+    data = np.frombuffer(texts[0].encode(), np.uint8)
+    words, _, _, first = decontaminate.text_words(data, np.array([0, len(data)]))
+    keys = decontaminate.pair_keys(words, first)[0].view(np.int64)
+    assert {r.key for r in seeds} == {int(keys[k]) for k in range(29) if k not in common}
+
+
+def test_leak_in_repeated_words(spark):
+    """A text of one word over and over against an item of it: places, not pairs of places, are gathered."""
+    d = docs_frame(spark, ["go " * 50_000, "go " * 5, "x " + "go " * 20 + "y"])
+    bench = spark.createDataFrame([(1, "go " * 20), (1, "go " * 20)], "item_id long, text string")
+    got = decontaminate.leak_digest(d, bench).collect()
+    assert sorted((r.doc_id, r.score) for r in got) == [(0, 1.0), (2, 1.0)]
+
+
 def test_leaks_of_unspaced_scripts_short_items_and_null_ids(spark):
     rng = random.Random(20)
     items = [(1, "東京は日本の首都であり世界最大の都市の一つです"), (2, "two words"), (3, "Word"), (None, syllables(rng, 20)),
