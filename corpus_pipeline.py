@@ -43,9 +43,9 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of the benchmark go."""
+    """Documents that hold a passage of the benchmark go; an item of a few words is no passage."""
     [own] = unused(docs, "_gone")
-    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("id").alias(own)).distinct()
+    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"), short_items=False).select(F.col("id").alias(own)).distinct()
     return docs.join(found, F.col("doc_id") == F.col(own), "left_anti")
 
 
