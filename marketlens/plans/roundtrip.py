@@ -23,9 +23,9 @@ from marketlens.sources.zonemaps import read_between, write_clustered, zone_map
 
 
 def csv_roundtrip(spark: SparkSession, df: DataFrame, multi_line: bool = False) -> DataFrame:
-    """Write CSV (header, quoted newlines / quotes) and read it back typed."""
+    """Write CSV (header, quoted newlines / quotes, compressed) and read it back typed."""
     path = scratch_path(spark, "csv")
-    write_csv(df, path, null_value=CSV_NULL)
+    write_csv(df, path, null_value=CSV_NULL, codec="gzip")
     return read_csv(spark, path, df.schema, null_value=CSV_NULL, multi_line=multi_line)
 
 
@@ -50,9 +50,9 @@ def csv_good_and_bad(spark: SparkSession, payments: DataFrame, every: int) -> Da
 
 
 def json_roundtrip(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Write JSON lines and read them back with the same schema."""
+    """Write JSON lines, compressed, and read them back with the same schema."""
     path = scratch_path(spark, "json")
-    write_json(df, path)
+    write_json(df, path, codec="gzip")
     return read_json(spark, path, df.schema)
 
 

@@ -34,21 +34,32 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | tuple = (),
     return path
 
 
-def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """JSON-lines files (one object per row)."""
-    df.write.mode(mode).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").json(path)
+# Rows of one compressed text file: such a file is read by one task.
+TEXT_ROWS = 500_000
+
+
+def write_json(df: DataFrame, path: str, mode: str = "overwrite", codec: str = "none") -> str:
+    """JSON-lines files (one object per row); compressed ones hold ``TEXT_ROWS`` rows at most."""
+    (_text_writer(df, mode, codec)
+     .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").json(path))
     return path
 
 
+def _text_writer(df: DataFrame, mode: str, codec: str):
+    w = df.write.mode(mode).option("compression", codec)
+    return w if codec == "none" else w.option("maxRecordsPerFile", TEXT_ROWS)
+
+
 # NULL marker of the CSV files we write ourselves: an empty string is written
 # as "" and NULL as \N, so the two stay distinct after a round trip.
 CSV_NULL = "\\N"
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_value: str = CSV_NULL) -> str:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_value: str = CSV_NULL,
+              codec: str = "none") -> str:
     """CSV with a header row; quotes and embedded newlines are escaped,
-    surrounding whitespace is kept."""
-    (df.write.mode(mode).option("header", True).option("escape", '"')
+    surrounding whitespace is kept. Compressed files hold ``TEXT_ROWS`` rows at most."""
+    (_text_writer(df, mode, codec).option("header", True).option("escape", '"')
      .option("nullValue", null_value).option("emptyValue", '""')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path))
