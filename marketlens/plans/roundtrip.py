@@ -11,14 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.schemas import LAYOUT
+from marketlens.schemas import LAYOUT, TABLES
 from marketlens.operators.distinct import keep_bitmaps
 from marketlens.session import scratch_path
 from marketlens.sinks.parquet import CSV_NULL, write_csv, write_json
 from marketlens.sinks.snapshots import read_current, refresh
 from marketlens.sources import catalog as C
 from marketlens.sources.files import read_csv, read_csv_checked, read_csv_in_splits, read_json
-from marketlens.sources.warehouse import Tables
+from marketlens.sources.warehouse import Tables, TablesOnDemand
 from marketlens.sources.zonemaps import read_between, write_clustered, zone_map
 
 
@@ -136,14 +136,26 @@ def refreshed(spark: SparkSession, t: Tables) -> DataFrame:
     return read_current(spark, root, "orders")
 
 
-def bucketed_tables(spark: SparkSession, t: Tables, key: str, buckets: int = 16) -> Tables:
-    """The tables with ``key`` bucketed by it, so that joins on it move no rows; others as they are."""
+# Rows of the orders that one bucket is planned for, so that its task sorts them in memory; least count of buckets.
+BUCKET_ROWS = 2_000_000
+LEAST_BUCKETS = 16
+
+
+def bucketed_tables(spark: SparkSession, t: Tables, key: str, buckets: int | None = None) -> Tables:
+    """The tables with ``key`` bucketed by it, so that joins on it move no rows; others as they are.
+
+    A table is bucketed when it is first asked for. All have the same count of buckets: by
+    the rows of the orders, the largest table, where none is given."""
     db = C.new_namespace(spark)
-    frames = t.as_dict()
-    for name, df in frames.items():
-        if key in df.columns:
-            frames[name] = spark.table(C.save_bucketed(df, f"{db}.{name}", [key], buckets, LAYOUT[name]["codec"]))
-    return Tables(**frames, root=t.root)
+    buckets = buckets or max(LEAST_BUCKETS, -(-t.orders.count() // BUCKET_ROWS))
+
+    def make(name: str) -> DataFrame:
+        df = getattr(t, name)
+        if key not in df.columns:
+            return df
+        return spark.table(C.save_bucketed(df, f"{db}.{name}", [key], buckets, LAYOUT[name]["codec"]))
+
+    return TablesOnDemand({n: lambda n=n: make(n) for n in TABLES}, lambda: t.root)
 
 
 def zone_pruned_orders(spark: SparkSession, t: Tables, low: str, high: str) -> DataFrame:

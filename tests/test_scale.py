@@ -3,9 +3,16 @@
 from __future__ import annotations
 
 
+import os
+
+import pytest
+
 from marketlens.plans import measure as M
+from marketlens.plans import reports as R
 from marketlens.plans import roundtrip as RT
 from marketlens.sinks import parquet as P
+from marketlens.sources import warehouse as W
+from marketlens.sources.testdata import raw_inputs
 
 
 def _sizes(spark, path):
@@ -32,3 +39,43 @@ def test_text_round_trips_are_compressed_and_whole(spark, tables):
         assert all(f.endswith(".gz") for f in back.inputFiles())
         was = tables.orders if "price" in back.columns else tables.reviews
         assert back.exceptAll(was).count() == 0 and back.count() == was.count()
+
+
+def test_a_query_converts_only_the_tables_it_reads(spark, tmp_path):
+    """Each once, whatever asks for it; the folder is named when it is whole."""
+    out = str(tmp_path / "w")
+    t = W.converted_on_demand(spark, raw_inputs(spark, "/root/testdata/sf0.001"), out)
+    made = lambda: set(os.listdir(out)) if os.path.isdir(out) else set()
+    assert made() == set()
+    assert t.reviews.count() > 0 and made() == {"reviews"}
+    assert t.products_flat.count() > 0 and made() == {"reviews", "products"}
+    before = sorted(_sizes(spark, f"{out}/reviews"))
+    assert t.root == out and made() == set(W.TABLES)
+    assert sorted(_sizes(spark, f"{out}/reviews")) == before and t.reviews is t.as_dict()["reviews"]
+    with pytest.raises(AttributeError):
+        t.no_such_table
+
+
+def test_a_table_that_fails_to_convert_is_tried_again(spark):
+    calls = []
+
+    def make():
+        calls.append(1)
+        if len(calls) == 1:
+            raise ValueError("first")
+        return spark.range(1)
+    t = W.TablesOnDemand(dict.fromkeys(W.TABLES, make), lambda: None)
+    with pytest.raises(ValueError):
+        t.orders
+    assert t.orders.count() == 1 and len(calls) == 2
+
+
+def test_buckets_follow_the_rows(spark, tables, monkeypatch):
+    monkeypatch.setattr(RT, "BUCKET_ROWS", 100)
+    t = RT.bucketed_tables(spark, tables, "customer_id")
+    want = -(-tables.orders.count() // 100)
+    for name in ("orders", "customers"):
+        files = getattr(t, name).inputFiles()
+        numbers = {int(f.rsplit("_", 1)[1].split(".")[0]) for f in files}
+        assert want > 30 and max(numbers) > want // 2 and max(numbers) < want
+    assert R.geo_revenue(t).collect() == R.geo_revenue(tables).collect()
