@@ -76,8 +76,9 @@ def first_non_null_by(value: str, order_cols: list[str]) -> Column:
 
     Built as ``min(struct(order..., value))`` so partial aggregation applies.
     """
-    key = F.struct(*[F.col(c) for c in order_cols], F.col(value).alias("__v"))
-    return F.min(F.when(F.col(value).isNotNull(), key)).getField("__v")
+    # a value that is a sort column already is not held twice
+    kept = [F.col(c) for c in order_cols] + ([] if value in order_cols else [F.col(value)])
+    return F.min(F.when(F.col(value).isNotNull(), F.struct(*kept))).getField(value)
 
 
 def nan_to_null(c) -> Column:
