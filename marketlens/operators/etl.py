@@ -67,9 +67,11 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
 def convert_orders(orders: DataFrame, items: DataFrame, payments: DataFrame) -> DataFrame:
     """Denormalised order-item table, partitioned later by year and month."""
     head = materialize(orders.join(payments_per_order(nan_free(payments)), "order_id", "left"), "order-heads")
-    with_items = nan_free(items.select("order_id", *ITEM_COLUMNS)).join(head, "order_id")
+    # both joins deal the heads alike (null-safe, null keys of items left out): they are moved once
+    own = nan_free(items.select("order_id", *ITEM_COLUMNS)).where(F.col("order_id").isNotNull())
     keys = items.where(F.col("order_id").isNotNull()).select("order_id").distinct()
-    without_items = head.join(keys, "order_id", "left_anti")
+    with_items = own.join(head, own["order_id"].eqNullSafe(head["order_id"])).drop(own["order_id"])
+    without_items = head.join(keys, head["order_id"].eqNullSafe(keys["order_id"]), "left_anti")
     for c in ITEM_COLUMNS:
         without_items = without_items.withColumn(c, F.lit(None).cast(items.schema[c].dataType))
     wide = with_items.unionByName(without_items)

@@ -84,7 +84,7 @@ def external_tables(spark: SparkSession, t: Tables) -> dict[str, str]:
 
 def managed_load(spark: SparkSession, t: Tables, name: str) -> DataFrame:
     """Typed load of one converted dataset into a managed table (NaN as NULL)."""
-    return managed_table(spark, t.as_dict()[name], name)
+    return managed_table(spark, getattr(t, name), name)
 
 
 def plain_append(spark: SparkSession, t: Tables, runs: int = 2) -> DataFrame:
