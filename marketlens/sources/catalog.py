@@ -112,11 +112,36 @@ def insert_idempotent(spark: SparkSession, df: DataFrame, fq_table: str) -> None
     # decides), so the staged rows are written through a session of their own
     # with the same catalog; other writers of this session are not touched.
     path = scratch_path(spark, "load")
-    df.select(*spark.table(fq_table).columns).write.parquet(path)
+    _stage(df.select(*spark.table(fq_table).columns), path)
+    _insert_staged(spark, path, fq_table)
+
+
+# Rows of a staged file at most, and rows that a file of a table should have where its partition has enough.
+STAGED_ROWS = 1_000_000
+FILE_ROWS = 500_000
+
+
+def _stage(df: DataFrame, path: str) -> None:
+    df.write.option("compression", "zstd").option("maxRecordsPerFile", STAGED_ROWS).parquet(path)
+
+
+def _insert_staged(spark: SparkSession, path: str, fq_table: str) -> None:
+    """Replace the partitions that the staged rows belong to. Rows that lie by partition are not moved again."""
     own = spark.newSession()
     own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    own.conf.set("spark.sql.files.maxPartitionBytes", "64m")
     staged = own.read.schema(spark.table(fq_table).schema).parquet(path)
-    _shaped(staged, fq_table).write.insertInto(fq_table, overwrite=True)
+    parts = [c.name for c in spark.catalog.listColumns(fq_table) if c.isPartition]
+    _shaped(staged, fq_table, rebalance=not lies_by_partition(staged, parts)).write.insertInto(fq_table, overwrite=True)
+
+
+def lies_by_partition(staged: DataFrame, parts: list[str]) -> bool:
+    """True if the files of ``staged`` hold few partitions each: written as they lie, a partition gets four files
+    on average, or files of ``FILE_ROWS`` rows."""
+    pieces = staged.groupBy(*parts, F.col("_metadata.file_path").alias("_file")).agg(F.count(F.lit(1)).alias("_n"))
+    n = pieces.agg(F.count(F.lit(1)).alias("pieces"), F.sum("_n").alias("rows")).first()
+    partitions = pieces.select(*parts).distinct().count()
+    return n["pieces"] <= 4 * partitions + (n["rows"] or 0) // FILE_ROWS
 
 
 def _same(a: DataFrame, b: DataFrame, cols: list[str]) -> Column:
@@ -134,7 +159,8 @@ def merge_by_key(spark: SparkSession, df: DataFrame, fq_table: str, keys: list[s
 
     Null keys are a key like others; columns of ``df`` beyond the table's are ignored; an
     empty load changes nothing; a partition that loses its last row is dropped. The keys are
-    looked up with the key and partition columns only. Two merges into one table must not
+    looked up with the key and partition columns only; the rows to be replaced go to all tasks as
+    one bit for each row of the touched files (an eighth of a MB for a million rows). Two merges into one table must not
     run at once; readers may see some partitions new and others old.
     """
     target = spark.table(fq_table)
@@ -143,21 +169,28 @@ def merge_by_key(spark: SparkSession, df: DataFrame, fq_table: str, keys: list[s
         raise ValueError(f"{fq_table} has no partitions")
     new = materialize(df.select(*target.columns), "merge_load")
     new_keys = materialize(new.select(*keys).distinct(), "merge_keys")
-    held = target.select(*dict.fromkeys([*keys, *parts]))
-    touched = materialize(held.join(new_keys, _same(held, new_keys, keys), "left_semi").select(*parts)
-                          .union(new.select(*parts)).distinct(), "merge_partitions")
+    file, at = F.col("_metadata.file_path").alias("_file"), (F.col("_metadata.row_index") + 1).alias("_at")
+    held = target.select(*dict.fromkeys([*keys, *parts]), file, at)
+    # the replaced rows as a bitmap for each file: the other rows are read where they lie, not joined by key
+    gone = materialize(held.join(new_keys, _same(held, new_keys, keys), "left_semi").groupBy(
+        *parts, "_file", F.bitmap_bucket_number("_at").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_at")).alias("_bits")), "merge_gone")
+    touched = materialize(gone.select(*parts).union(new.select(*parts)).distinct(), "merge_partitions")
     # the partitions are joined by plain equality, which lets Spark prune them; null ones by a filter
-    old = target.join(touched, parts, "left_semi").select(*target.columns)
+    placed = target.select(*target.columns, file, at)
+    old = placed.join(touched, parts, "left_semi").select(*placed.columns)
     without_value = reduce(lambda x, y: x | y, [F.col(c).isNull() for c in parts])
     if touched.where(without_value).limit(1).count():
-        hidden = target.where(without_value)
+        hidden = placed.where(without_value)
         old = old.unionByName(hidden.join(touched, _same(hidden, touched, parts), "left_semi"))
+    marked = old.withColumn("_bucket", F.bitmap_bucket_number("_at")).join(
+        F.broadcast(gone.select("_file", "_bucket", "_bits")), ["_file", "_bucket"], "left")
+    byte = "CAST(conv(hex(substring(_bits, CAST(bitmap_bit_position(_at) DIV 8 AS INT) + 1, 1)), 16, 10) AS INT)"
+    kept = marked.where(f"_bits IS NULL OR getbit({byte}, CAST(bitmap_bit_position(_at) % 8 AS INT)) = 0")
     path = scratch_path(spark, "merge_rows")
-    old.join(new_keys, _same(old, new_keys, keys), "left_anti").unionByName(new).write.parquet(path)
+    _stage(kept.select(*target.columns).unionByName(new), path)
     staged = spark.read.schema(target.schema).parquet(path)
-    own = spark.newSession()
-    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    _shaped(own.read.schema(target.schema).parquet(path), fq_table).write.insertInto(fq_table, overwrite=True)
+    _insert_staged(spark, path, fq_table)
     emptied = touched.join(staged.select(*parts).distinct(), parts, "left_anti").where(~without_value).collect()
     for row in emptied:  # partitions that lost their last row
         spec = ", ".join(f"{c} = '{row[c]}'" for c in parts)
@@ -165,11 +198,12 @@ def merge_by_key(spark: SparkSession, df: DataFrame, fq_table: str, keys: list[s
     spark.catalog.refreshTable(fq_table)
 
 
-def _shaped(df: DataFrame, fq_table: str) -> DataFrame:
-    """Columns of the target, rebalanced by its partitions (few files each)."""
+def _shaped(df: DataFrame, fq_table: str, rebalance: bool = True) -> DataFrame:
+    """Columns of the target, rebalanced by its partitions (few files each) where they do not lie so already."""
     columns = df.sparkSession.catalog.listColumns(fq_table)
     parts = [c.name for c in columns if c.isPartition]
-    return nan_free(df).select(*[c.name for c in columns]).hint("rebalance", *parts)
+    shaped = nan_free(df).select(*[c.name for c in columns])
+    return shaped.hint("rebalance", *parts) if rebalance else shaped
 
 
 def insert_append(df: DataFrame, fq_table: str) -> None:

@@ -6,11 +6,13 @@ from __future__ import annotations
 import os
 
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 
 from marketlens.plans import measure as M
 from marketlens.plans import reports as R
 from marketlens.plans import roundtrip as RT
 from marketlens.sinks import parquet as P
+from marketlens.sources import catalog as C
 from marketlens.sources import warehouse as W
 from marketlens.sources.testdata import raw_inputs
 
@@ -79,3 +81,42 @@ def test_buckets_follow_the_rows(spark, tables, monkeypatch):
         numbers = {int(f.rsplit("_", 1)[1].split(".")[0]) for f in files}
         assert want > 30 and max(numbers) > want // 2 and max(numbers) < want
     assert R.geo_revenue(t).collect() == R.geo_revenue(tables).collect()
+
+
+def _rebalanced(monkeypatch):
+    asked, kind = [], DataFrame
+    plain = kind.hint
+    monkeypatch.setattr(kind, "hint", lambda self, name, *a: asked.append(name) or plain(self, name, *a))
+    return asked
+
+
+def test_rows_that_lie_by_partition_are_not_moved_again(spark, tables, monkeypatch):
+    """Loads and merges of orders read from their own layout: whole, few files, no second shuffle of the rows."""
+    fq = C.save_managed(tables.orders, f"{C.new_namespace(spark)}.orders", ["year", "month"])
+    partitions = tables.orders.select("year", "month").distinct().count()
+    asked = _rebalanced(monkeypatch)
+    C.insert_idempotent(spark, tables.orders, fq)
+    C.merge_by_key(spark, tables.orders.where("order_id % 2 = 0"), fq, ["order_id"])
+    assert asked == [] and len(spark.table(fq).inputFiles()) <= 5 * partitions
+    out = spark.table(fq).select(tables.orders.columns)
+    assert out.count() == tables.orders.count() and out.exceptAll(tables.orders).count() == 0
+
+
+def test_scattered_loads_are_still_rebalanced(spark, monkeypatch):
+    rows = spark.range(4000, numPartitions=16).selectExpr("id AS order_id", "2017 AS year", "CAST(id % 3 AS INT) AS month")
+    fq = C.save_managed(rows, f"{C.new_namespace(spark)}.t", ["year", "month"])
+    asked = _rebalanced(monkeypatch)
+    C.insert_idempotent(spark, rows, fq)
+    assert asked == ["rebalance"] and len(spark.table(fq).inputFiles()) == 3 and spark.table(fq).count() == 4000
+
+
+def test_merge_of_many_rows_finds_each_by_its_place(spark):
+    """More rows in a file than one bitmap holds, keys that come twice or are null."""
+    n = 80_000
+    rows = spark.range(n).selectExpr("IF(id % 1000 = 999, NULL, id DIV 2) AS order_id", "'old' AS v", "2017 AS year", "1 AS month")
+    fq = C.save_managed(rows.coalesce(1), f"{C.new_namespace(spark)}.t", ["year", "month"])
+    load = spark.range(0, n // 2, 7).selectExpr("id AS order_id", "'new' AS v", "2017 AS year", "1 AS month")
+    C.merge_by_key(spark, load, fq, ["order_id"])
+    want = rows.where("order_id IS NULL OR order_id % 7 <> 0").unionByName(load)
+    got = spark.table(fq).select(rows.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
