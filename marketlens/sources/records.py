@@ -63,9 +63,9 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     parts = placed.where(~whole).select("file", F.col("of.split").alias("of_split"), F.col("of.line").alias("of_line"),
                                         "split", "line", "value", header.alias("header"))
     joined = parts.groupBy("file", "of_split", "of_line").agg(
-        F.array_sort(F.collect_list(F.struct("split", "line", "value"))).alias("lines"), F.max("header").alias("header"))
+        F.expr(r"listagg(value, '\n') WITHIN GROUP (ORDER BY split, line)").alias("record"), F.max("header").alias("header"))
     broken = joined.where("NOT header").select("file", F.col("of_split").alias("split"), F.col("of_line").alias("line"),
-                                               F.array_join("lines.value", "\n").alias("record"))
+                                               "record")
     records = single.unionByName(broken)
     return records.withColumn("record", F.regexp_replace("record", r"\r\z", "")).where("record <> ''")
 
