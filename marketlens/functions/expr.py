@@ -76,8 +76,8 @@ def first_non_null_by(value: str, order_cols: list[str]) -> Column:
 
     Built as ``min(struct(order..., value))`` so partial aggregation applies.
     """
-    # a value that is a sort column already is not held twice
-    kept = [F.col(c) for c in order_cols] + ([] if value in order_cols else [F.col(value)])
+    # sort columns after the value cannot change which value is first: they are neither held nor moved
+    kept = order_cols[:order_cols.index(value) + 1] if value in order_cols else [*order_cols, value]
     return F.min(F.when(F.col(value).isNotNull(), F.struct(*kept))).getField(value)
 
 

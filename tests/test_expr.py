@@ -76,6 +76,16 @@ def test_first_non_null_by_skips_nulls_and_ignores_input_order(spark):
         assert got == {1: "voucher", 2: "card"}
 
 
+def test_first_non_null_by_holds_no_column_after_the_value(spark):
+    """Ties of all columns up to the value have one value: what sorts after it is not moved."""
+    rows = [(1, 2, "a", 1.0), (1, 1, "c", 0.0), (1, 1, "b", 9.0), (1, 1, None, -1.0), (2, None, "x", None), (2, 1, "w", 1.0)]
+    df = spark.createDataFrame(rows, "k int, seq int, t string, amount double").repartition(3)
+    first = df.groupBy("k").agg(first_non_null_by("t", ["seq", "t", "amount"]).alias("f"))
+    assert dict(first.collect()) == {1: "b", 2: "x"}
+    held = [ln for ln in plan_text(first).splitlines() if "partial_min(" in ln]
+    assert held and not any("amount" in ln for ln in held)
+
+
 def test_nan_to_null_and_label(spark):
     df = spark.createDataFrame([(float("nan"), ""), (1.5, None), (2.0, "x" * 40)], "v double, c string")
     out = df.select(nan_to_null("v").alias("v"), label_or_unknown("c").alias("c")).collect()
