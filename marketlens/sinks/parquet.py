@@ -17,14 +17,15 @@ from pyspark.sql import DataFrame
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | tuple = (),
                 codec: str = "snappy", mode: str = "overwrite",
-                overwrite: str = "static") -> str:
+                overwrite: str = "static", rebalance: bool = True) -> str:
     """Write ``df`` as a Parquet dataset at ``path``.
 
     ``overwrite='static'`` is a full refresh (the whole target is replaced);
     ``'dynamic'`` replaces only the partitions present in ``df``.
+    ``rebalance=False`` is for rows that lie in files of one partition each: they are not moved.
     """
     parts = list(partition_by)
-    shaped = df.hint("rebalance", *parts) if parts else df.hint("rebalance")
+    shaped = (df.hint("rebalance", *parts) if parts else df.hint("rebalance")) if rebalance else df
     w = (shaped.write.mode(mode)
          .option("compression", codec)
          .option("partitionOverwriteMode", overwrite))
@@ -38,15 +39,19 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | tuple = (),
 TEXT_ROWS = 500_000
 
 
-def write_json(df: DataFrame, path: str, mode: str = "overwrite", codec: str = "none") -> str:
-    """JSON-lines files (one object per row); compressed ones hold ``TEXT_ROWS`` rows at most."""
-    (_text_writer(df, mode, codec)
+def write_json(df: DataFrame, path: str, mode: str = "overwrite", codec: str = "none",
+               level: str | None = None) -> str:
+    """JSON-lines files (one object per row); compressed ones hold ``TEXT_ROWS`` rows at most.
+    ``level`` is a gzip level of Hadoop (``THREE``, ``BEST_SPEED``, ...)."""
+    (_text_writer(df, mode, codec, level)
      .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").json(path))
     return path
 
 
-def _text_writer(df: DataFrame, mode: str, codec: str):
+def _text_writer(df: DataFrame, mode: str, codec: str, level: str | None):
     w = df.write.mode(mode).option("compression", codec)
+    if level:
+        w = w.option("zlib.compress.level", level)
     return w if codec == "none" else w.option("maxRecordsPerFile", TEXT_ROWS)
 
 
@@ -56,10 +61,11 @@ CSV_NULL = "\\N"
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_value: str = CSV_NULL,
-              codec: str = "none") -> str:
+              codec: str = "none", level: str | None = None) -> str:
     """CSV with a header row; quotes and embedded newlines are escaped,
-    surrounding whitespace is kept. Compressed files hold ``TEXT_ROWS`` rows at most."""
-    (_text_writer(df, mode, codec).option("header", True).option("escape", '"')
+    surrounding whitespace is kept. Compressed files hold ``TEXT_ROWS`` rows at most
+    (``level`` as in ``write_json``)."""
+    (_text_writer(df, mode, codec, level).option("header", True).option("escape", '"')
      .option("nullValue", null_value).option("emptyValue", '""')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path))

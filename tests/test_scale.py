@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 
+import hashlib
 import os
 
 import pytest
@@ -14,6 +15,7 @@ from marketlens.plans import roundtrip as RT
 from marketlens.sinks import parquet as P
 from marketlens.sources import catalog as C
 from marketlens.sources import warehouse as W
+from marketlens.sources.files import read_csv, read_json
 from marketlens.sources.testdata import raw_inputs
 
 
@@ -120,3 +122,62 @@ def test_merge_of_many_rows_finds_each_by_its_place(spark):
     want = rows.where("order_id IS NULL OR order_id % 7 <> 0").unionByName(load)
     got = spark.table(fq).select(rows.columns)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_a_row_of_the_digest_is_worked_out_once(spark):
+    """One MD5 in the generated code (a sum of decimals had two), and the sum that hashlib gives."""
+    aside = spark.newSession()
+    aside.conf.set("spark.sql.adaptive.enabled", "false")
+    rows = [(i, None if i % 7 == 0 else f"v{i}") for i in range(500)]
+    df = aside.createDataFrame(rows, "a int, b string")
+    assert M.plan_text(M.rows_digest(aside.range(9).selectExpr("id AS a"), ["a"]), "codegen").count("md5Hex") == 1
+    texts = ["|".join("~" if v is None else str(v) for v in r) for r in rows]
+    want = sum(int(hashlib.md5(t.encode()).hexdigest()[:12], 16) for t in texts)
+    assert M.rows_digest(df, ["a", "b"]).first() == (500, str(want))
+    assert M.rows_digest(df.limit(0), ["a", "b"]).first() == (0, "0")
+
+
+def test_parquet_copy_of_a_dataset_is_not_moved(spark, tables, monkeypatch):
+    """Whole, with as few files as the dataset; what is not the dataset itself is rebalanced."""
+    asked, orders = _rebalanced(monkeypatch), tables.orders
+    for df, moves in ((orders, 0), (orders.where("order_id % 2 = 0"), 1)):
+        del asked[:]
+        copy = spark.read.parquet(M.format_copies(spark, df, stored=tables.path("orders"))["parquet"])
+        assert asked == ["rebalance"] * moves and len(copy.inputFiles()) <= 2 * len(orders.inputFiles())
+        assert copy.count() == df.count() and copy.select(df.columns).exceptAll(df).count() == 0
+    monkeypatch.undo()
+    assert W.derived_tables(raw_inputs(spark, "/root/testdata/sf0.001")).path("orders") is None
+
+
+def test_text_reads_of_a_month_are_filtered_while_parsed(spark, tables, tmp_path):
+    P.write_csv(tables.orders, str(tmp_path / "csv"))
+    P.write_json(tables.orders, str(tmp_path / "json"))
+    for df in (read_csv(spark, str(tmp_path / "csv"), tables.orders.schema, null_value=P.CSV_NULL, own=True),
+               read_json(spark, str(tmp_path / "json"), tables.orders.schema, own=True)):
+        for year, month in ((1997, 10), (1997, 12), (1996, 2)):
+            month_of = df.where(M._of_month(year, month))
+            assert "GreaterThanOrEqual(order_purchase_timestamp" in M.plan_text(month_of)
+            want = tables.orders.where(f"year = {year} AND month = {month}")
+            assert month_of.count() == want.count() > 0 and month_of.exceptAll(want).count() == 0
+
+
+def test_own_text_files_give_back_odd_timestamps(spark, tmp_path):
+    """Spark's own parser reads what the pattern wrote: microseconds, early and late years, null."""
+    times = ["0001-01-01 00:00:00", "1582-10-10 12:00:00", "1969-12-31 23:59:59.999999", "1997-10-01 00:00:00.000001",
+             "9999-12-31 23:59:59.999999", "+10000-01-01 00:00:00", "-0044-03-15 01:02:03", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(times)], "i int, t string").selectExpr(
+        "i", "CAST(t AS TIMESTAMP_NTZ) AS t")
+    P.write_csv(df, str(tmp_path / "csv"), codec="gzip", level="THREE")
+    P.write_json(df, str(tmp_path / "json"), codec="gzip", level="THREE")
+    want = sorted(map(tuple, df.selectExpr("i", "CAST(t AS STRING)").collect()))
+    for back in (read_csv(spark, str(tmp_path / "csv"), df.schema, null_value=P.CSV_NULL, own=True),
+                 read_json(spark, str(tmp_path / "json"), df.schema, own=True)):
+        assert sorted(map(tuple, back.selectExpr("i", "CAST(t AS STRING)").collect())) == want
+        assert all(f.endswith(".gz") for f in back.inputFiles())
+
+
+def test_the_level_of_compressed_text_is_the_one_asked_for(spark, tables, tmp_path):
+    for write in (P.write_csv, P.write_json):
+        fast, best = (sum(_sizes(spark, write(tables.orders, str(tmp_path / f"{write.__name__}-{level}"), codec="gzip",
+                                              level=level)).values()) for level in ("BEST_SPEED", "BEST_COMPRESSION"))
+        assert fast > 1.1 * best
